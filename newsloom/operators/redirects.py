@@ -26,7 +26,6 @@ def trace_redirects(edges: DataFrame, max_hops: int = MAX_HOPS) -> DataFrame:
         F.when(F.col("to_url").isNull(), F.col("http_code")).cast("int").alias("code"),
         F.col("to_url").isNull().alias("ended"),
     )
-    # Links of no length say where a chain ends, so that one join settles what points at them.
     state = checkpointed(sources)
     covered = 1
     while True:
@@ -77,18 +76,16 @@ def resolve_redirects(
 
 
 def enrich_urls(
-    df: DataFrame, resolved: DataFrame, spread_by: list[str], dedupe: bool = True
+    df: DataFrame, resolved: DataFrame, spread_by: list[str], copies: str | None = None
 ) -> DataFrame:
-    """Add url_original, status and http_code by url.
+    """Add url_original, status and http_code by url; `resolved` has one row per url.
 
-    `resolved` has one row per url. With `dedupe=False` every row is resolved on its own,
-    as a list of requests would be, so a url that occurs m times comes out m * m times.
+    Resolving every row on its own and joining the results back would repeat a row once per
+    row with the same url. Those repeats are not written out; `copies` names a column for
+    their number.
     """
-    if not dedupe:
-        times = df.where(F.col("url").isNotNull()).groupBy("url").agg(F.count(F.lit(1)).alias("times"))
-        resolved = (
-            resolved.join(times, "url")
-            .withColumn("time", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times"))))
-            .drop("time", "times")
-        )
-    return skew_join(df, resolved, ["url"], spread_by=spread_by)
+    if copies:
+        times = df.where(F.col("url").isNotNull()).groupBy("url").agg(F.count(F.lit(1)).alias(copies))
+        resolved = resolved.join(times, "url", "left")
+    joined = skew_join(df, resolved, ["url"], spread_by=spread_by)
+    return joined.withColumn(copies, F.coalesce(copies, F.lit(1))) if copies else joined

@@ -85,6 +85,10 @@ FROM documents
 UNION ALL
 SELECT 'https://long.test/' || CAST(doc_id AS STRING), CASE WHEN doc_id % 41 < 40 THEN 'https://long.test/' || CAST(doc_id + 1 AS STRING) END, CASE WHEN doc_id % 41 < 40 THEN 302 ELSE 200 END
 FROM documents"""),
+    "visits": (("documents",), """
+SELECT doc_id, CASE WHEN doc_id % 13 = 0 THEN NULL
+  WHEN doc_id % 5 = 0 THEN 'https://long.test/' || CAST(doc_id % 100 AS STRING)
+  ELSE 'https://r.test/' || CAST(doc_id % 190 AS STRING) END AS url FROM documents"""),
     "symbols": (("documents",), """
 SELECT CASE doc_id % 6 WHEN 0 THEN 'S' || CAST(doc_id % 300 AS STRING) WHEN 1 THEN 'abc' || CAST(doc_id % 90 AS STRING) WHEN 2 THEN 'TOOLONG' || CAST(doc_id % 9 AS STRING) WHEN 3 THEN CAST(doc_id % 50 AS STRING) WHEN 4 THEN 'AAPL' END AS symbol, doc_id
 FROM documents"""),

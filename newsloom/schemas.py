@@ -3,8 +3,13 @@
 from pyspark.sql import types as T
 
 
+_TYPES = {"string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType()}
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """Columns from "name type, name type, ..."; parsed here, as DDL needs a running session."""
+    pairs = [part.split() for part in spec.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 COMPANY_NEWS_ITEMS = T.ArrayType(_struct(
@@ -17,10 +22,13 @@ COMPANY_NEWS = _struct(
     "url_redirect string, image_url string, source string"
 )
 
-SEARCH_RESPONSE = _struct(
-    "articles array<struct<source: struct<name: string>, author: string, title: string, "
-    "description: string, url: string, urlToImage: string, publishedAt: string, content: string>>"
-)
+SEARCH_RESPONSE = T.StructType([
+    T.StructField("articles", T.ArrayType(
+        T.StructType([T.StructField("source", _struct("name string"))]
+                     + _struct("author string, title string, description string, url string, "
+                               "urlToImage string, publishedAt string, content string").fields)
+    ))
+])
 
 SEARCH = _struct(
     "source string, author string, headline string, summary string, url_original string, "
