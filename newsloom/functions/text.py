@@ -107,6 +107,11 @@ def light_clean(c: Column) -> Column:
     return F.when(c != "", F.array_join(let(tidy_lines(c), first_of_each), "\n"))
 
 
+def collapse_space(c: Column) -> Column:
+    """Runs of white space as one blank, none at the ends."""
+    return strip(F.regexp_replace(c, r"(?U)[\s\x1c-\x1f]+", " "))
+
+
 def fold_and_lower(c: Column) -> Column:
     return F.lower(F.translate(c, FOLD_FROM, FOLD_TO))
 
@@ -124,8 +129,7 @@ def normalize_finance(c: Column, lowercase_first: bool = True) -> Column:
         t = F.lower(t)
     for name, *_ in FINANCE_RULES:
         t = finance_rule(t, name)
-    t = strip(F.regexp_replace(t, r"(?U)[\s\x1c-\x1f]+", " "))
-    return F.when(is_blank(c), F.lit("")).otherwise(t)
+    return F.when(is_blank(c), F.lit("")).otherwise(collapse_space(t))
 
 
 def finance_tokens(c: Column) -> Column:

@@ -7,68 +7,34 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_KEYS = 1000
-HOT_ROWS = 1_000_000
-SPLITS = 64
-
-
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The most frequent keys with more than `hot_rows` rows, at most `HOT_KEYS` of them.
-
-    Counts combine on the map side. A key beyond the first thousand holds less than a
-    thousandth of all rows, so it needs no splitting; nothing is left out of the join.
-    """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_of_key"))
-    return (
-        counts.where(F.col("rows_of_key") > hot_rows)
-        .orderBy(F.desc("rows_of_key"), *keys)
-        .limit(HOT_KEYS)
-        .select(*keys, F.lit(True).alias("is_hot"))
-    )
+NULL_SPLITS = 4096
 
 
 def skew_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: list[str],
-    spread_by: list[str],
-    how: str = "left",
-    hot_rows: int = HOT_ROWS,
-    splits: int = SPLITS,
+    left: DataFrame, right: DataFrame, keys: list[str], spread_by: list[str], how: str = "left"
 ) -> DataFrame:
     """Equi-join a large `left`, whose keys may be hot, with a `right` of few rows per key.
 
-    Rows of a hot key are spread over `splits` parts by a hash of `spread_by` (columns that
-    tell rows apart); the matching right rows are repeated once per part. Rows with a null
-    key match nothing, so they are spread in the same way. `how` is "left" or "inner".
+    Both sides are shuffled by the keys and `part_of_key`. The latter is 0 but for rows of
+    `left` without a key: they match nothing and are spread by a hash of `spread_by`
+    (columns that tell rows apart). Partitions of hot keys are split by adaptive execution,
+    in as many pieces as their size asks for; since no later step can rely on a
+    partitioning by `part_of_key`, such a split never has to be given up for one.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
     no_key = F.lit(False)
     for key in keys:
         no_key = no_key | F.col(key).isNull()
-    part = F.pmod(F.xxhash64(*spread_by), F.lit(splits)).cast("int")
-
-    # At most HOT_KEYS rows by construction, so the broadcast is of bounded size.
-    hot = F.broadcast(hot_keys(left.where(~no_key), keys, hot_rows))
-    spread = left.join(hot, keys, "left").withColumn(
-        "part_of_key", F.when(F.col("is_hot") | no_key, part).otherwise(F.lit(0))
-    )
-    repeated = right.join(hot, keys, "left").withColumn(
-        "part_of_key",
-        F.explode(
-            F.when(F.col("is_hot"), F.sequence(F.lit(0), F.lit(splits - 1))).otherwise(
-                F.array(F.lit(0))
-            )
-        ),
+    part = F.when(no_key, F.pmod(F.xxhash64(*spread_by), F.lit(NULL_SPLITS)).cast("int")).otherwise(0)
+    joined = left.withColumn("part_of_key", part).join(
+        right.withColumn("part_of_key", F.lit(0)), [*keys, "part_of_key"], how
     )
-    return spread.drop("is_hot").join(
-        repeated.drop("is_hot"), [*keys, "part_of_key"], how
-    ).drop("part_of_key")
+    return joined.drop("part_of_key")
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether a table stays within both bounds; reads at most `max_rows` + 1 rows."""
+    """Whether a stored table stays within both bounds; reads at most `max_rows` + 1 rows."""
     width = F.octet_length(F.to_json(F.struct(*df.columns)))
     seen = df.limit(max_rows + 1).agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("size")

@@ -19,10 +19,10 @@ from newsloom.operators.joins import lookup_join
 INLINE_ROWS = 200
 
 
-def _inline(df: DataFrame) -> list | None:
-    """The rows of a short lookup table; null for a longer one, which is joined instead."""
-    rows = df.limit(INLINE_ROWS + 1).collect()
-    return rows if len(rows) <= INLINE_ROWS else None
+def _inline(df: DataFrame, most: int) -> list | None:
+    """The rows of a short lookup table; None for a longer one, which is joined instead."""
+    rows = df.limit(most + 1).collect()
+    return rows if len(rows) <= most else None
 
 
 def _lemma_inline(lexicon_rows: list) -> Callable[[Column], Column]:
@@ -48,14 +48,20 @@ def _with_stop_mark(tokens: DataFrame, stopwords: DataFrame, key: str, spread_by
 
 
 def clean_tokens(
-    df: DataFrame, row_id: str, col: str, lexicon: DataFrame, stopwords: DataFrame, name: str = "text_nc"
+    df: DataFrame,
+    row_id: str,
+    col: str,
+    lexicon: DataFrame,
+    stopwords: DataFrame,
+    name: str = "text_nc",
+    inline_rows: int = INLINE_ROWS,
 ) -> DataFrame:
     """Add the text of the lemmas worth keeping, in order, joined by blanks.
 
     `lexicon` (form, lemma) and `stopwords` (word) are inputs. Short ones are applied inside
     the row; longer ones are joined to the tokens, which are then put together again.
     """
-    lexicon_rows, stop_rows = _inline(lexicon), _inline(stopwords)
+    lexicon_rows, stop_rows = _inline(lexicon, inline_rows), _inline(stopwords, inline_rows)
     if lexicon_rows is not None and stop_rows is not None:
         lemma_of = _lemma_inline(lexicon_rows)
         stop = [row["word"] for row in stop_rows]
@@ -83,11 +89,16 @@ def clean_tokens(
 
 
 def add_normalized(
-    df: DataFrame, row_id: str, col: str, lexicon: DataFrame, stopwords: DataFrame
+    df: DataFrame,
+    row_id: str,
+    col: str,
+    lexicon: DataFrame,
+    stopwords: DataFrame,
+    inline_rows: int = INLINE_ROWS,
 ) -> DataFrame:
     """Add text_nc_step1 (placeholders) and text_nc (cleaned tokens)."""
     step1 = df.withColumn("text_nc_step1", normalize_finance(F.col(col)))
-    return clean_tokens(step1, row_id, "text_nc_step1", lexicon, stopwords, "text_nc")
+    return clean_tokens(step1, row_id, "text_nc_step1", lexicon, stopwords, "text_nc", inline_rows)
 
 
 def tokenize_lemmatize(df: DataFrame, row_id: str, col: str, lexicon: DataFrame) -> DataFrame:

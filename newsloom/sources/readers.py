@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,11 +31,14 @@ def read_news_csv(spark: SparkSession, path: str | list[str], schema: T.StructTy
 def read_per_ticker(
     spark: SparkSession, pattern: str, suffix: str, schema: T.StructType, name: str = "ticker"
 ) -> DataFrame:
-    """One scan of many per-ticker files; the ticker is the file name up to `suffix`."""
+    """One scan of many per-ticker files or folders, named `<ticker><suffix>...`.
+
+    A folder of Spark's own partitioned writing (`column=<ticker><suffix>...`) will do too.
+    """
     reader = spark.read.schema(schema).options(header=True, multiLine=True, quote='"', escape='"')
-    files = reader.csv(pattern)
-    ticker = F.substring_index(F.col("_metadata.file_name"), F.lit(suffix), F.lit(1))
-    return _empty_to_null(files.select("*", F.url_decode(ticker).alias(name)))
+    path = F.col("_metadata.file_path")
+    ticker = F.regexp_extract(path, rf"([^/=]+?){re.escape(suffix)}[^/]*(?:/[^/]*)?$", 1)
+    return _empty_to_null(reader.csv(pattern).select("*", F.url_decode(ticker).alias(name)))
 
 
 def union_files(spark: SparkSession, paths: dict[str, T.StructType]) -> DataFrame:
