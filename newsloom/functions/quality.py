@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from newsloom.functions import any_of
 from newsloom.functions.text import is_blank
-from newsloom.functions.urls import any_of, is_blacklisted, is_http_url
+from newsloom.functions.urls import is_blacklisted, is_http_url
 
 # ---- fixed values: phrases that mark a failed or partial extraction ----
 ARTEFACTS = {

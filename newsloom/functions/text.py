@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from newsloom.functions import let
+from newsloom.functions import any_of, let
 
 # ---- fixed values: finance placeholder rules, in the order they apply ----
 # (name, pattern, flags beyond Unicode, replacement)
@@ -37,8 +37,22 @@ FINANCE_RULES = (
 )
 
 # ---- fixed values: typographic characters folded before the rules ----
-FOLD_FROM = "’“”–—"
-FOLD_TO = "'\"\"--"
+FOLDED = (("’", "'"), ("“", '"'), ("”", '"'), ("–", "-"), ("—", "-"))
+
+# Texts without any of these strings (in lower case) cannot match the rule. Looking for a
+# string is much cheaper than running a pattern, and most texts lack most of them.
+RULE_SIGNS = {
+    "boilerplate": ("read more:", "story continues", "©"),
+    "html_tag": ("<",),
+    "url": ("http", "www."),
+    "cashtag": ("$",),
+    "quarter": ("q1", "q2", "q3", "q4"),
+    "percent_sign": ("%",),
+    "percent_word": ("percent",),
+    "per_cent": ("cent",),
+    "money": ("$", "€", "£"),
+    "year": ("19", "20"),
+}
 
 # ---- fixed values: finance terms that survive token filtering ----
 KEEP_TERMS = (
@@ -61,8 +75,8 @@ WHITESPACE = (
 )
 LINE_BREAK = r"[\n\x0B\f\r\x1c-\x1e\x85\u2028\u2029]"
 
-# A run of letters, digits, '&' and '_' is one token, any other visible character is its own.
-FINANCE_TOKEN = r"[\p{L}\p{N}&_]+|[^\p{L}\p{N}&_\s]"
+# A run of letters, digits, '&' and '_'; punctuation between them is never kept.
+FINANCE_TOKEN = r"[\p{L}\p{N}&_]+"
 # Words of two or more characters, the default token of a TF-IDF vectoriser.
 WORD = r"[\p{L}\p{N}_]{2,}"
 
@@ -109,11 +123,18 @@ def light_clean(c: Column) -> Column:
 
 def collapse_space(c: Column) -> Column:
     """Runs of white space as one blank, none at the ends."""
-    return strip(F.regexp_replace(c, r"(?U)[\s\x1c-\x1f]+", " "))
+    return strip(F.regexp_replace(c, r"(?U)[\s\x1c-\x1f]{2,}|[\s\x1c-\x1f&&[^ ]]", " "))
+
+
+def fold(c: Column) -> Column:
+    """Typographic quotes and dashes as their plain forms."""
+    for typographic, plain in FOLDED:
+        c = F.replace(c, F.lit(typographic), F.lit(plain))
+    return c
 
 
 def fold_and_lower(c: Column) -> Column:
-    return F.lower(F.translate(c, FOLD_FROM, FOLD_TO))
+    return F.lower(fold(c))
 
 
 def finance_rule(c: Column, name: str) -> Column:
@@ -124,16 +145,36 @@ def finance_rule(c: Column, name: str) -> Column:
 
 def normalize_finance(c: Column, lowercase_first: bool = True) -> Column:
     """All placeholder rules in order, white space collapsed; blank or null becomes ''."""
-    t = F.translate(c, FOLD_FROM, FOLD_TO)
-    if lowercase_first:
-        t = F.lower(t)
-    for name, *_ in FINANCE_RULES:
-        t = finance_rule(t, name)
+
+    def rule_where_signs(t: Column, name: str) -> Column:
+        signs = RULE_SIGNS.get(name)
+        if not signs:
+            return finance_rule(t, name)
+
+        def guarded(x: Column) -> Column:
+            low = x if lowercase_first else F.lower(x)
+            found = any_of([F.contains(low, F.lit(sign)) for sign in signs])
+            return F.when(found, finance_rule(x, name)).otherwise(x)
+
+        return let(t, guarded)
+
+    def rules(t: Column, names: list[str]) -> Column:
+        for name in names:
+            t = rule_where_signs(t, name)
+        return t
+
+    names = [rule[0] for rule in FINANCE_RULES]
+    first_with_digits = names.index("quarter")
+    t = fold_and_lower(c) if lowercase_first else fold(c)
+    t = rules(t, names[:first_with_digits])
+    t = let(
+        t, lambda x: F.when(x.rlike(r"(?U)\d"), rules(x, names[first_with_digits:])).otherwise(x)
+    )
     return F.when(is_blank(c), F.lit("")).otherwise(collapse_space(t))
 
 
 def finance_tokens(c: Column) -> Column:
-    """Tokens of a normalised text, placeholders and punctuation included."""
+    """Tokens of a normalised text, placeholders included."""
     return F.regexp_extract_all(c, F.lit(FINANCE_TOKEN), F.lit(0))
 
 
@@ -144,9 +185,9 @@ def keep_finance_token(token: Column, lemma: Column, is_stop: Column) -> Column:
     """
     return (
         F.when(token.startswith("__") & token.endswith("__"), token)
-        .when(token.rlike(r"^[^\p{L}\p{N}&_]$") | is_stop, F.lit(None).cast("string"))
+        .when(is_stop, F.lit(None).cast("string"))
         .when(lemma.isin(*KEEP_TERMS), lemma)
-        .when(token.rlike(ACRONYM) | token.rlike(MIXED_CASE), F.lower(token))
+        .when(token.rlike(f"{ACRONYM}|{MIXED_CASE}"), F.lower(token))
         .when(lemma.rlike(r"^\p{L}{3,}$"), lemma)
     )
 

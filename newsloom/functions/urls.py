@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from newsloom.functions import let
+from newsloom.functions import any_of, let
 
 # ---- fixed values: hosts that only serve consent or log-in pages ----
 BLACKLIST = ("consent.yahoo.com", "guce.yahoo.com", "login.yahoo.com", "consent.google.com")
@@ -39,10 +37,6 @@ def is_http_url(c: Column) -> Column:
     return F.coalesce(c.startswith("http"), F.lit(False))
 
 
-def any_of(tests: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, tests)
-
-
 def is_blacklisted(c: Column, domains: tuple[str, ...] = BLACKLIST) -> Column:
     where = netloc(c)
     return any_of([F.contains(where, F.lit(d)) for d in domains])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.session import checkpointed
+from newsloom.session import stored
 
 # Up to this n Spark cuts each group to n rows before the shuffle (window group limit).
 NATIVE_LIMIT = 1000
@@ -62,10 +62,11 @@ def with_sequential_id(df: DataFrame, order_by: list, name: str = "id", start: i
     partition plus the sizes of the partitions before, of which there is one row each.
     """
     order = _as_columns(order_by)
-    ranged = checkpointed(
+    ranged = stored(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .withColumn("place", F.monotonically_increasing_id())
+        .withColumn("place", F.monotonically_increasing_id()),
+        "ranged",
     )
     block = F.shiftright("place", 33).alias("block")
     sizes = ranged.groupBy(block).agg(F.count(F.lit(1)).alias("size"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.operators.joins import skew_join
-from newsloom.session import checkpointed
+from newsloom.session import stored
 
 MAX_HOPS = 30  # what common HTTP clients follow before they give up
 
@@ -26,7 +26,7 @@ def trace_redirects(edges: DataFrame, max_hops: int = MAX_HOPS) -> DataFrame:
         F.when(F.col("to_url").isNull(), F.col("http_code")).cast("int").alias("code"),
         F.col("to_url").isNull().alias("ended"),
     )
-    state = checkpointed(sources)
+    state = stored(sources, "redirects")
     covered = 1
     while True:
         step = state.select(
@@ -45,7 +45,7 @@ def trace_redirects(edges: DataFrame, max_hops: int = MAX_HOPS) -> DataFrame:
             F.col("next_code").alias("code"),
             (unknown | F.col("next_ended")).alias("ended"),
         )
-        state = checkpointed(state.where(F.col("ended")).unionByName(moved))
+        state = stored(state.where(F.col("ended")).unionByName(moved), "redirects")
         covered *= 2
         # One round more than the hops need settles whether the last station is an end.
         if covered > max_hops or state.where(~F.col("ended")).isEmpty():

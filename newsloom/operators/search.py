@@ -8,7 +8,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.functions.urls import any_of, host
+from newsloom.functions import any_of
+from newsloom.functions.urls import host
 from newsloom.operators.ranking import top_n_per_group
 
 # ---- fixed values: the finance query ----

@@ -107,8 +107,15 @@ def tokenize_lemmatize(df: DataFrame, row_id: str, col: str, lexicon: DataFrame)
     return _with_lemma(tokens, lexicon, [row_id, "pos"])
 
 
-def bag_of_words(tokens: DataFrame, row_id: str, stopwords: DataFrame) -> DataFrame:
-    """(row_id, term, cnt) of the lemmas that are not stop words."""
+def bag_of_words(
+    df: DataFrame, row_id: str, col: str, lexicon: DataFrame, stopwords: DataFrame
+) -> DataFrame:
+    """(row_id, term, cnt) of the lemmas that are not stop words.
+
+    Texts move once, whole, and the counts of a text then need no further shuffle.
+    """
+    texts = df.select(row_id, col).repartition(row_id)
+    tokens = tokenize_lemmatize(texts, row_id, col, lexicon)
     marked = _with_stop_mark(tokens, stopwords, "lemma", [row_id, "pos"])
     return (
         marked.where(~F.col("is_stop"))

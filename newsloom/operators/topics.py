@@ -14,9 +14,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.operators.joins import lookup_join
-from newsloom.operators.ranking import top_n_per_group
-from newsloom.session import checkpointed
+from newsloom.operators.joins import is_small, lookup_join, skew_join
+from newsloom.operators.ranking import top_n_per_group, with_sequential_id
+from newsloom.session import stored
 
 EPS = 1e-12
 
@@ -43,28 +43,21 @@ def unit_hash(key: Column, j: int, seed: int) -> Column:
     return (high + 0.5) / 4294967296.0
 
 
-def _products(df: DataFrame, letter: str, k: int) -> np.ndarray:
-    """The k x k matrix of sums of products of the columns."""
-    cells = [F.sum(F.col(f"{letter}{i}") * F.col(f"{letter}{j}")) for i in range(k) for j in range(i, k)]
-    sums = iter(df.agg(*cells).first())
+def _products(df: DataFrame, letter: str, k: int, *more: Column) -> tuple[np.ndarray, list[float]]:
+    """The k x k matrix of sums of products of the columns, and the sums `more`."""
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    cells = [F.sum(F.col(f"{letter}{i}") * F.col(f"{letter}{j}")) for i, j in pairs]
+    sums = [float(v or 0.0) for v in df.agg(*cells, *more).first()]
     out = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            out[i, j] = out[j, i] = next(sums) or 0.0
-    return out
-
-
-def _mixed(letter: str, j: int, matrix: np.ndarray) -> Column:
-    """Component j of a factor row times a k x k matrix."""
-    total = F.lit(0.0)
-    for i in range(matrix.shape[0]):
-        total = total + F.col(f"{letter}{i}") * F.lit(float(matrix[i, j]))
-    return total
+    for (i, j), value in zip(pairs, sums):
+        out[i, j] = out[j, i] = value
+    return out, sums[len(pairs):]
 
 
 def _updated(letter: str, j: int, matrix: np.ndarray) -> Column:
-    grown = F.col(f"{letter}{j}") * F.coalesce(F.col(f"num{j}"), F.lit(0.0))
-    return (grown / (_mixed(letter, j, matrix) + EPS)).alias(f"{letter}{j}")
+    """Component j after one multiplicative step; `num` holds the numerators."""
+    mixed = " + ".join(f"{letter}{i} * {float(matrix[i, j])!r}D" for i in range(matrix.shape[0]))
+    return F.expr(f"{letter}{j} * coalesce(num{j}, 0D) / ({mixed} + {EPS!r}D)").alias(f"{letter}{j}")
 
 
 def _weighted_sums(cells: DataFrame, key: str, letter: str, k: int) -> DataFrame:
@@ -73,60 +66,68 @@ def _weighted_sums(cells: DataFrame, key: str, letter: str, k: int) -> DataFrame
     )
 
 
-def pack_documents(bow: DataFrame, row_id: str) -> DataFrame:
-    """One row per document with its (term, cnt) entries; a group is one text's terms."""
-    return bow.groupBy(row_id).agg(F.collect_list(F.struct("term", "cnt")).alias("entries"))
-
-
 def _cells(packed: DataFrame, *keep: str) -> DataFrame:
-    return packed.select(*keep, F.explode("entries").alias("entry")).select(*keep, "entry.term", "entry.cnt")
+    return packed.select(*keep, F.explode("entries").alias("entry")).select(*keep, "entry.term_id", "entry.cnt")
 
 
 def fit_nmf(bow: DataFrame, row_id: str, k: int = 5, iters: int = 20, seed: int = 42) -> NmfModel:
     """Factor (row_id, term, cnt) into document and term weights of k topics.
 
-    Each round moves the compact document rows once and otherwise partial sums; the term
-    table is broadcast only while it is measured to be small.
+    Documents are kept as one row each, with numbered terms. A round moves these compact
+    rows once, and otherwise partial sums; the term table is broadcast only if it was
+    measured to be small.
     """
     w, h = _names("w", k), _names("h", k)
-    packed = checkpointed(pack_documents(bow, row_id))
-    cells = _cells(packed, row_id)
-    totals = cells.agg(
-        F.sum("cnt").alias("total"), F.sum(F.col("cnt") * F.col("cnt")).alias("squares")
-    ).first()
-    terms = checkpointed(cells.select("term").distinct())
-    n_docs, n_terms = packed.count(), terms.count()
-    if not n_docs:
-        raise ValueError("no document has a term")
-    scale = float((totals["total"] / (n_docs * n_terms) / k) ** 0.5)
-    topics = checkpointed(
-        terms.select("term", *[(unit_hash(F.col("term"), j, seed) * scale).alias(h[j]) for j in range(k)])
+    bow = stored(bow, "bag")
+    numbered = stored(
+        with_sequential_id(bow.select("term").distinct(), ["term"], "term_id").select("term_id", "term"),
+        "terms",
     )
-    docs = packed.select(
-        row_id, *[(unit_hash(F.col(row_id), j, seed) * scale).alias(w[j]) for j in range(k)]
+    coded = lookup_join(bow, numbered, ["term"], [row_id], "inner")
+    # A group is the terms of one text.
+    packed = stored(
+        coded.groupBy(row_id).agg(F.collect_list(F.struct("term_id", "cnt")).alias("entries")), "documents"
     )
+    total, squares = bow.agg(F.sum("cnt"), F.sum(F.col("cnt") * F.col("cnt"))).first()
+    n_docs, n_terms = packed.count(), numbered.count()
+    if not n_docs:
+        raise ValueError("no document has a term")
+    scale = float((total / (n_docs * n_terms) / k) ** 0.5)
+
+    def start(df: DataFrame, key: str, keep: str, names: list[str]) -> DataFrame:
+        first = [(unit_hash(F.col(key), j, seed) * scale).alias(n) for j, n in enumerate(names)]
+        return stored(df.select(keep, *first), "factor")
+
+    topics, docs = start(numbered, "term", "term_id", h), start(packed, row_id, row_id, w)
+    small = is_small(topics)
+
+    def with_topics(cells: DataFrame, table: DataFrame) -> DataFrame:
+        if small:
+            return cells.join(F.broadcast(table), "term_id")
+        return skew_join(cells, table, ["term_id"], [row_id], "inner")
+
     losses = []
+    hht, _ = _products(topics, "h", k)
     for _ in range(iters):
-        hht = _products(topics, "h", k)
-        xht = _weighted_sums(lookup_join(cells, topics, ["term"], [row_id], "inner"), row_id, "h", k)
-        docs = checkpointed(
-            docs.join(xht, row_id, "left").select(row_id, *[_updated("w", j, hht) for j in range(k)])
+        xht = _weighted_sums(with_topics(_cells(packed, row_id), topics), row_id, "h", k)
+        docs = stored(
+            docs.join(xht, row_id, "left").select(row_id, *[_updated("w", j, hht) for j in range(k)]), "factor"
         )
-        wtw = _products(docs, "w", k)
-        weighted = _cells(packed.join(docs, row_id), *w)
-        xtw = checkpointed(_weighted_sums(weighted, "term", "w", k))
-        topics = checkpointed(
-            topics.join(xtw, "term", "left").select(
-                "term", *[_updated("h", j, wtw) for j in range(k)], *[f"num{j}" for j in range(k)]
-            )
+        wtw, _ = _products(docs, "w", k)
+        xtw = _weighted_sums(_cells(packed.join(docs, row_id), *w), "term_id", "w", k)
+        topics = stored(
+            topics.join(xtw, "term_id", "left").select(
+                "term_id", *[_updated("h", j, wtw) for j in range(k)], *[f"num{j}" for j in range(k)]
+            ),
+            "factor",
         )
         # |X - WH|^2 = |X|^2 - 2 <W'X, H> + <W'W, HH'>
-        cross = topics.agg(sum((F.sum(F.col(f"num{j}") * F.col(h[j])) for j in range(k)), F.lit(0.0))).first()[0]
-        losses.append(
-            float(totals["squares"]) - 2 * cross + float((wtw * _products(topics, "h", k)).sum())
-        )
-        topics = topics.select("term", *h)
-    return NmfModel(topics, docs, k, row_id, tuple(losses))
+        crosses = [F.sum(F.col(f"num{j}") * F.col(h[j])) for j in range(k)]
+        hht, cross = _products(topics, "h", k, *crosses)
+        losses.append(float(squares) - 2 * sum(cross) + float((wtw * hht).sum()))
+        topics = topics.select("term_id", *h)
+    named = numbered.join(topics, "term_id").select("term", *h)
+    return NmfModel(named, docs, k, row_id, tuple(losses))
 
 
 def transform_nmf(model: NmfModel, bow: DataFrame, iters: int = 50) -> DataFrame:
@@ -136,7 +137,7 @@ def transform_nmf(model: NmfModel, bow: DataFrame, iters: int = 50) -> DataFrame
     of a document need; they then run row by row, in Arrow batches.
     """
     k, row_id = model.k, model.row_id
-    hht = _products(model.topics, "h", k)
+    hht, _ = _products(model.topics, "h", k)
     cells = lookup_join(bow, model.topics, ["term"], [row_id], "inner")
     sums = _weighted_sums(cells, row_id, "h", k)
     kind = dict(bow.dtypes)[row_id]

@@ -11,7 +11,7 @@ from newsloom.operators import topics as tp
 from newsloom.plans.catalog import checked
 from newsloom.plans.text_checks import LEMMA_SQL, WORDS_SQL
 from newsloom.plans.views import view
-from newsloom.session import checkpointed, scratch_dir
+from newsloom.session import scratch_dir, stored
 
 NEWS = ("news",)
 
@@ -185,7 +185,7 @@ def _top_terms(spark, sf):
 def _cosine_pairs(spark, sf):
     model, news = _fit(spark, sf)
     pairs = news.select(F.col("doc_id").alias("a"), (F.col("doc_id") + 1).alias("b"))
-    weights = checkpointed(tf.transform_tfidf(model, news))
+    weights = stored(tf.transform_tfidf(model, news), "weights")
     return tf.cosine_pairs(weights, pairs, "doc_id").withColumn("cosine", F.round("cosine", 6))
 
 
@@ -247,9 +247,9 @@ NAMES_SQL = "names AS (SELECT topic, string_agg(term, '_' ORDER BY load DESC, te
 
 
 def _bag(spark, sf):
-    news = view(spark, sf, "news").select("doc_id", "article_text")
-    tokens = tk.tokenize_lemmatize(news, "doc_id", "article_text", view(spark, sf, "lexicon"))
-    return checkpointed(tk.bag_of_words(tokens, "doc_id", view(spark, sf, "stopwords")))
+    return tk.bag_of_words(
+        view(spark, sf, "news"), "doc_id", "article_text", view(spark, sf, "lexicon"), view(spark, sf, "stopwords")
+    )
 
 
 def _topics(spark, sf):

@@ -108,8 +108,8 @@ def _flatten_company_news(spark, sf):
 @checked(
     "flatten_search_response",
     """SELECT CASE WHEN doc_id % 4 <> 0 THEN source END AS source, lang AS author, headline, summary, url AS url_original,
-      NULL::VARCHAR AS url_image, published_epoch::VARCHAR AS "publishedAt", substr(article_text, 1, 200) AS content_truncated, 'en' AS language
-    FROM news WHERE doc_id % 7 <> 0""",
+      NULL::VARCHAR AS url_image, published_epoch::VARCHAR AS "publishedAt", article_text AS content_truncated, 'en' AS language
+    FROM news WHERE ticker IS NOT NULL""",
     NEWS,
 )
 def _flatten_search_response(spark, sf):
@@ -122,10 +122,10 @@ def _flatten_search_response(spark, sf):
         F.col("summary").alias("description"),
         "url",
         F.col("published_epoch").cast("string").alias("publishedAt"),
-        F.substring("article_text", 1, 200).alias("content"),
+        F.col("article_text").alias("content"),
     )
     # Some answers have no article, as on a day without news.
-    articles = F.when(F.col("doc_id") % 7 != 0, F.array(article)).otherwise(F.array())
+    articles = F.when(F.col("ticker").isNotNull(), F.array(article)).otherwise(F.array())
     answers = news.select(F.to_json(F.struct(F.lit("ok").alias("status"), articles.alias("articles"))).alias("body"))
     return readers.flatten_search_response(answers)
 

@@ -130,8 +130,9 @@ def _tokenize_lemmatize(spark, sf):
     ("news", "lexicon", "stopwords"),
 )
 def _bag_of_words(spark, sf):
-    tokens = tk.tokenize_lemmatize(view(spark, sf, "news"), "doc_id", "article_text", view(spark, sf, "lexicon"))
-    return tk.bag_of_words(tokens, "doc_id", view(spark, sf, "stopwords"))
+    return tk.bag_of_words(
+        view(spark, sf, "news"), "doc_id", "article_text", view(spark, sf, "lexicon"), view(spark, sf, "stopwords")
+    )
 
 
 WORDS_SQL = """words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM (

@@ -15,6 +15,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # A hot partition is split even if a later step then needs a shuffle of its own.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
 }
 
@@ -44,12 +47,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write `df` to reliable storage and go on from there."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new path beside the checkpoints, reachable from every executor."""
     return os.path.join(checkpoint_root(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write `df` as a table beside the checkpoints and go on from there.
+
+    The lineage ends at the files, which outlive executors; later steps read only the
+    columns they need and know the table's size.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
