@@ -87,7 +87,7 @@ def strip(c: Column) -> Column:
 
 
 def is_blank(c: Column) -> Column:
-    return c.isNull() | (strip(c) == "")
+    return c.isNull() | ~c.rlike(r"(?U)[^\s\x1c-\x1f]")
 
 
 def text_length(c: Column) -> Column:
@@ -106,24 +106,30 @@ def tidy_lines(c: Column) -> Column:
 
 
 def light_clean(c: Column) -> Column:
-    """Strip lines, drop blank and (whatever their case) repeated ones; null for empty text.
+    """Strip lines, drop blank and (whatever their case) repeated ones; null for empty text."""
 
-    Lines of one text are compared with each other, so the cost grows with the square of
-    the line count; `operators.lines.clean_lines` does the same by grouping and suits
-    texts of many thousand lines.
-    """
-    def first_of_each(lines: Column) -> Column:
-        return let(
-            F.transform(lines, F.lower),
-            lambda lows: F.filter(lines, lambda _, i: F.array_position(lows, lows[i]) == i + 1),
+    def first_of_each(by_text: Column) -> Column:
+        # Equal lines are neighbours here, the earliest one in front.
+        firsts = F.filter(
+            by_text, lambda line, i: (i == 0) | (line["low"] != F.get(by_text, i - 1)["low"])
+        )
+        in_order = F.array_sort(
+            F.transform(firsts, lambda line: F.struct(line["place"].alias("place"), line["line"].alias("line")))
         )
+        return F.transform(in_order, lambda line: line["line"])
 
-    return F.when(c != "", F.array_join(let(tidy_lines(c), first_of_each), "\n"))
+    by_text = F.array_sort(
+        F.transform(
+            tidy_lines(c),
+            lambda line, i: F.struct(F.lower(line).alias("low"), i.alias("place"), line.alias("line")),
+        )
+    )
+    return F.when(c != "", F.array_join(let(by_text, first_of_each), "\n"))
 
 
 def collapse_space(c: Column) -> Column:
     """Runs of white space as one blank, none at the ends."""
-    return strip(F.regexp_replace(c, r"(?U)[\s\x1c-\x1f]{2,}|[\s\x1c-\x1f&&[^ ]]", " "))
+    return F.trim(F.regexp_replace(c, r"(?U)[\s\x1c-\x1f]+", " "))
 
 
 def fold(c: Column) -> Column:

@@ -34,11 +34,9 @@ def skew_join(
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether a stored table stays within both bounds; reads at most `max_rows` + 1 rows."""
+    """Whether a stored table stays within both bounds, measured over all its rows."""
     width = F.octet_length(F.to_json(F.struct(*df.columns)))
-    seen = df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("size")
-    ).first()
+    seen = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("size")).first()
     return seen["n"] <= max_rows and seen["size"] <= max_bytes
 
 
