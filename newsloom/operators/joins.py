@@ -26,9 +26,11 @@ def skew_join(
     no_key = F.lit(False)
     for key in keys:
         no_key = no_key | F.col(key).isNull()
-    part = F.when(no_key, F.pmod(F.xxhash64(*spread_by), F.lit(NULL_SPLITS)).cast("int")).otherwise(0)
-    joined = left.withColumn("part_of_key", part).join(
-        right.withColumn("part_of_key", F.lit(0)), [*keys, "part_of_key"], how
+    part = F.when(no_key, F.pmod(F.xxhash64(*spread_by), F.lit(NULL_SPLITS))).otherwise(F.lit(0))
+    # Always 0, but not a literal: the optimizer would turn that into a filter and drop the key.
+    zero = F.pmod(F.xxhash64(*keys), F.lit(1))
+    joined = left.withColumn("part_of_key", part.cast("int")).join(
+        right.withColumn("part_of_key", zero.cast("int")), [*keys, "part_of_key"], how
     )
     return joined.drop("part_of_key")
 

@@ -1,4 +1,4 @@
-"""Every registered query against its SQL, on the smallest tables."""
+"""Every registered query against its SQL, on the smallest tables, and the joins it plans."""
 
 import pytest
 
@@ -15,7 +15,10 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query(spark, con, name):
-    table = queries()[name](spark, SF).toArrow()
+    df = queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not any(bad in plan for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"))
+    table = df.toArrow()
     sql = oracle_sql().get(name)
     if sql is None:
         assert table.num_rows > 0
