@@ -33,6 +33,32 @@ def host(c: Column) -> Column:
     return F.coalesce(F.regexp_replace(F.regexp_replace(no_user, r":\d*$", ""), r"\.+$", ""), F.lit(""))
 
 
+def registered_domain(c: Column, rules: list[str]) -> Column:
+    """Name and public suffix of a URL's host; only the last label where no rule fits.
+
+    A rule is a suffix ("co.uk"), "*.ck" for any one label before "ck", or "!www.ck" for an
+    exception to that. The longest suffix wins. '' where there is no host.
+    """
+    exact = [r for r in rules if r[:2] != "*." and r[:1] != "!"]
+    wild = [r[2:] for r in rules if r[:2] == "*."]
+    excepted = [r[1:] for r in rules if r[:1] == "!"]
+
+    def named(labels: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(labels))
+
+        def tail(start: Column) -> Column:
+            return F.array_join(F.slice(labels, start, F.size(labels)), ".")
+
+        exceptions = F.filter(starts, lambda i: tail(i).isin(*excepted))
+        suffixes = F.filter(starts, lambda i: tail(i).isin(*exact) | tail(i + 1).isin(*wild))
+        cut = F.coalesce(F.array_min(exceptions) + 1, F.array_min(suffixes))
+        name = F.coalesce(F.get(labels, cut - 2), F.lit(""))
+        return F.when(cut.isNull(), F.element_at(labels, -1)).otherwise(F.concat_ws(".", name, tail(cut)))
+
+    where = host(c)
+    return F.when(where == "", F.lit("")).otherwise(let(F.split(where, r"\."), named))
+
+
 def is_http_url(c: Column) -> Column:
     return F.coalesce(c.startswith("http"), F.lit(False))
 

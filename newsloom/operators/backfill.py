@@ -118,6 +118,12 @@ def sample_symbols(
     return pool.orderBy(draw, "symbol").limit(n)
 
 
+def precedence_of(ticker: Column, tickers: tuple[str, ...]) -> Column:
+    """A ticker's place in a list, from 1; the tickers not listed share the last place."""
+    place = F.array_position(F.array(*[F.lit(t) for t in tickers]), ticker)
+    return F.when(place > 0, place).otherwise(F.lit(len(tickers) + 1))
+
+
 def union_all(parts: list[DataFrame]) -> DataFrame:
     """All rows of all parts, columns matched by name; `precedence` is the part's place."""
     result = parts[0].withColumn("precedence", F.lit(0))

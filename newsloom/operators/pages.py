@@ -13,12 +13,14 @@ from newsloom.functions.urls import (
     host,
     is_blacklisted,
     is_http_url,
+    registered_domain,
 )
 from newsloom.operators.joins import lookup_join, skew_join
 
 # ---- fixed values: names a URL column may have, in order of preference ----
 URL_COLUMNS = ("url_redirect", "url", "link")
 ERROR_CHARS = 200
+INLINE_RULES = 20_000
 
 
 def pick_url_column(df: DataFrame) -> str:
@@ -96,12 +98,12 @@ def extract_main_text(
     df: DataFrame, pages: DataFrame, spread_by: list[str], url: str = "url_original"
 ) -> DataFrame:
     """Add article_text, the page's whole text, and keep rows where it passes the strict gate."""
-    text = whole_text(F.col("html"))
-    texts = (
-        pages.where(F.col("status") == 200)
-        .select("url", text.alias("article_text"))
-        .where(is_good_text(F.col("article_text"), 100, "strict"))
+    # A filter on a computed text would compute it again for each use; here it is computed
+    # once, and a page without a good text gives no row.
+    good = F.filter(
+        F.array(whole_text(F.col("html"))), lambda text: is_good_text(text, 100, "strict")
     )
+    texts = pages.where(F.col("status") == 200).select("url", F.explode(good).alias("article_text"))
     return attach_pages(df, texts, url, spread_by).where(F.col("article_text").isNotNull())
 
 
@@ -150,9 +152,21 @@ def registered_domains(urls: DataFrame, suffixes: DataFrame) -> DataFrame:
 
 
 def with_registered_domain(
-    df: DataFrame, url: str, suffixes: DataFrame, spread_by: list[str], name: str = "domain"
+    df: DataFrame,
+    url: str,
+    suffixes: DataFrame,
+    spread_by: list[str],
+    name: str = "domain",
+    inline_rules: int = INLINE_RULES,
 ) -> DataFrame:
-    """Add the registered domain of a url column; '' where there is no host."""
+    """Add the registered domain of a url column; '' where there is no host.
+
+    A list of suffixes of the usual size is applied inside the row; a longer one is joined
+    to the distinct hosts.
+    """
+    rules = suffixes.select("suffix").limit(inline_rules + 1).collect()
+    if len(rules) <= inline_rules:
+        return df.withColumn(name, registered_domain(F.col(url), [r["suffix"] for r in rules]))
     known = registered_domains(df.select(F.col(url).alias("url")), suffixes).withColumnRenamed("domain", name)
     keyed = df.withColumn("host", F.nullif(host(F.col(url)), F.lit("")))
     return (
@@ -171,23 +185,17 @@ def resolve_canonical(
     its final address counts either way.
     """
     column = url or pick_url_column(df)
-    seen = (F.col("status") >= 200) & (F.col("status") < 400)
+    answered = F.col("status") != 0
+    readable = F.col("status").between(200, 399)
     final = F.coalesce(_optional(pages, "final_url"), F.col("url"))
-    captured = (
-        pages.where(F.col("status") != 0)
-        .select(
-            "url",
-            final.alias("url_final"),
-            F.when(seen, extract_canonical(F.col("html"), final)).alias("url_canonical"),
-            F.col("status").cast("int").alias("http_status"),
-        )
-        .withColumn("url_original", choose_original(F.col("url_final"), F.col("url_canonical")))
-    )
-    failed = pages.where(F.col("status") == 0).select(
+    failure = F.coalesce(_optional(pages, "error"), F.lit("no response captured"))
+    outcome = pages.select(
         "url",
-        F.substring(F.coalesce(_optional(pages, "error"), F.lit("no response captured")), 1, ERROR_CHARS).alias("error"),
-    )
-    outcome = captured.unionByName(failed, allowMissingColumns=True)
+        F.when(answered, final).alias("url_final"),
+        F.when(readable, extract_canonical(F.col("html"), final)).alias("url_canonical"),
+        F.when(answered, F.col("status")).cast("int").alias("http_status"),
+        F.when(~answered, F.substring(failure, 1, ERROR_CHARS)).alias("error"),
+    ).withColumn("url_original", choose_original(F.col("url_final"), F.col("url_canonical")))
     outcome = with_registered_domain(outcome, "url_original", suffixes, spread_by=["url"])
 
     address = strip(F.col(column))

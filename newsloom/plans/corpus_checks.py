@@ -14,8 +14,11 @@ from newsloom.operators import conform as cf
 from newsloom.operators import reports, search
 from newsloom.operators.lines import clean_lines
 from newsloom.operators.ranking import dedupe, dedupe_chain, first_valid, with_sequential_id
+from newsloom.plans import jobs
 from newsloom.plans.catalog import checked
+from newsloom.plans.url_checks import DOMAIN_SQL, EPOCH_SQL, HTTP_CODE_SQL
 from newsloom.plans.views import view
+from newsloom.schemas import ANALYSIS
 
 NEWS = ("news",)
 
@@ -269,8 +272,8 @@ def _recent_month(spark, sf):
 def _recent_tickers(spark, sf):
     tickers = ["AAPL", "NVDA", "MSFT", "AMZN", "GOOGL", "TSLA", "META"]
     found = search.recent(_dated(spark, sf), "day", AS_OF, 120, tickers=tickers)
-    parts = bf.union_all([found.where(F.col("ticker") == t) for t in tickers])
-    return dedupe(parts, ["doc_id"], ["precedence"]).select("doc_id", "ticker")
+    placed = found.withColumn("precedence", bf.precedence_of(F.col("ticker"), tuple(tickers)))
+    return dedupe(placed, ["doc_id"], ["precedence"]).select("doc_id", "ticker")
 
 
 @checked(
@@ -295,9 +298,7 @@ def _top_per_day(spark, sf):
     NEWS,
 )
 def _search_corpus(spark, sf):
-    from newsloom.plans.jobs import search_corpus
-
-    found = search_corpus(
+    found = jobs.search_corpus(
         _dated(spark, sf), ["headline", "summary", "article_text"], "url", AS_OF, days=365, language=("lang", "en"),
         published="published_epoch", row_id="doc_id", include=(), exclude=(),
     )
@@ -359,9 +360,7 @@ def _backfill_mixed_targets(spark, sf):
     NEWS,
 )
 def _build_index(spark, sf):
-    from newsloom.plans.jobs import corpus_index
-
-    return corpus_index(_mixed_backfill(spark, sf), _order()).select("doc_id", "ticker", "url")
+    return jobs.corpus_index(_mixed_backfill(spark, sf), _order()).select("doc_id", "ticker", "url")
 
 
 @checked(
@@ -410,8 +409,6 @@ CONFORM_SQL = r"""numbered AS (SELECT *, row_number() OVER (ORDER BY doc_id) AS
 
 
 def _conform_sql() -> str:
-    from newsloom.plans.url_checks import DOMAIN_SQL, EPOCH_SQL, HTTP_CODE_SQL
-
     return CONFORM_SQL.format(epoch=EPOCH_SQL, code=HTTP_CODE_SQL, domain=DOMAIN_SQL.format("u"))
 
 
@@ -427,8 +424,6 @@ def _conform_article(spark, sf):
     NEWS,
 )
 def _conform_schema(spark, sf):
-    from newsloom.schemas import ANALYSIS
-
     return cf.conform(_news(spark, sf), ANALYSIS)
 
 

@@ -14,6 +14,7 @@ from newsloom.operators.backfill import (
     SAMPLED_TARGET,
     backfill,
     build_index,
+    precedence_of,
     sample_symbols,
 )
 from newsloom.operators.conform import conform_article
@@ -22,12 +23,9 @@ from newsloom.operators.ranking import dedupe_chain
 
 
 def corpus_index(collected: DataFrame, order_by: list) -> DataFrame:
-    """One row per address of the collected articles; earlier fixed tickers come first."""
-    ticker = F.col("ticker")
-    place = F.array_position(F.array(*[F.lit(t) for t in FIXED_TICKERS]), ticker)
-    fixed = collected.where(ticker.isin(*FIXED_TICKERS)).withColumn("place", place)
-    sampled = collected.where(~ticker.isin(*FIXED_TICKERS)).withColumn("place", F.lit(0).cast("bigint"))
-    return build_index([fixed, sampled], "url", ["place", "window_no", *order_by]).drop("place")
+    """One row per address of the collected articles; fixed tickers come first, in their order."""
+    placed = collected.withColumn("place", precedence_of(F.col("ticker"), FIXED_TICKERS))
+    return build_index([placed], "url", ["place", "window_no", *order_by]).drop("place")
 
 
 def ticker_corpus(
@@ -43,11 +41,13 @@ def ticker_corpus(
 
     `news` has row_id, ticker, day and url; `pages` one capture per address.
     """
-    sampled = sample_symbols(symbols)
-    chosen = news.join(F.broadcast(sampled.withColumnRenamed("symbol", "ticker")), "ticker", "left_semi")
-    fixed = news.where(F.col("ticker").isin(*FIXED_TICKERS))
+    spark = news.sparkSession
+    fixed = spark.createDataFrame([(t,) for t in FIXED_TICKERS], "ticker string")
+    sampled = sample_symbols(symbols).select(F.col("symbol").alias("ticker"))
+    # At most the fixed and the sampled number of tickers, so the broadcast is bounded.
+    wanted = news.join(F.broadcast(fixed.unionByName(sampled)), "ticker", "left_semi")
     collected = backfill(
-        fixed.unionByName(chosen),
+        wanted,
         as_of,
         order_by,
         default_target=SAMPLED_TARGET,

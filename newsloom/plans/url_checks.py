@@ -123,18 +123,23 @@ domains AS (SELECT h.host, CASE WHEN b.public IS NULL THEN regexp_extract(h.host
   FROM hosts h LEFT JOIN best b ON b.host = h.host WHERE h.host <> '')"""
 
 
-@checked(
-    "registered_domain",
-    f"""addresses AS (SELECT page_id, url FROM web), {REGISTERED_SQL}
+DOMAINS_SQL = f"""addresses AS (SELECT page_id, url FROM web), {REGISTERED_SQL}
     SELECT a.page_id, a.url, d.domain FROM addresses a JOIN domains d
-      ON d.host = regexp_replace(regexp_extract(lower(a.url), '^[a-z]+://([^/?#]*)', 1), ':\\d*$', '')""",
-    ("web", "suffixes"),
-)
+      ON d.host = regexp_replace(regexp_extract(lower(a.url), '^[a-z]+://([^/?#]*)', 1), ':\\d*$', '')"""
+
+
+@checked("registered_domain", DOMAINS_SQL, ("web", "suffixes"))
 def _registered_domain(spark, sf):
     web = view(spark, sf, "web").select("page_id", "url")
     return with_registered_domain(web, "url", view(spark, sf, "suffixes"), spread_by=["page_id"])
 
 
+@checked("registered_domain_by_join", DOMAINS_SQL, ("web", "suffixes"))
+def _registered_domain_by_join(spark, sf):
+    web = view(spark, sf, "web").select("page_id", "url")
+    return with_registered_domain(web, "url", view(spark, sf, "suffixes"), spread_by=["page_id"], inline_rules=0)
+
+
 @checked(
     "pick_url_column",
     """SELECT 'where_found' AS url_column, count(*) AS n_rows,

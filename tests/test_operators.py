@@ -266,7 +266,8 @@ def test_reports(spark):
 # ---------------------------------------------------------------- pages
 
 
-def test_registered_domain(spark):
+@pytest.mark.parametrize("inline", [0, 100])
+def test_registered_domain(spark, inline):
     rules = spark.createDataFrame([(s,) for s in ("com", "uk", "co.uk", "*.ck", "!www.ck", "github.io")], "suffix string")
     cases = {
         "https://forums.bbc.co.uk/x": "bbc.co.uk", "https://www.a.com:80": "a.com", "http://user@b.c.d.com/": "d.com",
@@ -274,7 +275,7 @@ def test_registered_domain(spark):
         "https://me.github.io": "me.github.io", "https://co.uk": ".co.uk", "https://x.unknown": "unknown", None: "", "": "",
     }
     df = spark.createDataFrame([(i, u) for i, u in enumerate(cases)], "id int, url string")
-    got = pg.with_registered_domain(df, "url", rules, ["id"])
+    got = pg.with_registered_domain(df, "url", rules, ["id"], inline_rules=inline)
     assert {r.url: r.domain for r in got.collect()} == cases
 
 
