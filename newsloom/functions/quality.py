@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from newsloom.functions import any_of
+from newsloom.functions import any_of, let
 from newsloom.functions.text import is_blank
 from newsloom.functions.urls import is_blacklisted, is_http_url
 
@@ -47,9 +47,12 @@ CONSENT_WINDOW = 20_000  # such pages say so at the top; later mentions are arti
 
 def is_good_text(c: Column, min_len: int = 100, artefacts: str = "basic") -> Column:
     """Long enough and free of extraction artefacts; null is not good."""
-    low = F.lower(c)
-    clean = ~any_of([F.contains(low, F.lit(a)) for a in ARTEFACTS[artefacts]])
-    return c.isNotNull() & (F.length(c) >= min_len) & clean
+
+    def clean(low: Column) -> Column:
+        return ~any_of([F.contains(low, F.lit(a)) for a in ARTEFACTS[artefacts]])
+
+    # Texts are lower-cased once, and only if they are long enough.
+    return c.isNotNull() & (F.length(c) >= min_len) & let(F.lower(c), clean)
 
 
 def looks_like_consent(html: Column) -> Column:

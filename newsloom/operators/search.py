@@ -8,7 +8,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.functions import any_of
+from newsloom.functions import any_of, let
 from newsloom.functions.urls import host
 from newsloom.operators.ranking import top_n_per_group
 
@@ -34,8 +34,15 @@ EXCLUDED_DOMAINS = ("sports.yahoo.com", "autos.yahoo.com")
 
 def matches_terms(c: Column, terms: tuple[str, ...] = FINANCE_TERMS) -> Column:
     """Whether any term occurs as whole words, whatever the case."""
-    choice = "|".join(re.escape(t).replace(r"\ ", r"\s+") for t in terms)
-    return F.coalesce(c.rlike(rf"(?iU)\b(?:{choice})\b"), F.lit(False))
+    lowered = [t.lower() for t in terms]
+    choice = "|".join(re.escape(t).replace(r"\ ", r"\s+") for t in lowered)
+    first_words = sorted({t.split()[0] for t in lowered})
+
+    def found(low: Column) -> Column:
+        # Most texts lack the first word of every term, which is quick to see.
+        return any_of([F.contains(low, F.lit(w)) for w in first_words]) & low.rlike(rf"(?U)\b(?:{choice})\b")
+
+    return F.coalesce(let(F.lower(c), found), F.lit(False))
 
 
 def keyword_search(
