@@ -73,12 +73,11 @@ def _cells(packed: DataFrame, *keep: str) -> DataFrame:
 def fit_nmf(bow: DataFrame, row_id: str, k: int = 5, iters: int = 20, seed: int = 42) -> NmfModel:
     """Factor (row_id, term, cnt) into document and term weights of k topics.
 
-    Documents are kept as one row each, with numbered terms. A round moves these compact
+    `bow` is read twice, so a stored table suits best. Documents are kept as one row each, with numbered terms. A round moves these compact
     rows once, and otherwise partial sums; the term table is broadcast only if it was
     measured to be small.
     """
     w, h = _names("w", k), _names("h", k)
-    bow = stored(bow, "bag")
     numbered = stored(
         with_sequential_id(bow.select("term").distinct(), ["term"], "term_id").select("term_id", "term"),
         "terms",
@@ -88,7 +87,8 @@ def fit_nmf(bow: DataFrame, row_id: str, k: int = 5, iters: int = 20, seed: int
     packed = stored(
         coded.groupBy(row_id).agg(F.collect_list(F.struct("term_id", "cnt")).alias("entries")), "documents"
     )
-    total, squares = bow.agg(F.sum("cnt"), F.sum(F.col("cnt") * F.col("cnt"))).first()
+    cells = _cells(packed, row_id)
+    total, squares = cells.agg(F.sum("cnt"), F.sum(F.col("cnt") * F.col("cnt"))).first()
     n_docs, n_terms = packed.count(), numbered.count()
     if not n_docs:
         raise ValueError("no document has a term")
@@ -96,9 +96,9 @@ def fit_nmf(bow: DataFrame, row_id: str, k: int = 5, iters: int = 20, seed: int
 
     def start(df: DataFrame, key: str, keep: str, names: list[str]) -> DataFrame:
         first = [(unit_hash(F.col(key), j, seed) * scale).alias(n) for j, n in enumerate(names)]
-        return stored(df.select(keep, *first), "factor")
+        return df.select(keep, *first)
 
-    topics, docs = start(numbered, "term", "term_id", h), start(packed, row_id, row_id, w)
+    topics, docs = stored(start(numbered, "term", "term_id", h), "factor"), start(packed, row_id, row_id, w)
     small = is_small(topics)
 
     def with_topics(cells: DataFrame, table: DataFrame) -> DataFrame:
@@ -109,7 +109,7 @@ def fit_nmf(bow: DataFrame, row_id: str, k: int = 5, iters: int = 20, seed: int
     losses = []
     hht, _ = _products(topics, "h", k)
     for _ in range(iters):
-        xht = _weighted_sums(with_topics(_cells(packed, row_id), topics), row_id, "h", k)
+        xht = _weighted_sums(with_topics(cells, topics), row_id, "h", k)
         docs = stored(
             docs.join(xht, row_id, "left").select(row_id, *[_updated("w", j, hht) for j in range(k)]), "factor"
         )

@@ -247,9 +247,10 @@ NAMES_SQL = "names AS (SELECT topic, string_agg(term, '_' ORDER BY load DESC, te
 
 
 def _bag(spark, sf):
-    return tk.bag_of_words(
+    bag = tk.bag_of_words(
         view(spark, sf, "news"), "doc_id", "article_text", view(spark, sf, "lexicon"), view(spark, sf, "stopwords")
     )
+    return stored(bag, "bag")
 
 
 def _topics(spark, sf):
