@@ -208,15 +208,34 @@ def ngrams(tokens: Column, low: int = 1, high: int = 2) -> Column:
     def runs(ts: Column, n: int) -> Column:
         if n == 1:
             return ts
-        starts = F.when(F.size(ts) >= n, F.sequence(F.lit(1), F.size(ts) - (n - 1)))
+        starts = F.when(F.size(ts) >= n, F.sequence(F.lit(0), F.size(ts) - n))
         return F.coalesce(
-            F.transform(starts, lambda i: F.array_join(F.slice(ts, i, n), " ")),
+            F.transform(starts, lambda i: F.concat_ws(" ", *[F.get(ts, i + k) for k in range(n)])),
             F.array().cast("array<string>"),
         )
 
     return let(tokens, lambda ts: F.concat(*[runs(ts, n) for n in range(low, high + 1)]))
 
 
+def counted(items: Column) -> Column:
+    """Array of (term, tf): the distinct items of an array and how often they occur."""
+
+    def runs(ordered: Column) -> Column:
+        size = F.size(ordered)
+        starts = F.filter(
+            F.sequence(F.lit(0), size - 1),
+            lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)),
+        )
+
+        def entry(starts: Column, i: Column, k: Column) -> Column:
+            end = F.coalesce(F.get(starts, k + 1), size)
+            return F.struct(F.get(ordered, i).alias("term"), (end - i).cast("bigint").alias("tf"))
+
+        return let(starts, lambda ss: F.transform(ss, lambda i, k: entry(ss, i, k)))
+
+    return let(F.sort_array(items), lambda ordered: F.when(F.size(ordered) > 0, runs(ordered)))
+
+
 def letters_only_tokens(c: Column) -> Column:
     """Everything but ASCII letters and white space deleted, lower-cased, split; [] for null."""
     kept = F.lower(F.regexp_replace(c, r"(?U)[^a-zA-Z\s\x1c-\x1f]", ""))

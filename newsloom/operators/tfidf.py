@@ -8,7 +8,7 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from newsloom.functions.text import ngrams, words
+from newsloom.functions.text import counted, ngrams, words
 from newsloom.operators.conform import drop_blank
 from newsloom.operators.joins import lookup_join, skew_join
 from newsloom.operators.ranking import top_n, top_n_per_group, with_sequential_id
@@ -41,18 +41,15 @@ class TfidfModel:
 
 
 def document_terms(df: DataFrame, row_id: str, col: str, config: TfidfConfig) -> DataFrame:
-    """(row_id, term, tf) of the rows with text.
+    """(row_id, term, tf) of the rows with text, which `row_id` tells apart.
 
-    Texts move once, before they are cut up: they are a fraction of the size of their
-    n-grams, and every later step per document then finds its rows in place.
+    Texts move once, whole: cutting them up takes far longer than moving them, so they are
+    spread evenly first, and every later step per document finds its rows in place. The
+    terms of a text are counted inside its row.
     """
     texts = drop_blank(df, col).select(row_id, col).repartition(row_id)
     grams = ngrams(words(F.col(col)), *config.ngram_range)
-    return (
-        texts.select(row_id, F.explode(grams).alias("term"))
-        .groupBy(row_id, "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+    return texts.select(row_id, F.inline(counted(grams)))
 
 
 def term_stats(terms: DataFrame) -> DataFrame:
