@@ -199,9 +199,6 @@ def _first_valid(spark, sf):
 
 # ---------------------------------------------------------------- search
 
-TEXT_COLS = "concat_ws(' | ', headline, summary, article_text)"
-
-
 def _terms_sql(col: str) -> str:
     terms = "|".join(t.replace(" ", "\\s+") for t in search.FINANCE_TERMS)
     return f"coalesce(regexp_matches({col}, '(?i)\\b({terms})\\b'), false)"

@@ -12,6 +12,9 @@ from newsloom.functions.dates import iso_from_epoch
 from newsloom.operators.backfill import union_all
 from newsloom.schemas import COMPANY_NEWS_ITEMS, PAGES, SEARCH_RESPONSE, SYMBOLS
 
+# ---- fixed value: provider written for company news ----
+PROVIDER = "finnhub"
+
 
 def _empty_to_null(df: DataFrame) -> DataFrame:
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
@@ -56,7 +59,7 @@ def flatten_company_news(df: DataFrame, body: str = "body", ticker: str = "ticke
         F.explode(F.from_json(F.col(body), COMPANY_NEWS_ITEMS)).alias("a"),
     )
     return items.select(
-        F.lit("finnhub").alias("provider"),
+        F.lit(PROVIDER).alias("provider"),
         "ticker",
         iso_from_epoch(F.col("a.datetime")).alias("published_utc"),
         "a.headline",
