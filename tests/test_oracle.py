@@ -34,3 +34,15 @@ def test_entry_has_rows(spark):
 
 def test_all_but_the_iterative_queries_have_sql():
     assert set(queries()) - set(oracle_sql()) == {"five_topic_share"}
+
+
+@pytest.mark.parametrize("partitions", ["1", "17"])
+def test_results_do_not_depend_on_the_partitioning(spark, con, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        for name in ("backfill_mixed_targets", "build_index", "dedupe_chain", "resolve_redirects", "scrape", "tfidf_weights"):
+            table = queries()[name](spark, SF).toArrow()
+            assert not differences(table, con.sql(oracle_sql()[name]).to_arrow_table()), name
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
