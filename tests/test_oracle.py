@@ -2,7 +2,8 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from newsloom.plans.catalog import ORACLES, QUERIES
 from tests.compare import differences, duck
 
 SF = "/root/testdata/sf0.001"
@@ -13,13 +14,13 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    df = queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not any(bad in plan for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"))
     table = df.toArrow()
-    sql = oracle_sql().get(name)
+    sql = ORACLES.get(name)
     if sql is None:
         assert table.num_rows > 0
     else:
@@ -33,7 +34,7 @@ def test_entry_has_rows(spark):
 
 
 def test_all_but_the_iterative_queries_have_sql():
-    assert set(queries()) - set(oracle_sql()) == {"five_topic_share"}
+    assert set(QUERIES) - set(ORACLES) == {"five_topic_share"}
 
 
 @pytest.mark.parametrize("partitions", ["1", "17"])
@@ -42,7 +43,7 @@ def test_results_do_not_depend_on_the_partitioning(spark, con, partitions):
     spark.conf.set("spark.sql.shuffle.partitions", partitions)
     try:
         for name in ("backfill_mixed_targets", "build_index", "dedupe_chain", "resolve_redirects", "scrape", "tfidf_weights"):
-            table = queries()[name](spark, SF).toArrow()
-            assert not differences(table, con.sql(oracle_sql()[name]).to_arrow_table()), name
+            table = QUERIES[name](spark, SF).toArrow()
+            assert not differences(table, con.sql(ORACLES[name]).to_arrow_table()), name
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
