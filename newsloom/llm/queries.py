@@ -7,6 +7,8 @@ from newsloom.llm import (  # noqa: F401
     decision_list,
     fingerprints,
     mixing,
+    packing,
+    token_files,
 )
 from newsloom.llm.registry import ORACLES, QUERIES
 
