@@ -6,8 +6,10 @@ from newsloom.llm import (  # noqa: F401
     chat,
     decision_list,
     fingerprints,
+    language,
     mixing,
     packing,
+    quality,
     token_files,
 )
 from newsloom.llm.registry import ORACLES, QUERIES
