@@ -6,6 +6,7 @@ from newsloom.llm import (  # noqa: F401
     chat,
     decision_list,
     fingerprints,
+    html_main,
     language,
     mixing,
     packing,
