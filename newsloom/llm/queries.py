@@ -7,6 +7,7 @@ from newsloom.llm import (  # noqa: F401
     decision_list,
     fingerprints,
     html_main,
+    jaccard_join,
     language,
     mixing,
     packing,
