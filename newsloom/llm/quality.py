@@ -231,39 +231,41 @@ def train(rows: DataFrame) -> Model:
     if not len(counts):
         counts = _summed(rows, histogram)
     used = np.flatnonzero(counts[0])
-    # One observation of each kind at either end keeps probabilities off 0 and 1.
     chances = isotonic(used, counts[1][used], counts[0][used])
     return Model(fourier, solved, ((edges[:-1] + edges[1:]) / 2)[used], chances)
 
 
-def learn(stats: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
-    """Learn from `stats` (doc_id, x) and `labels` (doc_id, quality); held-out rows are for the caller to leave out."""
+def learn(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
+    """Learn from the texts of `docs` (doc_id, text) and `labels` (doc_id, quality); leave held-out labels out before.
+
+    About `max_rows` labelled documents are used, so that what is joined and measured is bounded.
+    """
     known = labels.where(F.col("quality").isNotNull()).groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("good"))
     total = known.count()
     place = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(1 << 20))
     picked = known.where(place < min(1.0, max_rows / max(1, total)) * (1 << 20))
-    rows = stats.join(picked, "doc_id").select("x", "good", (F.pmod(F.xxhash64(F.lit(4), "doc_id"), F.lit(4)) > 0).alias("fitted"))
-    return train(stored(rows, "quality-rows"))
+    rows = with_statistics(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id"))
+    return train(stored(rows.select("x", "good", (F.pmod(F.xxhash64(F.lit(4), "doc_id"), F.lit(4)) > 0).alias("fitted")), "quality-rows"))
 
 
-def scored(stats: DataFrame, model: Model) -> DataFrame:
-    """The other columns of `stats` (..., x) with `score` and `predicted`."""
-    shared = stats.sparkSession.sparkContext.broadcast(model)
-    others = [f for f in stats.schema.fields if f.name not in ("x", "score", "predicted")]
+def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """`docs` with `score` and `predicted` of its whole texts."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    others = [f for f in docs.schema.fields if f.name not in ("score", "predicted")]
     schema = T.StructType([*others, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score = shared.value.score(_matrix(batch)) if batch.num_rows else np.zeros(0)
+            score = shared.value.score(statistics(batch.column(text)))
             arrays = [pa.array(score), pa.array((score >= ACCEPT).astype(np.int32))]
             yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in others], *arrays], [*[f.name for f in others], "score", "predicted"])
 
-    return stats.mapInArrow(judge, schema)
+    return docs.select(*[f.name for f in others]).mapInArrow(judge, schema)
 
 
 @query("op5_quality_classifier")
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    stats = stored(with_statistics(docs.select("doc_id", "text")), "quality-stats")
-    model = learn(stats, labels.where(fold("doc_id", 5) != 0))
-    return scored(stats.withColumn("held_out", fold("doc_id", 5) == 0), model).select("doc_id", "held_out", "score", "predicted")
+    model = learn(docs, labels.where(fold("doc_id", 5) != 0))
+    told = scored(docs.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "text"), model)
+    return told.select("doc_id", "held_out", "score", "predicted")
