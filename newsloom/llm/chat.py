@@ -1,8 +1,8 @@
 """Chat formatting by event-sourced reconstruction (operator 4).
 
 A log has events of conversations in a sequence. A message's events fold into its final text:
-`delta` appends its text, `edit` replaces the text so far, `regenerate` clears it and the role
-given with it, if any, counts. So a message is what its events say from its last `edit` or
+`delta` appends its text, `edit` replaces the text so far, `regenerate` clears it; the last role given
+counts. So a message is what its events say from its last `edit` or
 `regenerate` on, and only those are gathered. Messages are rendered one by one; a running sum
 over the conversation gives each its place, and a conversation's text is their concatenation.
 
@@ -49,11 +49,14 @@ def fold_events(events: DataFrame) -> DataFrame:
     in_message = Window.partitionBy("conv_id", "message")
     order = F.struct("seq", "kind", F.coalesce("text", F.lit("")).alias("text"))
     said = F.when(F.col("kind") == "regenerate", F.lit("")).otherwise(F.coalesce("text", F.lit("")))
-    marked = events.withColumn("order", order).withColumn("last_reset", F.max(F.when(resets, F.col("order"))).over(in_message))
+    said_by = F.max_by("role", F.when(F.col("role").isNotNull(), F.col("order"))).over(in_message)
+    marked = events.withColumn("order", order).select(
+        "conv_id", "message", "order", "kind", "text", said_by.alias("role"), F.max(F.when(resets, F.col("order"))).over(in_message).alias("last_reset")
+    )
     live = marked.where(F.col("last_reset").isNull() | (F.col("order") >= F.col("last_reset")))
     parts = F.sort_array(F.collect_list(F.struct("order", said.alias("said"))))
     return live.groupBy("conv_id", "message").agg(
-        F.coalesce(F.max_by("role", F.when(F.col("role").isNotNull(), F.col("order"))), F.lit("")).alias("role"),
+        F.coalesce(F.max("role"), F.lit("")).alias("role"),
         F.concat_ws("", F.transform(parts, lambda x: x["said"])).alias("text"),
     )
 

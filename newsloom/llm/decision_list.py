@@ -115,17 +115,19 @@ def _gain(bad: int, good: int, before: tuple[int, int]) -> float:
     return bad * (math.log2(bad / (bad + good)) - math.log2(before[0] / sum(before)))
 
 
-def learn(rows: DataFrame, features: tuple[str, ...] = FEATURES, cuts: int = 16, longest: int = 3, most_rules: int = 12, precision: float = 0.9, least: int = 5) -> list[list[Condition]]:
+def learn(rows: DataFrame, features: tuple[str, ...] = FEATURES, cuts: int = 16, longest: int = 3, most_rules: int = 12, precision: float = 0.95, least: int = 3) -> list[list[Condition]]:
     """Conjunctions that mark bad documents, in order, from `rows` of features and `good`.
 
     `cuts` candidate thresholds per feature and label are quantiles of all rows; a third of the rows, by
-    hash of their statistics, is held back for pruning. A rule needs `least` bad rows and the given precision.
+    hash of their statistics, is held back for pruning, unless fewer than ten times `least` rows are bad. A rule
+    needs `least` bad rows and the given precision.
     """
-    spread = rows.groupBy("good").agg(*[F.percentile_approx(f, [(k + 0.5) / cuts for k in range(cuts)], 2000).alias(f) for f in features]).collect()
+    spread = rows.groupBy("good").agg(F.count(F.lit(1)).alias("rows"), *[F.percentile_approx(f, [(k + 0.5) / cuts for k in range(cuts)], 2000).alias(f) for f in features]).collect()
     if len(spread) < 2:
         return []
     edges = {f: sorted({float(x) for r in spread for x in r[f]} | {math.nextafter(float(x), math.inf) for r in spread for x in r[f]}) for f in features}
     interval = lambda f: F.aggregate(F.array(*[F.lit(e) for e in edges[f]]), F.lit(0), lambda n, e: n + (F.col(f) >= e).cast("int"))
+    few = min(r["rows"] for r in spread if not r["good"]) < 10 * least
     held = F.pmod(F.xxhash64(*features), F.lit(3)) == 0
     left = stored(rows.select("good", held.alias("held"), *[interval(f).alias(f) for f in features]), "rules-rows")
 
@@ -142,7 +144,7 @@ def learn(rows: DataFrame, features: tuple[str, ...] = FEATURES, cuts: int = 16,
 
     found: list[list[tuple[str, bool, int]]] = []
     while len(found) < most_rules:
-        grow, prune = left.where(~F.col("held")), left.where("held")
+        grow, prune = (left, left) if few else (left.where(~F.col("held")), left.where("held"))
         rule: list[tuple[str, bool, int]] = []
         before = count(grow, rule)
         while len(rule) < longest and before[0] >= least and before[1]:
@@ -171,7 +173,7 @@ def learn(rows: DataFrame, features: tuple[str, ...] = FEATURES, cuts: int = 16,
         worth = lambda c: (c[0] - c[1]) / max(1, sum(c))
         shorter = [(worth(count(prune, rule[:n])), -n, n) for n in range(1, len(rule) + 1)]
         rule = rule[: max(shorter)[2]]
-        bad, good = (sum(x) for x in zip(count(prune, rule), count(grow, rule)))
+        bad, good = count(left, rule)
         if bad < least or bad < precision * (bad + good):
             break
         found.append(rule)
