@@ -28,6 +28,13 @@ def opened(df: DataFrame, *added: str) -> DataFrame:
     return df.select(*[F.col("row").getField(f).alias(f) for f in fields], *added)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """`name`, made longer until `df` has no such column."""
+    while name.lower() in [c.lower() for c in df.columns]:
+        name += "_"
+    return name
+
+
 def key_of(source: Column) -> Column:
     """A join key that tells a null source from every other."""
     return F.when(source.isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), source))

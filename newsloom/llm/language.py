@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsloom.llm.common import fold
+from newsloom.llm.common import fold, unused
 from newsloom.llm.registry import query, table
 
 MAX_ROWS = 3000
@@ -101,6 +101,7 @@ class Model:
         self.code = np.zeros(256, np.int32)
         self.code[known] = np.arange(1, len(known) + 1)
         self.width = a = len(known) + 1
+        self.sharing = 256 - len(known)
         coded = {
             name: ([self.code[(keys >> (8 * b)) & 0xFF].astype(np.int64) for b in range(ORDER + 1)], n.astype(np.float64))
             for name, (keys, n) in counts.items()
@@ -124,13 +125,12 @@ class Model:
             own = self._blend(np.bincount(where * a + k[0], n, len(contexts) * a).reshape(len(contexts), a), level[contexts % (a * a)])
             self.bits[at] = -np.log2(np.concatenate([level, own])).ravel()
 
-    @staticmethod
-    def _blend(counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
+    def _blend(self, counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
         """Probabilities after contexts with these counts; what was not seen there escapes to `shorter`."""
         n, d = counts.sum(1, keepdims=True), (counts > 0).sum(1, keepdims=True)
         unseen = np.where(counts > 0, 0.0, shorter)
         # An unseen byte gets its share of the escape by its weight among all that were not seen here.
-        left = np.maximum(unseen.sum(1, keepdims=True), 1e-12)
+        left = np.maximum(unseen.sum(1, keepdims=True) + (self.sharing - 1) * unseen[:, :1], 1e-12)
         with np.errstate(invalid="ignore", divide="ignore"):
             mixed = np.where(counts > 0, counts / (n + d), unseen / left * d / (n + d))
         return np.where(n > 0, mixed, shorter)
@@ -179,14 +179,14 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     outputs = [f.name for f in added]
     others = [f for f in docs.schema.fields if f.name not in outputs]
     schema = T.StructType([*others, *added])
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, readable_ = docs.sparkSession.sparkContext.broadcast(model), unused(docs, "readable")
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
             best = np.full(batch.num_rows, -1)
             score, per_byte = np.zeros(batch.num_rows), np.zeros(batch.num_rows)
-            readable = np.array(batch.column("readable_"))
+            readable = np.array(batch.column(readable_))
             for at, rows, data, offsets in byte_chunks(batch.column(text)) if own.languages else ():
                 bits = own.code_lengths(data, offsets)
                 here, n = slice(at, at + rows), np.diff(offsets)
@@ -202,7 +202,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 [*[batch.column(f.name) for f in others], pa.array(names), pa.array(score), pa.array(per_byte)], [*[f.name for f in others], *outputs]
             )
 
-    return docs.select(*[f.name for f in others], has_letter(F.col(text)).alias("readable_")).mapInArrow(label, schema)
+    return docs.select(*[f.name for f in others], has_letter(F.col(text)).alias(readable_)).mapInArrow(label, schema)
 
 
 def identify(docs: DataFrame) -> DataFrame:
