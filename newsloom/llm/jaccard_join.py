@@ -7,8 +7,8 @@ set are one class. Classes are compared, in steps that each look at all of them:
    one global order, the others before them by hash. The threshold leaves at most 2^22 frequent ones.
 2. A class is indexed under its first shingles in that order, as many as guarantee that linked classes
    share one. Lists are sorted by size and position, and what lies in blocks of sizes or positions that
-   cannot link is skipped. Pairs of what remains are screened by parity bitmaps, which never exceed the difference
-   of the sets. Lists longer than the threshold make no pairs: neighbours in size are put in one family.
+   cannot link is skipped. Pairs of what remains are screened by parity bitmaps as long as the sets, which never
+   differ more than the sets do. Lists longer than the threshold make no pairs: neighbours in size are put in one family.
 3. Families (components of these candidates) are compared set by set. The common shingles of the first set with
    all others are counted from the family's lists; every further set's counts are derived from those of the set most
    similar to it, by the lists of shingles in which the two differ. Large families are cut in chunks, of
@@ -47,10 +47,9 @@ MOST_FREQUENT = 1 << 22
 LEAST_FREQUENT = 32
 FLUSH = 1 << 22
 CHUNK_SETS = 4096
-CHUNK_SHINGLES = 1 << 22
-WORDS_OF_BITMAP = 8
-BITMAP = [f"s{i}" for i in range(WORDS_OF_BITMAP)]
-ROWS = "doc_id bigint, n bigint, set_id bigint, text_hash bigint, " + ", ".join(f"{s} bigint" for s in BITMAP)
+CHUNK_SHINGLES = 1 << 20
+LEAST_BITS = 512
+ROWS = "doc_id bigint, n bigint, set_id bigint, text_hash bigint, bitmap binary"
 COUNTS = "range int, keys binary, more binary"
 
 
@@ -84,17 +83,28 @@ def _counted(keys: list[np.ndarray]) -> Iterator[tuple[int, bytes, bytes]]:
             yield r, pack_keys(found[a:b], r * width), np.stack([often, n[a:b][often]]).astype(np.uint32).tobytes()
 
 
-def bitmap(shingles: np.ndarray) -> np.ndarray:
-    """For each of 512 groups of shingles whether an odd number of them is in the set."""
-    odd = np.bincount((shingles & np.uint64(64 * WORDS_OF_BITMAP - 1)).astype(np.int64), minlength=64 * WORDS_OF_BITMAP) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+def bitmap(shingles: np.ndarray) -> bytes:
+    """For each group of shingles, of which there are at least as many as shingles, whether an odd number is in the set."""
+    bits = max(LEAST_BITS, 1 << int(len(shingles) - 1).bit_length())
+    odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def difference(one: bytes, two: bytes) -> int:
+    """In how many groups two bitmaps differ, at most as many as the sets' shingles that only one of them has."""
+    a, b = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
+    if len(a) < len(b):
+        a, b = b, a
+    # Groups of the longer one are parts of those of the shorter.
+    folded = np.bitwise_xor.reduce(a.reshape(-1, len(b)), 0)
+    return int(np.bitwise_count(folded ^ b).sum())
 
 
 def describe_sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """Rows of two kinds: per document its set's size, digest and bitmap; per task and range its counts of shingles."""
     schema = ROWS + ", " + COUNTS
     names = [c.split()[0] for c in schema.split(", ")]
-    kinds = [pa.int64()] * (4 + WORDS_OF_BITMAP) + [pa.int32(), pa.binary(), pa.binary()]
+    kinds = [pa.int64()] * 4 + [pa.binary(), pa.int32(), pa.binary(), pa.binary()]
 
     def counts(keys: list[np.ndarray]) -> pa.RecordBatch:
         rows = list(zip(*_counted(keys)))
@@ -116,8 +126,7 @@ def describe_sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                     if held >= FLUSH:
                         yield counts(keys)
                         keys, held = [], 0
-                columns = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.int64()), batch.column("text_hash")]
-                columns += [pa.array(b) for b in np.array(bits).reshape(-1, WORDS_OF_BITMAP).T.copy()]
+                columns = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.int64()), batch.column("text_hash"), pa.array(bits, pa.binary())]
                 yield pa.RecordBatch.from_arrays([*columns, *[pa.nulls(len(n), k) for k in kinds[-3:]]], names)
         if held:
             yield counts(keys)
@@ -279,12 +288,17 @@ def _with_last(batches: Iterator[pa.RecordBatch]):
 
 def screened(pairs: DataFrame, classes: DataFrame, share: int = SHARE) -> DataFrame:
     """The pairs whose bitmaps differ no more than linked sets of their sizes may."""
-    side = lambda s: classes.select(F.col("set_id").alias(s), F.col("n").alias(f"n_{s}"), *[F.col(c).alias(f"{c}_{s}") for c in BITMAP])
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    differ = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in BITMAP), F.lit(0))
-    total = F.col("n_a") + F.col("n_b")
-    needed = F.ceil(share * total / (100 + share))
-    return both.where(differ <= total - 2 * needed).select("a", "b")
+
+    def screen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            most = total - 2 * least_common(total, share)
+            differ = [difference(x.as_buffer(), y.as_buffer()) for x, y in zip(batch.column("bitmap_a"), batch.column("bitmap_b"))]
+            near = pa.array(np.array(differ, np.int64) <= most)
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(near), batch.column("b").filter(near)], ["a", "b"])
+
+    side = lambda s: classes.select(F.col("set_id").alias(s), F.col("n").alias(f"n_{s}"), F.col("bitmap").alias(f"bitmap_{s}"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(screen, "a bigint, b bigint")
 
 
 def compare_family(sets: list[np.ndarray], sides: np.ndarray, share: int = SHARE) -> list[tuple[int, int]]:
@@ -378,13 +392,14 @@ def verified_links(docs: DataFrame, members: DataFrame, width: int = WIDTH, shar
         a, b = np.array(links, np.int64).reshape(-1, 2).T
         return pa.table({"a": pa.array(ids[a], pa.int64()), "b": pa.array(ids[b], pa.int64())})
 
-    grouped = sets.join(wanted.select("family", "set_id", "chunk", "one", "two"), "set_id").select("family", "one", "two", "chunk", "set_id", "shingles")
+    tasks = wanted.select("family", "set_id", "chunk", "one", "two")
+    grouped = lookup_join(sets, tasks, ["set_id"], ["set_id"], "inner").select("family", "one", "two", "chunk", "set_id", "shingles")
     return grouped.groupBy("family", "one", "two").applyInArrow(compare, "a bigint, b bigint")
 
 
 def classes_of(rows: DataFrame) -> DataFrame:
     """One row per class of `rows` (doc_id, n, set_id, text_hash, bitmap)."""
-    return rows.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("first_id"), F.min("n").alias("n"), F.min("text_hash").alias("text_hash"), *[F.min(c).alias(c) for c in BITMAP])
+    return rows.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("first_id"), F.min("n").alias("n"), F.min("text_hash").alias("text_hash"), F.min("bitmap").alias("bitmap"))
 
 
 def linked_documents(docs: DataFrame, width: int = WIDTH, share: int = SHARE) -> DataFrame:
