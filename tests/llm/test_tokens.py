@@ -47,7 +47,7 @@ def test_memory_of_the_encoder_is_bounded(monkeypatch):
     for _ in range(50):
         text = " ".join("".join(rng.choice("abc") for _ in range(4)) for _ in range(5))
         assert np.frombuffer(own.encode(text), own.dtype).tolist() == ids(text)
-    assert len(own.words) <= 10 and len(own.pieces) <= 10
+    assert all(len(m) <= 5 and len(m.older) <= 5 for m in (own.words, own.pieces))
 
 
 @settings(max_examples=200, deadline=None)
