@@ -55,12 +55,15 @@ def is_good_text(c: Column, min_len: int = 100, artefacts: str = "basic") -> Col
     return c.isNotNull() & (F.length(c) >= min_len) & let(F.lower(c), clean)
 
 
-def looks_like_consent(html: Column) -> Column:
-    top = F.substring(html, 1, CONSENT_WINDOW)
+def looks_like_consent(html: Column, chars: int | None = CONSENT_WINDOW) -> Column:
+    """Whether the first `chars` characters (None: the whole page) hold a phrase of consent pages."""
+    top = html if chars is None else F.substring(html, 1, chars)
     return F.coalesce(top.rlike("(?iU)" + "|".join(CONSENT)), F.lit(False))
 
 
-def fetch_error(url: Column, status: Column, html: Column, error: Column | None = None) -> Column:
+def fetch_error(
+    url: Column, status: Column, html: Column, error: Column | None = None, consent_chars: int | None = CONSENT_WINDOW
+) -> Column:
     """Why a fetch is not a plain success; null if it is."""
     why = (
         F.when(~is_http_url(url), F.lit("invalid_url"))
@@ -72,7 +75,7 @@ def fetch_error(url: Column, status: Column, html: Column, error: Column | None
         why.when(status.isNull(), F.lit("fetch_error:NotCaptured:no page captured"))
         .when(status == 0, F.lit("fetch_error:NoResponse:no response captured"))
         .when(status != 200, F.concat(F.lit("http_status_"), status.cast("string")))
-        .when(looks_like_consent(html), F.lit("consent_or_block_detected"))
+        .when(looks_like_consent(html, consent_chars), F.lit("consent_or_block_detected"))
     )
 
 

@@ -118,13 +118,15 @@ def light_clean(c: Column) -> Column:
         )
         return F.transform(in_order, lambda line: line["line"])
 
-    by_text = F.array_sort(
-        F.transform(
-            tidy_lines(c),
-            lambda line, i: F.struct(F.lower(line).alias("low"), i.alias("place"), line.alias("line")),
+    def once_each(lines: Column) -> Column:
+        by_text = F.array_sort(
+            F.transform(lines, lambda line, i: F.struct(F.lower(line).alias("low"), i.alias("place"), line.alias("line")))
         )
-    )
-    return F.when(c != "", F.array_join(let(by_text, first_of_each), "\n"))
+        # Most texts repeat no line, which a look at the set of lines shows.
+        distinct = F.size(F.array_distinct(F.transform(lines, F.lower)))
+        return F.when(distinct == F.size(lines), lines).otherwise(let(by_text, first_of_each))
+
+    return F.when(c != "", F.array_join(let(tidy_lines(c), once_each), "\n"))
 
 
 def collapse_space(c: Column) -> Column:

@@ -90,12 +90,15 @@ def _uri(c: Column) -> Column:
 
 
 def _merged_path(path: Column, base_path: Column) -> Column:
-    """Path of the reference laid over the base path, dot segments removed."""
+    """Path of the reference laid over the base path, dot segments removed.
+
+    Empty segments stay in an absolute path and go where a relative one is merged with its folder.
+    """
     folder = F.regexp_replace(base_path, r"[^/]*$", "")
     folder = F.when(folder == "", F.lit("/")).otherwise(folder)
-    full = F.when(path.startswith("/"), path).otherwise(F.concat(folder, path))
-    slim = F.regexp_replace(full, r"/{2,}", "/")
-    segments = F.split(F.substring(slim, 2, 1 << 30), "/")
+    merged = F.regexp_replace(F.concat(folder, path), r"/{2,}", "/")
+    full = F.when(path.startswith("/"), path).otherwise(merged)
+    segments = F.split(F.substring(full, 2, 1 << 30), "/")
 
     def step(stack: Column, segment: Column) -> Column:
         return (
@@ -105,7 +108,7 @@ def _merged_path(path: Column, base_path: Column) -> Column:
         )
 
     clean = F.aggregate(segments, F.array().cast("array<string>"), step)
-    clean = F.when(slim.rlike(r"(^|/)\.\.?$"), F.concat(clean, F.array(F.lit("")))).otherwise(clean)
+    clean = F.when(full.rlike(r"(^|/)\.\.?$"), F.concat(clean, F.array(F.lit("")))).otherwise(clean)
     return F.concat(F.lit("/"), F.array_join(clean, "/"))
 
 

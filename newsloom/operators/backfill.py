@@ -42,11 +42,14 @@ def windows_of(days_ago: Column, window_days: int, last: int) -> Column:
     )
 
 
-def target_of(ticker: Column, targets: Mapping[str, int], default: int) -> Column:
-    value = F.lit(default)
-    for name, target in targets.items():
-        value = F.when(ticker == name, F.lit(target)).otherwise(value)
-    return value
+def with_target(df: DataFrame, targets: DataFrame | Mapping[str, int] | None, default: int) -> DataFrame:
+    """Add each ticker's target; `targets` (ticker, target) may be a table or a short mapping."""
+    if targets is None or (isinstance(targets, Mapping) and not targets):
+        return df.withColumn("target", F.lit(default))
+    if isinstance(targets, Mapping):
+        targets = df.sparkSession.createDataFrame(list(targets.items()), "ticker string, target int")
+    one = targets.where(F.col("ticker").isNotNull()).groupBy("ticker").agg(F.max("target").alias("target"))
+    return df.join(one, "ticker", "left").withColumn("target", F.coalesce("target", F.lit(default)))
 
 
 def backfill(
@@ -54,47 +57,44 @@ def backfill(
     as_of: dt.date,
     order_by: list,
     default_target: int = SAMPLED_TARGET,
-    targets: Mapping[str, int] | None = None,
+    targets: DataFrame | Mapping[str, int] | None = None,
     window_days: int = WINDOW_DAYS,
     lookback_days: int = LOOKBACK_DAYS,
     row_id: str = "id",
 ) -> DataFrame:
     """Walk windows back from `as_of` until a ticker has its target, then dedupe and cut.
 
-    A window is read if the raw rows of the windows before it are fewer than the target; a
+    `targets` (ticker, target) names targets other than the default. Only days that some window
+    holds are read. A window is read if the raw rows of the windows before it are fewer than the target; a
     row in two windows counts in both. `news` has columns ticker, day, url and `row_id`;
     the result gains `window_no`, the first window an article was seen in.
     """
-    targets = dict(targets or {})
     last = last_window(window_days, lookback_days)
     days_ago = F.date_diff(F.lit(as_of), F.col("day"))
-    placed = news.where(F.col("ticker").isNotNull()).withColumn(
-        "window_no", F.explode(windows_of(days_ago, window_days, last))
-    )
+    oldest = as_of - dt.timedelta(days=lookback_days + window_days)
+    inside = F.col("ticker").isNotNull() & F.col("day").between(F.lit(oldest), F.lit(as_of))
+    placed = news.where(inside).withColumn("window_no", F.explode(windows_of(days_ago, window_days, last)))
 
     # At most one row per ticker and window is left after the map-side count.
     sizes = placed.groupBy("ticker", "window_no").agg(F.count(F.lit(1)).alias("size"))
     before = Window.partitionBy("ticker").orderBy("window_no").rowsBetween(Window.unboundedPreceding, -1)
-    read = sizes.withColumn("seen", F.coalesce(F.sum("size").over(before), F.lit(0))).where(
-        F.col("seen") < target_of(F.col("ticker"), targets, default_target)
-    )
-    reach = read.groupBy("ticker").agg(F.max("window_no").alias("reach"))
+    read = with_target(
+        sizes.withColumn("seen", F.coalesce(F.sum("size").over(before), F.lit(0))), targets, default_target
+    ).where(F.col("seen") < F.col("target"))
+    reach = read.groupBy("ticker").agg(F.max("window_no").alias("reach"), F.max("target").alias("target"))
 
     rows = skew_join(placed, reach, ["ticker"], spread_by=[row_id, "window_no"], how="inner")
     rows = rows.where(F.col("window_no") <= F.col("reach")).drop("reach")
     order = ["window_no", *order_by]
     unique = dedupe(rows.where(F.col("url").isNotNull() & (F.col("url") != "")), ["ticker", "url"], order)
 
-    most = max([default_target, *targets.values()])
-    ranked = top_n_per_group(unique, ["ticker"], order, most)
-    if len({default_target, *targets.values()}) > 1:
-        place = F.row_number().over(Window.partitionBy("ticker").orderBy(*order))
-        ranked = (
-            ranked.withColumn("place", place)
-            .where(F.col("place") <= target_of(F.col("ticker"), targets, default_target))
-            .drop("place")
-        )
-    return ranked
+    if targets is None:
+        return top_n_per_group(unique, ["ticker"], order, default_target).drop("target")
+    # A hot ticker is cut to the largest target before its own place is looked at.
+    named = targets.values() if isinstance(targets, Mapping) else [targets.agg(F.max("target")).first()[0] or 0]
+    ranked = top_n_per_group(unique, ["ticker"], order, max([default_target, *named]))
+    place = F.row_number().over(Window.partitionBy("ticker").orderBy(*order))
+    return ranked.withColumn("place", place).where(F.col("place") <= F.col("target")).drop("place", "target")
 
 
 def is_symbol(c: Column) -> Column:

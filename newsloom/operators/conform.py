@@ -20,10 +20,6 @@ BLANKED = (
 )
 
 
-def select_columns(df: DataFrame, cols: list[str]) -> DataFrame:
-    return df.select(*cols)
-
-
 def drop_null(df: DataFrame, cols: list[str]) -> DataFrame:
     """Rows without a null in any of the columns."""
     return df.na.drop(how="any", subset=cols)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.html import extract_best, extract_canonical, whole_text
-from newsloom.functions.quality import fetch_error, is_good_text
+from newsloom.functions.quality import CONSENT_WINDOW, fetch_error, is_good_text
 from newsloom.functions.text import light_clean, strip, text_length
 from newsloom.functions.urls import (
     choose_original,
@@ -15,7 +15,9 @@ from newsloom.functions.urls import (
     is_http_url,
     registered_domain,
 )
-from newsloom.operators.joins import lookup_join, skew_join
+from newsloom.operators.joins import is_small, lookup_join, skew_join
+from newsloom.operators.ranking import dedupe
+from newsloom.session import stored
 
 # ---- fixed values: names a URL column may have, in order of preference ----
 URL_COLUMNS = ("url_redirect", "url", "link")
@@ -41,7 +43,24 @@ def _optional(df: DataFrame, name: str, kind: str = "string") -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast(kind)
 
 
-def extract_pages(pages: DataFrame) -> DataFrame:
+def last_captures(pages: DataFrame, captured: list | None = None) -> DataFrame:
+    """One row per address: the first in the order `captured`, and of those alike the first by content."""
+    by_content = [c for c in ("status", "html", "final_url", "error") if c in pages.columns]
+    return dedupe(pages, ["url"], [*(captured or []), *by_content], nulls="drop")
+
+
+def wanted_pages(pages: DataFrame, df: DataFrame, url: Column, captured: list | None = None) -> DataFrame:
+    """The last captures of the addresses in column `url` of `df`, so that no other page is read further.
+
+    The distinct addresses are broadcast if they were measured to be few; else both sides are
+    placed by address, which keep-first then finds done.
+    """
+    keys = stored(df.select(strip(url).alias("url")).where(F.col("url").isNotNull()).distinct(), "wanted")
+    keys = F.broadcast(keys) if is_small(keys) else keys
+    return last_captures(pages.join(keys, "url", "left_semi"), captured)
+
+
+def extract_pages(pages: DataFrame, consent_chars: int | None = CONSENT_WINDOW) -> DataFrame:
     """Text and fetch outcome of each captured page: url, final_url, status, error, text, tier.
 
     Runs once per page, before any join, so an address shared by many articles costs once.
@@ -52,7 +71,7 @@ def extract_pages(pages: DataFrame) -> DataFrame:
         "url",
         F.coalesce(_optional(pages, "final_url"), F.col("url")).alias("final_url"),
         "status",
-        fetch_error(F.col("url"), F.col("status"), F.col("html"), _optional(pages, "error")).alias("error"),
+        fetch_error(F.col("url"), F.col("status"), F.col("html"), _optional(pages, "error"), consent_chars).alias("error"),
         best.alias("best"),
     ).select(
         "url", "final_url", "status", "error",
@@ -68,15 +87,24 @@ def attach_pages(df: DataFrame, pages: DataFrame, url: str, spread_by: list[str]
     return skew_join(keyed, right, ["page_key"], spread_by=spread_by).drop("page_key")
 
 
-def scrape(df: DataFrame, pages: DataFrame, spread_by: list[str], url: str = "url_original") -> DataFrame:
+def scrape(
+    df: DataFrame,
+    pages: DataFrame,
+    spread_by: list[str],
+    url: str = "url_original",
+    captured: list | None = None,
+    consent_chars: int | None = CONSENT_WINDOW,
+) -> DataFrame:
     """Add full_text, extractor_used, status, error, final_url, text_length to articles.
 
-    Invalid and blacklisted addresses are settled without a look at the pages.
+    Invalid and blacklisted addresses are settled without a look at the pages, and only pages that
+    an article names are read. Of repeated captures the first in the order `captured` counts.
     """
     address = F.col(url)
     valid = is_http_url(address) & ~F.coalesce(is_blacklisted(address), F.lit(False))
     wanted = df.withColumn("wanted_url", F.when(valid, address))
-    found = attach_pages(wanted, extract_pages(pages), "wanted_url", spread_by)
+    named = wanted_pages(pages, wanted, F.col("wanted_url"), captured)
+    found = attach_pages(wanted, extract_pages(named, consent_chars), "wanted_url", spread_by)
     why = (
         F.when(~is_http_url(address), "invalid_url")
         .when(~valid, "blacklisted_domain")
@@ -95,15 +123,19 @@ def scrape(df: DataFrame, pages: DataFrame, spread_by: list[str], url: str = "ur
 
 
 def extract_main_text(
-    df: DataFrame, pages: DataFrame, spread_by: list[str], url: str = "url_original"
+    df: DataFrame, pages: DataFrame, spread_by: list[str], url: str = "url_original", captured: list | None = None
 ) -> DataFrame:
-    """Add article_text, the page's whole text, and keep rows where it passes the strict gate."""
+    """Add article_text, the page's whole text, and keep rows where it passes the strict gate.
+
+    Only pages that a row names are read, each in the first capture of the order `captured`.
+    """
     # A filter on a computed text would compute it again for each use; here it is computed
     # once, and a page without a good text gives no row.
     good = F.filter(
         F.array(whole_text(F.col("html"))), lambda text: is_good_text(text, 100, "strict")
     )
-    texts = pages.where(F.col("status") == 200).select("url", F.explode(good).alias("article_text"))
+    named = wanted_pages(pages, df, F.col(url), captured)
+    texts = named.where(F.col("status") == 200).select("url", F.explode(good).alias("article_text"))
     return attach_pages(df, texts, url, spread_by).where(F.col("article_text").isNotNull())
 
 
@@ -164,9 +196,10 @@ def with_registered_domain(
     A list of suffixes of the usual size is applied inside the row; a longer one is joined
     to the distinct hosts.
     """
-    rules = suffixes.select("suffix").limit(inline_rules + 1).collect()
+    suffixes = suffixes.select("suffix").where(F.col("suffix").isNotNull()).distinct()
+    rules = suffixes.limit(inline_rules + 1).collect()
     if len(rules) <= inline_rules:
-        return df.withColumn(name, registered_domain(F.col(url), [r["suffix"] for r in rules]))
+        return df.withColumn(name, registered_domain(F.col(url), sorted(r["suffix"] for r in rules)))
     known = registered_domains(df.select(F.col(url).alias("url")), suffixes).withColumnRenamed("domain", name)
     keyed = df.withColumn("host", F.nullif(host(F.col(url)), F.lit("")))
     return (
@@ -177,14 +210,25 @@ def with_registered_domain(
 
 
 def resolve_canonical(
-    df: DataFrame, pages: DataFrame, suffixes: DataFrame, spread_by: list[str], url: str | None = None
+    df: DataFrame,
+    pages: DataFrame,
+    suffixes: DataFrame,
+    spread_by: list[str],
+    url: str | None = None,
+    captured: list | None = None,
+    error_chars: int | None = ERROR_CHARS,
 ) -> DataFrame:
     """Add url_final, url_canonical, url_original, domain, http_status and error.
 
     A page is read for its canonical address unless its status is an error (400 or more);
-    its final address counts either way.
+    its final address counts either way. Only pages that a row names are read, each in the first
+    capture of the order `captured`. Errors are cut to `error_chars` characters (None: whole).
     """
     column = url or pick_url_column(df)
+    address = strip(F.col(column))
+    valid = is_http_url(address)
+    base = df.withColumn("wanted_url", F.when(valid, address))
+    pages = wanted_pages(pages, base, F.col("wanted_url"), captured)
     answered = F.col("status") != 0
     readable = F.col("status").between(200, 399)
     final = F.coalesce(_optional(pages, "final_url"), F.col("url"))
@@ -194,13 +238,10 @@ def resolve_canonical(
         F.when(answered, final).alias("url_final"),
         F.when(readable, extract_canonical(F.col("html"), final)).alias("url_canonical"),
         F.when(answered, F.col("status")).cast("int").alias("http_status"),
-        F.when(~answered, F.substring(failure, 1, ERROR_CHARS)).alias("error"),
+        F.when(~answered, failure if error_chars is None else F.substring(failure, 1, error_chars)).alias("error"),
     ).withColumn("url_original", choose_original(F.col("url_final"), F.col("url_canonical")))
     outcome = with_registered_domain(outcome, "url_original", suffixes, spread_by=["url"])
 
-    address = strip(F.col(column))
-    valid = is_http_url(address)
-    base = df.withColumn("wanted_url", F.when(valid, address))
     found = attach_pages(base, outcome, "wanted_url", spread_by)
     why = (
         F.when(~valid, "no_url")

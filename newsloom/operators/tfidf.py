@@ -5,13 +5,16 @@ from __future__ import annotations
 import json
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions.text import counted, ngrams, words
 from newsloom.operators.conform import drop_blank
-from newsloom.operators.joins import lookup_join, skew_join
+from newsloom.operators.joins import lookup_join
 from newsloom.operators.ranking import top_n, top_n_per_group, with_sequential_id
+from newsloom.session import stored
+
+PAIRS_A_PART = 1000
 
 
 @dataclass(frozen=True)
@@ -21,7 +24,7 @@ class TfidfConfig:
     ngram_range: tuple[int, int] = (1, 2)
     min_df: int | float = 3
     max_df: int | float = 0.90
-    max_features: int | None = 120_000
+    max_features: int | None = None
     norm: str | None = "l2"
     use_idf: bool = True
     smooth_idf: bool = True
@@ -41,15 +44,9 @@ class TfidfModel:
 
 
 def document_terms(df: DataFrame, row_id: str, col: str, config: TfidfConfig) -> DataFrame:
-    """(row_id, term, tf) of the rows with text, which `row_id` tells apart.
-
-    Texts move once, whole: cutting them up takes far longer than moving them, so they are
-    spread evenly first, and every later step per document finds its rows in place. The
-    terms of a text are counted inside its row.
-    """
-    texts = drop_blank(df, col).select(row_id, col).repartition(row_id)
+    """(row_id, term, tf) of the rows with text, which `row_id` tells apart; counted inside the row."""
     grams = ngrams(words(F.col(col)), *config.ngram_range)
-    return texts.select(row_id, F.inline(counted(grams)))
+    return drop_blank(df, col).select(row_id, F.inline(counted(grams)))
 
 
 def term_stats(terms: DataFrame) -> DataFrame:
@@ -81,7 +78,8 @@ def fit_tfidf(df: DataFrame, row_id: str, col: str, config: TfidfConfig | None =
 def transform_tfidf(model: TfidfModel, df: DataFrame) -> DataFrame:
     """(row_id, term_id, term, weight): the non-zero cells of the matrix."""
     config, row_id = model.config, model.row_id
-    terms = document_terms(df, row_id, model.col, config)
+    # Texts move once, whole: every later step per document then finds its rows in place.
+    terms = document_terms(df.select(row_id, model.col).repartition(row_id), row_id, model.col, config)
     known = model.vocabulary.select("term", "term_id", "idf")
     cells = lookup_join(terms, known, ["term"], [row_id], "inner")
     tf = F.col("tf").cast("double")
@@ -127,19 +125,34 @@ def top_terms(weights: DataFrame, row_id: str, n: int = 10) -> DataFrame:
 def cosine_pairs(weights: DataFrame, pairs: DataFrame, row_id: str) -> DataFrame:
     """(a, b, cosine) of the given pairs of documents; rows have length 1, so a dot product.
 
-    A document named in many pairs is a hot key on its side, so both joins split it.
+    A document is one row of its weights by term. The pairs look their two documents up, and the
+    product is taken inside the row, so nothing is exploded per pair. A document of many pairs is
+    spread: its pairs are dealt to as many parts as there are thousands of them, each of which gets a copy of the row.
     """
-    left = weights.select(F.col(row_id).alias("a"), "term_id", F.col("weight").alias("weight_a"))
-    right = weights.select(F.col(row_id).alias("b"), "term_id", F.col("weight").alias("weight_b"))
-    named = pairs.select("a", "b").distinct()
-    # The narrow pair table is the side that may be hot; the cells of `a` are its few rows.
-    with_a = skew_join(named, left, ["a"], spread_by=["b"], how="inner")
-    dots = (
-        skew_join(with_a, right, ["b", "term_id"], spread_by=["a"], how="inner")
-        .groupBy("a", "b")
-        .agg(F.sum(F.col("weight_a") * F.col("weight_b")).alias("cosine"))
-    )
-    return named.join(dots, ["a", "b"], "left").withColumn("cosine", F.coalesce("cosine", F.lit(0.0)))
+    cell = F.struct(F.col("term_id").cast("bigint").alias("term_id"), F.col("weight").cast("double").alias("weight"))
+    vectors = stored(weights.groupBy(row_id).agg(F.collect_list(cell).alias("cells")), "vectors")
+    named = stored(pairs.select("a", "b").distinct(), "pairs")
+
+    def looked_up(left: DataFrame, key: str) -> DataFrame:
+        parts = named.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / PAIRS_A_PART).cast("int").alias("parts"))
+        copies = parts.join(vectors.withColumnRenamed(row_id, key), key).select(
+            key, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "parts", F.col("cells").alias(f"cells_{key}")
+        )
+        other = "b" if key == "a" else "a"
+        numbered = left.join(parts, key).withColumn("part", F.pmod(F.xxhash64(other), F.col("parts")).cast("int")).drop("parts")
+        return numbered.join(copies.drop("parts"), [key, "part"], "left").drop("part")
+
+    both = looked_up(looked_up(named, "a"), "b")
+    # Sorted by term, the two weights of a shared term are neighbours.
+    none = F.array().cast("array<struct<term_id:bigint,weight:double>>")
+    cells = F.sort_array(F.concat(F.coalesce("cells_a", none), F.coalesce("cells_b", none)))
+    zero = F.struct(F.lit(-1).cast("bigint").alias("term_id"), F.lit(0.0).alias("weight"), F.lit(0.0).alias("total"))
+
+    def add(state: Column, cell: Column) -> Column:
+        product = F.when(state["term_id"] == cell["term_id"], state["weight"] * cell["weight"]).otherwise(0.0)
+        return F.struct(cell["term_id"].alias("term_id"), cell["weight"].alias("weight"), (state["total"] + product).alias("total"))
+
+    return both.select("a", "b", F.aggregate(cells, zero, add, lambda state: state["total"]).alias("cosine"))
 
 
 def _listed(terms: DataFrame, order: list[str]) -> DataFrame:

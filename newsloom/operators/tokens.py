@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions import let
 from newsloom.functions.text import (
+    counted,
     finance_tokens,
     keep_finance_token,
     letters_only_tokens,
@@ -19,6 +20,16 @@ from newsloom.operators.joins import lookup_join
 INLINE_ROWS = 200
 
 
+def _lexicon(lexicon: DataFrame) -> DataFrame:
+    """One lemma per form, the first by name; entries without a form or lemma say nothing."""
+    known = lexicon.where(F.col("form").isNotNull() & F.col("lemma").isNotNull())
+    return known.groupBy("form").agg(F.min("lemma").alias("lemma"))
+
+
+def _stop_list(stopwords: DataFrame) -> DataFrame:
+    return stopwords.select("word").where(F.col("word").isNotNull()).distinct()
+
+
 def _inline(df: DataFrame, most: int) -> list | None:
     """The rows of a short lookup table; None for a longer one, which is joined instead."""
     rows = df.limit(most + 1).collect()
@@ -33,16 +44,16 @@ def _lemma_inline(lexicon_rows: list) -> Callable[[Column], Column]:
     return lambda t: F.coalesce(F.try_element_at(table, t), t)
 
 
-def _with_lemma(tokens: DataFrame, lexicon: DataFrame, spread_by: list[str]) -> DataFrame:
+def _with_lemma(tokens: DataFrame, forms: DataFrame, spread_by: list[str]) -> DataFrame:
     """Add `lemma` to a table of single tokens."""
-    forms = lexicon.select(F.col("form").alias("token"), F.col("lemma").alias("known"))
-    joined = lookup_join(tokens, forms, ["token"], spread_by)
+    known = forms.select(F.col("form").alias("token"), F.col("lemma").alias("known"))
+    joined = lookup_join(tokens, known, ["token"], spread_by)
     return joined.withColumn("lemma", F.coalesce("known", "token")).drop("known")
 
 
-def _with_stop_mark(tokens: DataFrame, stopwords: DataFrame, key: str, spread_by: list[str]) -> DataFrame:
+def _with_stop_mark(tokens: DataFrame, stops: DataFrame, key: str, spread_by: list[str]) -> DataFrame:
     """Add `is_stop`, whether column `key` is a stop word."""
-    marks = stopwords.select(F.col("word").alias(key), F.lit(True).alias("is_stop")).distinct()
+    marks = stops.select(F.col("word").alias(key), F.lit(True).alias("is_stop"))
     joined = lookup_join(tokens, marks, [key], spread_by)
     return joined.withColumn("is_stop", F.coalesce("is_stop", F.lit(False)))
 
@@ -58,10 +69,12 @@ def clean_tokens(
 ) -> DataFrame:
     """Add the text of the lemmas worth keeping, in order, joined by blanks.
 
-    `lexicon` (form, lemma) and `stopwords` (word) are inputs. Short ones are applied inside
-    the row; longer ones are joined to the tokens, which are then put together again.
+    `lexicon` (form, lemma) and `stopwords` (word) are inputs; of a repeated form the first
+    lemma by name counts. Short tables are applied inside the row; longer ones are joined to the
+    tokens, which are then put together again where their texts were placed.
     """
-    lexicon_rows, stop_rows = _inline(lexicon, inline_rows), _inline(stopwords, inline_rows)
+    forms, stops = _lexicon(lexicon), _stop_list(stopwords)
+    lexicon_rows, stop_rows = _inline(forms, inline_rows), _inline(stops, inline_rows)
     if lexicon_rows is not None and stop_rows is not None:
         lemma_of = _lemma_inline(lexicon_rows)
         stop = [row["word"] for row in stop_rows]
@@ -76,16 +89,17 @@ def clean_tokens(
         return df.withColumn(name, F.array_join(tokens, " "))
 
     spread = [row_id, "pos"]
-    tokens = df.select(row_id, F.posexplode(finance_tokens(F.col(col))).alias("pos", "token"))
-    tokens = _with_lemma(tokens, lexicon, spread).withColumn("lemma", F.lower("lemma"))
-    tokens = _with_stop_mark(tokens, stopwords, "lemma", spread)
+    placed = df.repartition(row_id)
+    tokens = placed.select(row_id, F.posexplode(finance_tokens(F.col(col))).alias("pos", "token"))
+    tokens = _with_lemma(tokens, forms, spread).withColumn("lemma", F.lower("lemma"))
+    tokens = _with_stop_mark(tokens, stops, "lemma", spread)
     tokens = tokens.withColumn("kept", keep_finance_token(F.col("token"), F.col("lemma"), F.col("is_stop")))
     texts = tokens.where(F.col("kept").isNotNull()).groupBy(row_id).agg(
         F.array_join(
             F.transform(F.array_sort(F.collect_list(F.struct("pos", "kept"))), lambda p: p["kept"]), " "
         ).alias(name)
     )
-    return df.join(texts, row_id, "left").withColumn(name, F.coalesce(name, F.lit("")))
+    return placed.join(texts, row_id, "left").withColumn(name, F.coalesce(name, F.lit("")))
 
 
 def add_normalized(
@@ -104,19 +118,32 @@ def add_normalized(
 def tokenize_lemmatize(df: DataFrame, row_id: str, col: str, lexicon: DataFrame) -> DataFrame:
     """One row per token: row_id, pos, token, lemma; letters only, lower case."""
     tokens = df.select(row_id, F.posexplode(letters_only_tokens(F.col(col))).alias("pos", "token"))
-    return _with_lemma(tokens, lexicon, [row_id, "pos"])
+    return _with_lemma(tokens, _lexicon(lexicon), [row_id, "pos"])
 
 
 def bag_of_words(
-    df: DataFrame, row_id: str, col: str, lexicon: DataFrame, stopwords: DataFrame
+    df: DataFrame,
+    row_id: str,
+    col: str,
+    lexicon: DataFrame,
+    stopwords: DataFrame,
+    inline_rows: int = INLINE_ROWS,
 ) -> DataFrame:
-    """(row_id, term, cnt) of the lemmas that are not stop words.
+    """(row_id, term, cnt) of the lemmas that are not stop words; `row_id` tells rows apart.
 
-    Texts move once, whole, and the counts of a text then need no further shuffle.
+    With short lookup tables a text is counted inside its row and nothing moves. With longer
+    ones texts move once, whole, and the counts of a text then need no further shuffle.
     """
+    forms, stops = _lexicon(lexicon), _stop_list(stopwords)
+    lexicon_rows, stop_rows = _inline(forms, inline_rows), _inline(stops, inline_rows)
+    if lexicon_rows is not None and stop_rows is not None:
+        lemmas = F.transform(letters_only_tokens(F.col(col)), _lemma_inline(lexicon_rows))
+        stop = [row["word"] for row in stop_rows]
+        terms = F.filter(lemmas, lambda t: ~t.isin(*stop)) if stop else lemmas
+        return df.select(row_id, F.inline(counted(terms))).withColumnRenamed("tf", "cnt")
     texts = df.select(row_id, col).repartition(row_id)
     tokens = tokenize_lemmatize(texts, row_id, col, lexicon)
-    marked = _with_stop_mark(tokens, stopwords, "lemma", [row_id, "pos"])
+    marked = _with_stop_mark(tokens, stops, "lemma", [row_id, "pos"])
     return (
         marked.where(~F.col("is_stop"))
         .groupBy(row_id, F.col("lemma").alias("term"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from newsloom.operators.joins import is_small, lookup_join, skew_join
 from newsloom.operators.ranking import top_n_per_group, with_sequential_id
-from newsloom.session import stored
+from newsloom.session import bucketed, released, stored
 
 EPS = 1e-12
 
@@ -32,6 +32,10 @@ class NmfModel:
     losses: tuple[float, ...]
 
 
+def _error(loss: float) -> float:
+    return max(loss, 0.0) ** 0.5
+
+
 def _names(letter: str, k: int) -> list[str]:
     return [f"{letter}{j}" for j in range(k)]
 
@@ -70,12 +74,16 @@ def _cells(packed: DataFrame, *keep: str) -> DataFrame:
     return packed.select(*keep, F.explode("entries").alias("entry")).select(*keep, "entry.term_id", "entry.cnt")
 
 
-def fit_nmf(bow: DataFrame, row_id: str, k: int = 5, iters: int = 20, seed: int = 42) -> NmfModel:
+def fit_nmf(
+    bow: DataFrame, row_id: str, k: int = 5, max_rounds: int = 200, seed: int = 42, tol: float = 1e-4
+) -> NmfModel:
     """Factor (row_id, term, cnt) into document and term weights of k topics.
 
-    `bow` is read twice, so a stored table suits best. Documents are kept as one row each, with numbered terms. A round moves these compact
-    rows once, and otherwise partial sums; the term table is broadcast only if it was
-    measured to be small.
+    Rounds go on until the error (the root of the loss) falls by less than `tol` times the first
+    round's error, or `max_rounds` are done. `bow` is read twice, so a stored table suits best.
+    Documents are kept as one row each, with numbered terms, in buckets by document, and so are their
+    weights: a round moves weights and partial sums but no document. The term table is broadcast only
+    if it was measured to be small. Each round's tables go when the next are written.
     """
     w, h = _names("w", k), _names("h", k)
     numbered = stored(
@@ -84,8 +92,8 @@ def fit_nmf(bow: DataFrame, row_id: str, k: int = 5, iters: int = 20, seed: int
     )
     coded = lookup_join(bow, numbered, ["term"], [row_id], "inner")
     # A group is the terms of one text.
-    packed = stored(
-        coded.groupBy(row_id).agg(F.collect_list(F.struct("term_id", "cnt")).alias("entries")), "documents"
+    packed = bucketed(
+        coded.groupBy(row_id).agg(F.collect_list(F.struct("term_id", "cnt")).alias("entries")), row_id, "documents"
     )
     cells = _cells(packed, row_id)
     total, squares = cells.agg(F.sum("cnt"), F.sum(F.col("cnt") * F.col("cnt"))).first()
@@ -98,7 +106,7 @@ def fit_nmf(bow: DataFrame, row_id: str, k: int = 5, iters: int = 20, seed: int
         first = [(unit_hash(F.col(key), j, seed) * scale).alias(n) for j, n in enumerate(names)]
         return df.select(keep, *first)
 
-    topics, docs = stored(start(numbered, "term", "term_id", h), "factor"), start(packed, row_id, row_id, w)
+    topics, docs = stored(start(numbered, "term", "term_id", h), "factor"), bucketed(start(packed, row_id, row_id, w), row_id, "factor")
     small = is_small(topics)
 
     def with_topics(cells: DataFrame, table: DataFrame) -> DataFrame:
@@ -108,10 +116,11 @@ def fit_nmf(bow: DataFrame, row_id: str, k: int = 5, iters: int = 20, seed: int
 
     losses = []
     hht, _ = _products(topics, "h", k)
-    for _ in range(iters):
+    for _ in range(max_rounds):
+        before, topics_before = docs, topics
         xht = _weighted_sums(with_topics(cells, topics), row_id, "h", k)
-        docs = stored(
-            docs.join(xht, row_id, "left").select(row_id, *[_updated("w", j, hht) for j in range(k)]), "factor"
+        docs = bucketed(
+            docs.join(xht, row_id, "left").select(row_id, *[_updated("w", j, hht) for j in range(k)]), row_id, "factor"
         )
         wtw, _ = _products(docs, "w", k)
         xtw = _weighted_sums(_cells(packed.join(docs, row_id), *w), "term_id", "w", k)
@@ -126,14 +135,19 @@ def fit_nmf(bow: DataFrame, row_id: str, k: int = 5, iters: int = 20, seed: int
         hht, cross = _products(topics, "h", k, *crosses)
         losses.append(float(squares) - 2 * sum(cross) + float((wtw * hht).sum()))
         topics = topics.select("term_id", *h)
+        released(before), released(topics_before)
+        if len(losses) > 1 and _error(losses[-2]) - _error(losses[-1]) < tol * _error(losses[0]):
+            break
+    weights = stored(docs, "weights")
+    released(packed), released(docs)
     named = numbered.join(topics, "term_id").select("term", *h)
-    return NmfModel(named, docs, k, row_id, tuple(losses))
+    return NmfModel(named, weights, k, row_id, tuple(losses))
 
 
-def transform_nmf(model: NmfModel, bow: DataFrame, iters: int = 50) -> DataFrame:
+def transform_nmf(model: NmfModel, bow: DataFrame, max_rounds: int = 1000, tol: float = 1e-6) -> DataFrame:
     """(row_id, topic, loading) of documents under fixed topics.
 
-    With the topics fixed, X H' and H H' are too, so one join gives all that the updates
+    A document's updates end when none changes its weights by more than `tol` of the largest. With the topics fixed, X H' and H H' are too, so one join gives all that the updates
     of a document need; they then run row by row, in Arrow batches.
     """
     k, row_id = model.k, model.row_id
@@ -146,8 +160,14 @@ def transform_nmf(model: NmfModel, bow: DataFrame, iters: int = 50) -> DataFrame
         for batch in batches:
             numerator = batch[[f"num{j}" for j in range(k)]].to_numpy()
             weight = np.ones_like(numerator)
-            for _ in range(iters):
-                weight = weight * numerator / (weight @ hht + EPS)
+            moving = np.arange(len(weight))
+            for _ in range(max_rounds):
+                old = weight[moving]
+                new = old * numerator[moving] / (old @ hht + EPS)
+                weight[moving] = new
+                moving = moving[np.abs(new - old).max(1, initial=0) > tol * np.abs(new).max(1, initial=0)]
+                if not len(moving):
+                    break
             yield pd.DataFrame({row_id: batch[row_id], **{f"w{j}": weight[:, j] for j in range(k)}})
 
     solved = sums.mapInPandas(solve, f"{row_id} {kind}, " + ", ".join(f"{n} double" for n in _names("w", k)))

@@ -18,18 +18,19 @@ NEWS = ("news",)
 # ---------------------------------------------------------------- TF-IDF
 
 
-def _model_sql(max_features: int) -> str:
+def _model_sql(max_features: int | None = None) -> str:
+    cut = f"ORDER BY cf DESC, term LIMIT {max_features}" if max_features else ""
     return f"""{WORDS_SQL},
   n AS (SELECT count(*) AS n FROM news WHERE regexp_matches(article_text, '\\S')),
   stats AS (SELECT term, count(*) AS df, sum(tf)::BIGINT AS cf FROM tf GROUP BY term),
-  chosen AS (SELECT * FROM stats WHERE df >= 3 AND df <= 0.9 * (SELECT n FROM n) ORDER BY cf DESC, term LIMIT {max_features}),
+  chosen AS (SELECT * FROM stats WHERE df >= 3 AND df <= 0.9 * (SELECT n FROM n) {cut}),
   vocab AS (SELECT row_number() OVER (ORDER BY term) - 1 AS term_id, term, df, cf, ln((1 + (SELECT n FROM n)) / (1 + df)::DOUBLE) + 1 AS idf FROM chosen),
   raw AS (SELECT t.doc_id, v.term_id, v.term, t.tf * v.idf AS raw FROM tf t JOIN vocab v ON v.term = t.term),
   cells AS (SELECT r.doc_id, r.term_id, r.term, r.raw / l.length AS weight FROM raw r
     JOIN (SELECT doc_id, sqrt(sum(raw * raw)) AS length FROM raw GROUP BY doc_id) l ON l.doc_id = r.doc_id)"""
 
 
-FULL = _model_sql(120_000)
+FULL = _model_sql()
 
 
 def _fit(spark, sf, config=None):
@@ -93,12 +94,12 @@ def _tfidf_model_round_trip(spark, sf):
 
 @checked(
     "tfidf_config",
-    f"""{FULL} SELECT '1,2' AS ngram_range, 3::BIGINT AS min_df, 0.9::DOUBLE AS max_df, 120000 AS max_features, 'l2' AS norm,
+    f"""{_model_sql(12_000)} SELECT '1,2' AS ngram_range, 3::BIGINT AS min_df, 0.9::DOUBLE AS max_df, 12000 AS max_features, 'l2' AS norm,
       true AS use_idf, true AS smooth_idf, false AS sublinear_tf, 'float32' AS dtype, count(*) AS n_terms FROM vocab""",
     NEWS,
 )
 def _tfidf_config(spark, sf):
-    model, _ = _fit(spark, sf)
+    model, _ = _fit(spark, sf, tf.TfidfConfig(max_features=12_000))
     path = scratch_dir(spark, "config")
     tf.write_config(model, path)
     config = spark.read.schema(
@@ -239,11 +240,22 @@ def _nmf_sql(k: int, rounds: int) -> str:
 
 NMF_VIEWS = ("news", "lexicon", "stopwords")
 NMF_SQL = _nmf_sql(K, ROUNDS)
-LOADINGS_SQL = " UNION ALL ".join(f"SELECT doc_id, {j} AS topic, w{j} AS loading FROM t_{ROUNDS}" for j in range(K))
-ASSIGN_SQL = f"assigned AS (SELECT doc_id, topic FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY loading DESC, topic) AS r FROM ({LOADINGS_SQL}) l) t WHERE r = 1)"
-NAMES_SQL = "names AS (SELECT topic, string_agg(term, '_' ORDER BY load DESC, term) AS name FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY load DESC, term) AS r FROM (" + " UNION ALL ".join(
-    f"SELECT term, {j} AS topic, h{j} AS load FROM h_{ROUNDS}" for j in range(K)
-) + ") l) t WHERE r <= 4 GROUP BY topic)"
+
+
+def _loadings_sql(k: int) -> str:
+    return " UNION ALL ".join(f"SELECT doc_id, {j} AS topic, w{j} AS loading FROM t_{ROUNDS}" for j in range(k))
+
+
+def _assign_sql(k: int) -> str:
+    return f"assigned AS (SELECT doc_id, topic FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY loading DESC, topic) AS r FROM ({_loadings_sql(k)}) l) t WHERE r = 1)"
+
+
+def _names_sql(k: int) -> str:
+    loads = " UNION ALL ".join(f"SELECT term, {j} AS topic, h{j} AS load FROM h_{ROUNDS}" for j in range(k))
+    return f"names AS (SELECT topic, string_agg(term, '_' ORDER BY load DESC, term) AS name FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY load DESC, term) AS r FROM ({loads}) l) t WHERE r <= 4 GROUP BY topic)"
+
+
+LOADINGS_SQL, ASSIGN_SQL, NAMES_SQL = _loadings_sql(K), _assign_sql(K), _names_sql(K)
 
 
 def _bag(spark, sf):
@@ -255,7 +267,7 @@ def _bag(spark, sf):
 
 def _topics(spark, sf):
     bag = _bag(spark, sf)
-    return tp.fit_nmf(bag, "doc_id", K, ROUNDS, SEED), bag
+    return tp.fit_nmf(bag, "doc_id", K, ROUNDS, SEED, tol=-1.0), bag
 
 
 @checked(
@@ -275,13 +287,13 @@ def _nmf_topic_terms(spark, sf):
 )
 def _nmf_loadings(spark, sf):
     model, bag = _topics(spark, sf)
-    return tp.transform_nmf(model, bag, ROUNDS).withColumn("loading", F.round("loading", 6))
+    return tp.transform_nmf(model, bag, ROUNDS, tol=-1.0).withColumn("loading", F.round("loading", 6))
 
 
 @checked("assign_topic", f"{NMF_SQL}, {ASSIGN_SQL} SELECT doc_id, topic FROM assigned", NMF_VIEWS)
 def _assign_topic(spark, sf):
     model, bag = _topics(spark, sf)
-    return tp.assign_topic(tp.transform_nmf(model, bag, ROUNDS), "doc_id")
+    return tp.assign_topic(tp.transform_nmf(model, bag, ROUNDS, tol=-1.0), "doc_id")
 
 
 @checked("name_topics", f"{NMF_SQL}, {NAMES_SQL} SELECT topic, name FROM names", NMF_VIEWS)
@@ -290,15 +302,22 @@ def _name_topics(spark, sf):
     return tp.name_topics(model)
 
 
-LABEL_SQL = f"""{NMF_SQL}, {ASSIGN_SQL}, {NAMES_SQL},
+def _label_sql(k: int) -> str:
+    return f"""{_nmf_sql(k, ROUNDS)}, {_assign_sql(k)}, {_names_sql(k)},
   labelled AS (SELECT n.doc_id, CASE WHEN n.article_text IS NOT NULL THEN coalesce(m.name, (SELECT name FROM names WHERE topic = 0)) END AS topic
     FROM news n LEFT JOIN assigned a ON a.doc_id = n.doc_id LEFT JOIN names m ON m.topic = a.topic)"""
 
 
-def _labelled(spark, sf):
-    model, bag = _topics(spark, sf)
+LABEL_SQL = _label_sql(K)
+SHARE_SQL = """SELECT topic, n, round(100.0::DOUBLE * n / sum(n) OVER (), 1) AS percent FROM (
+      SELECT topic, count(*) AS n FROM labelled WHERE topic IS NOT NULL GROUP BY topic) t"""
+
+
+def _labelled(spark, sf, k=K):
+    bag = _bag(spark, sf)
+    model = tp.fit_nmf(bag, "doc_id", k, ROUNDS, SEED, tol=-1.0)
     news = view(spark, sf, "news").select("doc_id", "article_text")
-    return tp.label_topics(news, "article_text", model, tp.transform_nmf(model, bag, ROUNDS)).drop("article_text")
+    return tp.label_topics(news, "article_text", model, tp.transform_nmf(model, bag, ROUNDS, tol=-1.0)).drop("article_text")
 
 
 @checked("label_topics", f"{LABEL_SQL} SELECT doc_id, topic FROM labelled", NMF_VIEWS)
@@ -306,21 +325,21 @@ def _label_topics(spark, sf):
     return _labelled(spark, sf)
 
 
-@checked(
-    "topic_share",
-    f"""{LABEL_SQL} SELECT topic, n, round(100.0::DOUBLE * n / sum(n) OVER (), 1) AS percent FROM (
-      SELECT topic, count(*) AS n FROM labelled WHERE topic IS NOT NULL GROUP BY topic) t""",
-    NMF_VIEWS,
-)
+@checked("topic_share", f"{LABEL_SQL} {SHARE_SQL}", NMF_VIEWS)
 def _topic_share(spark, sf):
     return reports.share(_labelled(spark, sf), "topic")
 
 
-@checked("five_topic_share")
+@checked("five_topic_share", f"{_label_sql(5)} {SHARE_SQL}", NMF_VIEWS)
 def _five_topic_share(spark, sf):
-    """Five topics over the whole corpus; too many rounds to write out in SQL."""
+    return reports.share(_labelled(spark, sf, 5), "topic")
+
+
+@checked("fitted_topic_share")
+def _fitted_topic_share(spark, sf):
+    """Five topics fitted until they settle; too many rounds to write out in SQL."""
     bag = _bag(spark, sf)
-    model = tp.fit_nmf(bag, "doc_id", 5, 10, SEED)
+    model = tp.fit_nmf(bag, "doc_id", 5, seed=SEED)
     news = view(spark, sf, "news").select("doc_id", "article_text")
     labelled = tp.label_topics(news, "article_text", model, tp.transform_nmf(model, bag))
     return reports.share(labelled, "topic")

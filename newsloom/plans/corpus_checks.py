@@ -304,6 +304,25 @@ def _search_corpus(spark, sf):
     )
 
 
+# The job as it is run: a month, the publishers searched and those left out.
+@checked(
+    "search_corpus_month",
+    f"""hits AS (SELECT *, regexp_extract(url, '//([^/]*)', 1) AS host FROM finance_news WHERE {_terms_sql('headline')} OR {_terms_sql('summary')}),
+    daily AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {DAY_SQL} ORDER BY published_epoch DESC, doc_id) AS r FROM hits
+      WHERE lang = 'en' AND {DAY_SQL} BETWEEN DATE '2025-01-06' AND DATE '2025-02-05'
+        AND host IN ('www.reuters.com', 'finance.yahoo.com', 'markets.ft.com', 'www.cnbc.com')) t WHERE r <= 100),
+    urls AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY {DAY_SQL}, published_epoch DESC, doc_id) AS u FROM daily) t WHERE u = 1)
+    SELECT doc_id, headline, url FROM (SELECT *, row_number() OVER (PARTITION BY headline ORDER BY {DAY_SQL}, published_epoch DESC, doc_id) AS h FROM urls) t WHERE h = 1""",
+    ("finance_news",),
+)
+def _search_corpus_month(spark, sf):
+    dated = view(spark, sf, "finance_news").withColumn("day", epoch_day(F.col("published_epoch")))
+    found = jobs.search_corpus(
+        dated, ["headline", "summary"], "url", AS_OF, language=("lang", "en"), published="published_epoch", row_id="doc_id"
+    )
+    return found.select("doc_id", "headline", "url")
+
+
 # ---------------------------------------------------------------- collecting per ticker
 
 # Windows are listed one by one here and matched by date range.
@@ -344,6 +363,13 @@ def _mixed_backfill(spark, sf):
     )
 
 
+@checked("backfill_target_table", f"{MIXED_WINDOWS} SELECT doc_id, ticker, url, k AS window_no FROM kept", NEWS)
+def _backfill_target_table(spark, sf):
+    targets = spark.createDataFrame([*[(t, 20) for t in bf.FIXED_TICKERS], ("AAPL", 7), (None, 99)], "ticker string, target int")
+    got = bf.backfill(_dated(spark, sf), AS_OF, _order(), default_target=5, targets=targets, row_id="doc_id")
+    return got.select("doc_id", "ticker", "url", "window_no")
+
+
 @checked("backfill_mixed_targets", f"{MIXED_WINDOWS} SELECT doc_id, ticker, url, k AS window_no FROM kept", NEWS)
 def _backfill_mixed_targets(spark, sf):
     return _mixed_backfill(spark, sf).select("doc_id", "ticker", "url", "window_no")

@@ -83,33 +83,46 @@ def _union_files(spark, sf):
 # Each row of news becomes an answer of one to three items.
 @checked(
     "flatten_company_news",
-    """items AS (SELECT *, unnest(range(0, doc_id % 3 + 1)) AS i FROM news)
-    SELECT 'finnhub' AS provider, ticker, strftime(epoch_ms((published_epoch + i) * 1000), '%Y-%m-%dT%H:%M:%S') AS published_utc,
-      headline, summary, url AS url_redirect, NULL::VARCHAR AS image_url, source, doc_id * 10 + i AS id, published_epoch + i AS published_epoch
+    # Some epochs have a fraction, and some answers broke off.
+    """items AS (SELECT *, unnest(range(0, doc_id % 3 + 1)) AS i FROM news WHERE doc_id % 50 <> 3)
+    SELECT 'finnhub' AS provider, ticker,
+      strftime(epoch_ms((published_epoch + i) * 1000), '%Y-%m-%dT%H:%M:%S') || CASE WHEN doc_id % 7 = 0 THEN '.500000' ELSE '' END AS published_utc,
+      headline, summary, url AS url_redirect, NULL::VARCHAR AS image_url, source, doc_id * 10 + i AS id,
+      (published_epoch + i)::DOUBLE + CASE WHEN doc_id % 7 = 0 THEN 0.5 ELSE 0 END AS published_epoch
     FROM items""",
     NEWS,
 )
 def _flatten_company_news(spark, sf):
+    return readers.flatten_company_news(_company_answers(spark, sf))
+
+
+@checked("unparsed_answers", "SELECT doc_id, ticker FROM news WHERE doc_id % 50 = 3", NEWS)
+def _unparsed_answers(spark, sf):
+    return readers.unparsed_answers(_company_answers(spark, sf)).select("doc_id", "ticker")
+
+
+def _company_answers(spark, sf):
     items = F.transform(
         F.sequence(F.lit(0), F.col("doc_id") % 3),
         lambda i: F.struct(
             (F.col("doc_id") * 10 + i).alias("id"),
-            (F.col("published_epoch") + i).alias("datetime"),
+            (F.col("published_epoch") + i + F.when(F.col("doc_id") % 7 == 0, 0.5).otherwise(0.0)).alias("datetime"),
             "headline",
             "summary",
             "url",
             "source",
         ),
     )
-    answers = view(spark, sf, "news").select("ticker", F.to_json(items).alias("body"))
-    return readers.flatten_company_news(answers)
+    body = F.to_json(items)
+    broken = F.when(F.col("doc_id") % 50 == 3, F.substring(body, 1, 20)).otherwise(body)
+    return view(spark, sf, "news").select("doc_id", "ticker", broken.alias("body"))
 
 
 @checked(
     "flatten_search_response",
     """SELECT CASE WHEN doc_id % 4 <> 0 THEN source END AS source, lang AS author, headline, summary, url AS url_original,
       NULL::VARCHAR AS url_image, published_epoch::VARCHAR AS "publishedAt", article_text AS content_truncated, 'en' AS language
-    FROM news WHERE ticker IS NOT NULL""",
+    FROM news WHERE ticker IS NOT NULL AND doc_id % 50 <> 4""",
     NEWS,
 )
 def _flatten_search_response(spark, sf):
@@ -126,7 +139,8 @@ def _flatten_search_response(spark, sf):
     )
     # Some answers have no article, as on a day without news.
     articles = F.when(F.col("ticker").isNotNull(), F.array(article)).otherwise(F.array())
-    answers = news.select(F.to_json(F.struct(F.lit("ok").alias("status"), articles.alias("articles"))).alias("body"))
+    body = F.to_json(F.struct(F.lit("ok").alias("status"), articles.alias("articles")))
+    answers = news.select(F.when(F.col("doc_id") % 50 == 4, "{bad json").otherwise(body).alias("body"))
     return readers.flatten_search_response(answers)
 
 

@@ -109,6 +109,28 @@ def _clean_tokens_by_join(spark, sf):
     return done.drop("article_text")
 
 
+# Of a repeated form the first lemma by name counts, and entries with a gap say nothing.
+ONE_EACH_SQL = """lexicon AS (SELECT form, min(lemma) AS lemma FROM lexicon_repeats WHERE form IS NOT NULL AND lemma IS NOT NULL GROUP BY form),
+  stopwords AS (SELECT DISTINCT word FROM stopwords_repeats WHERE word IS NOT NULL), """
+REPEATS = ("news", "lexicon_repeats", "stopwords_repeats")
+
+
+def _one_each(sql: str) -> str:
+    """`sql` with the repeated tables reduced; the plain ones go by other names there."""
+    return ONE_EACH_SQL.replace("lexicon AS", "one_lexicon AS").replace("stopwords AS", "one_stopwords AS") + sql.replace(
+        "JOIN lexicon l", "JOIN one_lexicon l"
+    ).replace("JOIN stopwords s", "JOIN one_stopwords s").replace("FROM stopwords)", "FROM one_stopwords)")
+
+
+for _route, _rows in (("", 200), ("_by_join", 0)):
+
+    @checked(f"clean_tokens_repeated_forms{_route}", _one_each(CLEANED_SQL), REPEATS)
+    def _clean_tokens_repeated(spark, sf, rows=_rows):
+        news = view(spark, sf, "news").select("doc_id", "article_text")
+        lexicon, stops = view(spark, sf, "lexicon_repeats"), view(spark, sf, "stopwords_repeats")
+        return tk.add_normalized(news, "doc_id", "article_text", lexicon, stops, inline_rows=rows).drop("article_text")
+
+
 LEMMA_SQL = """letters AS (SELECT doc_id, lower(regexp_replace(article_text, '[^a-zA-Z\\s]', '', 'g')) AS t FROM news WHERE article_text IS NOT NULL),
   toks AS (SELECT doc_id, unnest(w) AS token, generate_subscripts(w, 1) - 1 AS pos FROM (SELECT doc_id, regexp_extract_all(t, '\\S+') AS w FROM letters) x),
   lemmas AS (SELECT k.doc_id, k.pos, k.token, coalesce(l.lemma, k.token) AS lemma FROM toks k LEFT JOIN lexicon l ON l.form = k.token)"""
@@ -123,12 +145,18 @@ def _tokenize_lemmatize(spark, sf):
     return tk.tokenize_lemmatize(view(spark, sf, "news"), "doc_id", "article_text", view(spark, sf, "lexicon"))
 
 
-@checked(
-    "bag_of_words",
-    f"""{LEMMA_SQL} SELECT doc_id, lemma AS term, count(*) AS cnt FROM lemmas
-    WHERE lemma NOT IN (SELECT word FROM stopwords) GROUP BY doc_id, lemma""",
-    ("news", "lexicon", "stopwords"),
-)
+BAG_SQL = f"""{LEMMA_SQL} SELECT doc_id, lemma AS term, count(*) AS cnt FROM lemmas
+    WHERE lemma NOT IN (SELECT word FROM stopwords) GROUP BY doc_id, lemma"""
+
+for _route, _rows in (("", 200), ("_by_join", 0)):
+
+    @checked(f"bag_of_words_repeated_forms{_route}", _one_each(BAG_SQL), REPEATS)
+    def _bag_repeated(spark, sf, rows=_rows):
+        lexicon, stops = view(spark, sf, "lexicon_repeats"), view(spark, sf, "stopwords_repeats")
+        return tk.bag_of_words(view(spark, sf, "news"), "doc_id", "article_text", lexicon, stops, inline_rows=rows)
+
+
+@checked("bag_of_words", BAG_SQL, ("news", "lexicon", "stopwords"))
 def _bag_of_words(spark, sf):
     return tk.bag_of_words(
         view(spark, sf, "news"), "doc_id", "article_text", view(spark, sf, "lexicon"), view(spark, sf, "stopwords")

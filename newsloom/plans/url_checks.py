@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from newsloom.functions.dates import epoch_day, iso_from_epoch, to_unix
+from newsloom.functions.html import extract_canonical
 from newsloom.functions.quality import derive_http_code, fetch_error, looks_like_consent
 from newsloom.functions.urls import (
     absolutize,
@@ -140,6 +141,21 @@ def _registered_domain_by_join(spark, sf):
     return with_registered_domain(web, "url", view(spark, sf, "suffixes"), spread_by=["page_id"], inline_rules=0)
 
 
+NULL_RULE_SQL = "one_each AS (SELECT DISTINCT suffix FROM suffixes_repeats WHERE suffix IS NOT NULL), " + DOMAINS_SQL.replace("FROM suffixes", "FROM one_each")
+
+for _route, _rules in (("", 20_000), ("_by_join", 0)):
+
+    @checked(f"registered_domain_null_rule{_route}", NULL_RULE_SQL, ("web", "suffixes_repeats"))
+    def _registered_domain_null_rule(spark, sf, rules=_rules):
+        web = view(spark, sf, "web").select("page_id", "url")
+        return with_registered_domain(web, "url", view(spark, sf, "suffixes_repeats"), spread_by=["page_id"], inline_rules=rules)
+
+
+@checked("markup_canonical", "SELECT k, canonical FROM markup", ("markup",))
+def _markup_canonical(spark, sf):
+    return view(spark, sf, "markup").select("k", extract_canonical(F.col("html"), F.lit("https://site.test/dir//page")).alias("canonical"))
+
+
 @checked(
     "pick_url_column",
     """SELECT 'where_found' AS url_column, count(*) AS n_rows,
@@ -268,6 +284,28 @@ def _resolve_redirects(spark, sf):
     return resolve_redirects(urls, edges)
 
 
+# The same walk over the last captures; an error ends a chain without an address.
+CAPTURED_SQL = (
+    REDIRECT_SQL.replace("edges e", "latest e")
+    .replace("CASE WHEN f.hops > 30 THEN NULL WHEN", "CASE WHEN f.hops > 30 OR e.error IS NOT NULL THEN NULL WHEN")
+    .replace("THEN 'too_many_redirects' WHEN", "THEN 'too_many_redirects' WHEN e.error IS NOT NULL THEN e.error WHEN")
+    .replace("CASE WHEN f.hops > 30 THEN NULL ELSE", "CASE WHEN f.hops > 30 OR e.error IS NOT NULL THEN NULL ELSE")
+)
+
+
+@checked(
+    "resolve_redirects_captured",
+    f"""latest AS (SELECT DISTINCT from_url, to_url, http_code, error FROM captured_edges WHERE capture = 2),
+    wanted AS (SELECT from_url AS url FROM edges UNION SELECT to_url FROM edges), {CAPTURED_SQL}
+    SELECT url, url_original, status, http_code FROM resolved""",
+    ("edges", "captured_edges"),
+)
+def _resolve_redirects_captured(spark, sf):
+    edges = view(spark, sf, "edges")
+    urls = edges.select(F.col("from_url").alias("url")).unionByName(edges.select(F.col("to_url").alias("url")))
+    return resolve_redirects(urls, view(spark, sf, "captured_edges"), captured=[F.desc("capture")])
+
+
 @checked(
     "enrich_urls",
     f"""wanted AS (SELECT doc_id, url FROM visits), {REDIRECT_SQL}

@@ -96,6 +96,32 @@ FROM documents"""),
 SELECT * FROM (VALUES ('shares','share'),('units','unit'),('companies','company'),('analysts','analyst'),('names','name'),('results','result'),('layoffs','layoff'),('numbers','number'),('rights','right'),('was','wa')) AS t(form, lemma)"""),
     "stopwords": ((), """
 SELECT * FROM (VALUES ('the'),('of'),('a'),('an'),('and'),('in'),('it'),('to'),('with'),('on'),('at'),('all'),('were'),('under'),('any'),('without')) AS t(word)"""),
+    # Lookup tables as they come: forms and words twice, some of them missing.
+    "lexicon_repeats": (("lexicon",), """
+SELECT form, lemma FROM lexicon UNION ALL SELECT form, lemma FROM lexicon UNION ALL
+SELECT * FROM (VALUES ('shares', 'shar'), ('units', NULL), (NULL, 'nothing'), ('rose', 'rise'), ('rose', 'rose')) AS t(form, lemma)"""),
+    "stopwords_repeats": (("stopwords",), """
+SELECT word FROM stopwords UNION ALL SELECT word FROM stopwords UNION ALL SELECT * FROM (VALUES (NULL), ('share')) AS t(word)"""),
+    "suffixes_repeats": (("suffixes",), """
+SELECT suffix FROM suffixes UNION ALL SELECT suffix FROM suffixes UNION ALL SELECT * FROM (VALUES (NULL)) AS t(suffix)"""),
+    # Edges captured twice and again; some addresses never answered.
+    "captured_edges": (("edges",), """
+SELECT from_url, to_url, http_code, CASE WHEN to_url IS NULL AND from_url LIKE '%6' THEN 'timeout' WHEN to_url IS NULL AND from_url LIKE '%4' THEN 'request_error:ConnectionError' WHEN to_url IS NULL AND from_url LIKE '%2' THEN 'error:ValueError' END AS error, 2 AS capture FROM edges
+UNION ALL SELECT from_url, 'https://old.test/' || substr(from_url, 9), 302, NULL, 1 FROM edges
+UNION ALL SELECT from_url, to_url, http_code, CASE WHEN to_url IS NULL AND from_url LIKE '%6' THEN 'timeout' WHEN to_url IS NULL AND from_url LIKE '%4' THEN 'request_error:ConnectionError' WHEN to_url IS NULL AND from_url LIKE '%2' THEN 'error:ValueError' END, 2 FROM edges"""),
+    # Mark-up written by hand, with what a reader of the page would say is in it.
+    "markup": ((), """
+SELECT * FROM (VALUES
+ (0, '<html><body><article><div><article>inner</article> tail of outer</div></article></body></html>', 'inner~tail of outer', CAST(NULL AS STRING)),
+ (1, '<head><link data-x="a>b" rel="canonical" href="/q"></head><main>m <nav>x<nav>y</nav>z</nav> tail</main>', 'm tail', 'https://site.test/q'),
+ (2, '<meta property="og:url" content="//cdn.test//a"><article title="x > y">Caf&eacute; &#8217;s &#x20AC;5 &amp;lt; &unknown; &copy;</article>', 'Café ’s €5 &lt; &unknown; ©', 'https://cdn.test//a'),
+ (3, '<link rel=canonical href="sub//page?a=1&amp;b=2"><article>one<aside>q<aside>r</aside>s</aside> two<br>three</article><article>other</article>', 'one two~three', 'https://site.test/dir/sub/page?a=1&b=2'),
+ (4, '<!-- <article>no</article> --><article><script>if (a > b) x = "</p>";</script><p>Text<table><tr><td>c<table><tr><td>d</td></tr></table></td></tr></table></p>end</article>', 'Text~end', NULL),
+ (5, '<p>no article</p>', NULL, NULL)
+) AS t(k, html, main, canonical)"""),
+    "finance_news": (("news",), """
+SELECT doc_id, headline, summary, lang, published_epoch, 'https://' || CASE doc_id % 9 WHEN 0 THEN 'www.reuters.com' WHEN 1 THEN 'sports.yahoo.com' WHEN 2 THEN 'finance.yahoo.com' WHEN 3 THEN 'notreuters.com' WHEN 4 THEN 'markets.ft.com' WHEN 5 THEN 'blog.test' ELSE 'www.cnbc.com' END || '/a/' || CAST(doc_id % 301 AS STRING) AS url
+FROM news"""),
     "suffixes": ((), """
 SELECT * FROM (VALUES ('test'),('wire.test'),('com'),('net'),('org'),('example.com'),('yahoo.com'),('*.net'),('!wire.net')) AS t(suffix)"""),
 }

@@ -3,7 +3,7 @@
 from pyspark.sql import types as T
 
 
-_TYPES = {"string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType()}
+_TYPES = {"string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType()}
 
 
 def _struct(spec: str) -> T.StructType:
@@ -13,15 +13,10 @@ def _struct(spec: str) -> T.StructType:
 
 
 COMPANY_NEWS_ITEMS = T.ArrayType(_struct(
-    "id bigint, datetime bigint, headline string, summary string, url string, "
+    "id bigint, datetime double, headline string, summary string, url string, "
     "image string, source string"
 ))
 
-COMPANY_NEWS = _struct(
-    "provider string, ticker string, published_utc string, headline string, summary string, "
-    "url_redirect string, image_url string, source string"
-)
-
 SEARCH_RESPONSE = T.StructType([
     T.StructField("articles", T.ArrayType(
         T.StructType([T.StructField("source", _struct("name string"))]
@@ -30,23 +25,10 @@ SEARCH_RESPONSE = T.StructType([
     ))
 ])
 
-SEARCH = _struct(
-    "source string, author string, headline string, summary string, url_original string, "
-    "url_image string, publishedAt string, content_truncated string, language string"
-)
-
 SYMBOLS = _struct("symbol string")
 
 PAGES = _struct("url string, final_url string, status int, html string, error string")
 
-REDIRECT_EDGES = _struct("from_url string, to_url string, http_code int")
-
-SCRAPED = _struct(
-    "source string, headline string, summary string, url_original string, url_image string, "
-    "publishedAt string, content_truncated string, language string, full_text string, "
-    "extractor_used string, status int, error string, final_url string, text_length int"
-)
-
 CONFORMED = _struct(
     "category string, datetime bigint, headline string, id bigint, image string, related string, "
     "source string, summary string, url string, url_original string, status string, "

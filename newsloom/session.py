@@ -33,7 +33,7 @@ def build_session(master: str | None = None, app: str = "newsloom", **extra: str
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The folder for checkpoints: the cluster's, or a fresh one on a local master."""
+    """The folder for checkpoints that `spark.checkpoint.dir` names, reachable from every executor."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -42,11 +42,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not named:
         if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        named = tempfile.mkdtemp(prefix="newsloom-")
+        # One machine, as in tests: a folder that goes when the process ends.
+        holder = tempfile.TemporaryDirectory(prefix="newsloom-", ignore_cleanup_errors=True)
+        _LOCAL.append(holder)
+        named = holder.name
     sc.setCheckpointDir(named)
     return sc.getCheckpointDir()
 
 
+_LOCAL: list[tempfile.TemporaryDirectory] = []
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new path beside the checkpoints, reachable from every executor."""
     return os.path.join(checkpoint_root(spark), f"{label}-{uuid.uuid4().hex}")
@@ -60,4 +66,28 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _remembered(df.sparkSession.read.schema(df.schema).parquet(path), path)
+
+
+def bucketed(df: DataFrame, key: str, label: str, buckets: int | None = None) -> DataFrame:
+    """As `stored`, in buckets by `key`: tables with the same buckets join on it without a shuffle."""
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path, name = scratch_dir(spark, label), f"newsloom_{uuid.uuid4().hex}"
+    writer = df.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("path", path)
+    writer.saveAsTable(name)
+    return _remembered(spark.table(name), path, name)
+
+
+def _remembered(table: DataFrame, path: str, name: str = "") -> DataFrame:
+    table.scratch_path, table.scratch_name = path, name
+    return table
+
+
+def released(table: DataFrame) -> None:
+    """Free the space of a table that `stored` or `bucketed` made and that nothing reads any more."""
+    path, name = getattr(table, "scratch_path", ""), getattr(table, "scratch_name", "")
+    if name:
+        table.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+    if path:
+        table.sparkSession.range(0).write.mode("overwrite").parquet(path)

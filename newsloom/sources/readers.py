@@ -49,15 +49,36 @@ def union_files(spark: SparkSession, paths: dict[str, T.StructType]) -> DataFram
     return union_all([read_news_csv(spark, p, s) for p, s in paths.items()]).drop("precedence")
 
 
-def flatten_company_news(df: DataFrame, body: str = "body", ticker: str = "ticker") -> DataFrame:
+def _parsed(df: DataFrame, body: str, schema: T.DataType, root: str, mode: str) -> DataFrame:
+    """`df` with `parsed_body`, by the answer's JSON; bodies that are none, or of another kind, are dropped or fail."""
+    if mode not in ("drop", "fail"):
+        raise ValueError(f"mode must be 'drop' or 'fail', not {mode!r}")
+    good = _is_answer(F.col(body), root)
+    if mode == "fail":
+        wrong = F.raise_error(F.concat(F.lit("not an answer: "), F.coalesce(F.substring(body, 1, 200), F.lit("null"))))
+        return df.withColumn("parsed_body", F.when(good, F.from_json(F.col(body), schema)).otherwise(F.from_json(wrong, schema)))
+    return df.where(good).withColumn("parsed_body", F.from_json(F.col(body), schema))
+
+
+def _is_answer(body: Column, root: str) -> Column:
+    """Whether a body is whole JSON whose root is of the kind that answers have."""
+    whole = F.try_parse_json(body)
+    return F.coalesce(F.startswith(F.schema_of_variant(whole), F.lit(root)), F.lit(False))
+
+
+def unparsed_answers(df: DataFrame, body: str = "body", root: str = "ARRAY") -> DataFrame:
+    """The rows whose body is no answer: no JSON, or not an `ARRAY` (company news) or `OBJECT` (search)."""
+    return df.where(~_is_answer(F.col(body), root))
+
+
+def flatten_company_news(df: DataFrame, body: str = "body", ticker: str = "ticker", mode: str = "drop") -> DataFrame:
     """One row per item of the JSON array in `body`, in the eight company-news columns.
 
-    Also keeps the item's id and epoch, which order the articles.
+    Also keeps the item's id and epoch, which order the articles. Bodies that are no JSON array fail the job
+    with `mode="fail"`; else they give no rows, and `unparsed_answers` lists them.
     """
-    items = df.select(
-        F.col(ticker).alias("ticker"),
-        F.explode(F.from_json(F.col(body), COMPANY_NEWS_ITEMS)).alias("a"),
-    )
+    parsed = _parsed(df, body, COMPANY_NEWS_ITEMS, "ARRAY", mode)
+    items = parsed.select(F.col(ticker).alias("ticker"), F.explode("parsed_body").alias("a"))
     return items.select(
         F.lit(PROVIDER).alias("provider"),
         "ticker",
@@ -72,11 +93,14 @@ def flatten_company_news(df: DataFrame, body: str = "body", ticker: str = "ticke
     )
 
 
-def flatten_search_response(df: DataFrame, body: str = "body", language: str = "en") -> DataFrame:
-    """One row per article of a search response, with the search table's column names."""
-    articles = df.select(
-        F.explode(F.from_json(F.col(body), SEARCH_RESPONSE)["articles"]).alias("a")
-    ).where(F.col("a").isNotNull())
+def flatten_search_response(df: DataFrame, body: str = "body", language: str = "en", mode: str = "drop") -> DataFrame:
+    """One row per article of a search response, with the search table's column names.
+
+    Bodies that are no JSON object fail the job with `mode="fail"`; else they give no rows, and
+    `unparsed_answers(root="OBJECT")` lists them.
+    """
+    parsed = _parsed(df, body, SEARCH_RESPONSE, "OBJECT", mode)
+    articles = parsed.select(F.explode("parsed_body.articles").alias("a")).where(F.col("a").isNotNull())
 
     def renamed(field: str, name: str) -> Column:
         return F.col(f"a.{field}").alias(name)

@@ -39,17 +39,17 @@ def write_partitioned(df: DataFrame, path: str, by: str = "ticker") -> None:
 
 
 def append_column_version(df: DataFrame, base: str, version: int) -> str:
-    """Write a table with added columns as the next version beside the one it was read from."""
+    """Write a table with added columns as the next version beside the one it was read from.
+
+    The number is noted in a small table of versions once the rows are written.
+    """
     path = f"{base}/v{version}"
     df.write.parquet(path)
+    df.sparkSession.range(1).select(F.lit(version).alias("version")).coalesce(1).write.mode("append").parquet(f"{base}/versions")
     return path
 
 
 def latest_version(spark: SparkSession, base: str) -> DataFrame:
     """The highest version written by `append_column_version`."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(base)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = [status.getPath().getName() for status in fs.listStatus(folder)]
-    numbers = [int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit()]
-    return spark.read.parquet(f"{base}/v{max(numbers)}")
+    highest = spark.read.schema("version int").parquet(f"{base}/versions").agg(F.max("version")).first()[0]
+    return spark.read.parquet(f"{base}/v{highest}")

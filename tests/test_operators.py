@@ -409,7 +409,7 @@ def planted_bag(spark):
 
 def test_planted_topics_are_separated(spark):
     bag, _ = planted_bag(spark)
-    model = topics.fit_nmf(bag, "id", k=2, iters=30)
+    model = topics.fit_nmf(bag, "id", k=2, max_rounds=30, tol=0.0)
     assert all(b <= a + 1e-9 * a for a, b in zip(model.losses, model.losses[1:]))
     assert not model.topics.where("h0 < 0 OR h1 < 0").count() and not model.docs.where("w0 < 0 OR w1 < 0").count()
     assigned = {r.id: r.topic for r in topics.assign_topic(topics.transform_nmf(model, bag), "id").collect()}
@@ -421,9 +421,22 @@ def test_planted_topics_are_separated(spark):
     assert len(names[0].split("_")) == 4
 
 
+def test_factors_settle_by_the_tolerance(spark):
+    bag, _ = planted_bag(spark)
+    model = topics.fit_nmf(bag, "id", k=2, max_rounds=200, tol=1e-3)
+    errors = [max(loss, 0) ** 0.5 for loss in model.losses]
+    assert 2 <= len(errors) < 200
+    assert errors[-2] - errors[-1] < 1e-3 * errors[0]
+    assert all(a - b >= 1e-3 * errors[0] for a, b in zip(errors[:-2], errors[1:-1]))
+    # Weights of a document do not depend on the rows that are solved beside it.
+    one = {(r.id, r.topic): r.loading for r in topics.transform_nmf(model, bag).collect()}
+    few = {(r.id, r.topic): r.loading for r in topics.transform_nmf(model, bag.where("id < 5").coalesce(1)).collect()}
+    assert all(one[k] == v for k, v in few.items())
+
+
 def test_nmf_losses_are_those_of_the_factors(spark):
     bag, data = planted_bag(spark)
-    model = topics.fit_nmf(bag, "id", k=3, iters=4)
+    model = topics.fit_nmf(bag, "id", k=3, max_rounds=4)
     terms = {r.term: [r.h0, r.h1, r.h2] for r in model.topics.collect()}
     docs = {r.id: [r.w0, r.w1, r.w2] for r in model.docs.collect()}
     names = sorted(terms)
@@ -436,7 +449,7 @@ def test_nmf_losses_are_those_of_the_factors(spark):
 
 def test_labels_of_texts_without_terms(spark):
     bag, _ = planted_bag(spark)
-    model = topics.fit_nmf(bag, "id", k=2, iters=10)
+    model = topics.fit_nmf(bag, "id", k=2, max_rounds=10)
     df = spark.createDataFrame([(0, "x"), (1, "y"), (900, "12"), (901, None)], "id int, t string")
     got = {r.id: r.topic for r in topics.label_topics(df, "t", model, topics.transform_nmf(model, bag)).collect()}
     names = {r.topic: r.name for r in topics.name_topics(model).collect()}
@@ -446,3 +459,39 @@ def test_labels_of_texts_without_terms(spark):
 def test_ties_go_to_the_lowest_topic(spark):
     weights = spark.createDataFrame([(1, 0, 0.5), (1, 1, 0.5), (2, 0, 0.1), (2, 1, 0.2)], "id int, topic int, loading double")
     assert rows(topics.assign_topic(weights, "id")) == [(1, 0), (2, 1)]
+
+
+def test_repeated_edges_count_once(spark):
+    edges = [("a", "b", 302), ("b", "c", 302), ("c", None, 200)] * 2 + [("a", "old", 302), (None, "x", 302)]
+    df = spark.createDataFrame([(*e, 1 if e[1] == "old" else 2) for e in edges], "from_url string, to_url string, http_code int, n int")
+    urls = spark.createDataFrame([("a",), ("a",), (None,), ("z",)], "url string")
+    got = redirects.resolve_redirects(urls, df, captured=[F.desc("n")]).collect()
+    assert sorted((r.url, r.url_original, r.status) for r in got) == [("a", "c", "ok"), ("z", "z", "ok")]
+
+
+def test_repeated_captures_count_once(spark):
+    page = "<html><body><article><p>" + "words of the article " * 20 + "</p></article></body></html>"
+    pages = spark.createDataFrame(
+        [("http://h.test/a", 200, page, 1), ("http://h.test/a", 404, None, 2), ("http://h.test/a", 200, page, 1), ("http://h.test/b", 200, page, 1), (None, 200, page, 1)],
+        "url string, status int, html string, n int",
+    )
+    df = spark.createDataFrame([(1, "http://h.test/a "), (2, "http://h.test/a"), (3, "ftp://x"), (4, None)], "id int, url_original string")
+    first = {r.id: r for r in pages_of(df, pages, [F.asc("n")])}
+    last = {r.id: r for r in pages_of(df, pages, [F.desc("n")])}
+    assert len(first) == len(last) == 4
+    assert [first[i].status for i in (1, 2, 3)] == [200, 200, None] and [last[i].status for i in (1, 2)] == [404, 404]
+
+
+def pages_of(df, captures, captured):
+    return pg.scrape(df, captures, ["id"], captured=captured).collect()
+
+
+def test_released_tables_leave_no_rows(spark):
+    from newsloom.session import bucketed, released, stored
+
+    for table in (stored(spark.range(100), "t"), bucketed(spark.range(100), "id", "t", 4)):
+        path = table.scratch_path
+        assert spark.read.parquet(path).count() == 100
+        released(table)
+        assert spark.read.parquet(path).count() == 0
+        assert not table.scratch_name or not spark.catalog.tableExists(table.scratch_name)

@@ -34,7 +34,7 @@ def test_entry_has_rows(spark):
 
 
 def test_all_but_the_iterative_queries_have_sql():
-    assert set(QUERIES) - set(ORACLES) == {"five_topic_share"}
+    assert set(QUERIES) - set(ORACLES) == {"fitted_topic_share"}
 
 
 @pytest.mark.parametrize("partitions", ["1", "17"])

@@ -1,11 +1,13 @@
 """The shape of the physical plans."""
 
+import datetime as dt
 import re
 
 from pyspark.sql import functions as F
 
-from newsloom.operators import ranking, reports, tfidf, tokens
+from newsloom.operators import backfill, pages, ranking, reports, tfidf, tokens
 from newsloom.plans.views import view
+from newsloom.session import bucketed, released
 
 SF = "/root/testdata/sf0.001"
 
@@ -29,7 +31,7 @@ def test_groups_are_cut_before_the_shuffle(spark):
 def test_tfidf_moves_texts_once(spark):
     news = view(spark, SF, "news").select("doc_id", "article_text")
     terms = tfidf.document_terms(news, "doc_id", "article_text", tfidf.TfidfConfig())
-    assert shuffles(terms) == 1
+    assert shuffles(terms) == 0 and shuffles(tfidf.term_stats(terms)) == 1
     # Weights and their length per document need no shuffle beyond that.
     model = tfidf.fit_tfidf(news, "doc_id", "article_text")
     text = plan(tfidf.transform_tfidf(model, news))
@@ -38,13 +40,45 @@ def test_tfidf_moves_texts_once(spark):
     assert "Exchange" not in before_join
 
 
-def test_bag_of_words_moves_texts_once(spark):
-    bag = tokens.bag_of_words(
-        view(spark, SF, "news"), "doc_id", "article_text", view(spark, SF, "lexicon"), view(spark, SF, "stopwords")
-    )
-    # The other shuffle makes the few stop words distinct.
-    assert re.findall(r"Exchange hashpartitioning\((\w+)#", plan(bag)) == ["doc_id", "lemma"]
-    assert "lemma" in plan(bag).split("BroadcastExchange", 1)[1]
+def test_bag_of_words_moves_nothing_with_short_tables(spark):
+    tables = view(spark, SF, "lexicon"), view(spark, SF, "stopwords")
+    assert shuffles(tokens.bag_of_words(view(spark, SF, "news"), "doc_id", "article_text", *tables)) == 0
+    # With long ones the texts move once; the other shuffles reduce the tables to one entry each.
+    bag = tokens.bag_of_words(view(spark, SF, "news"), "doc_id", "article_text", *tables, inline_rows=0)
+    keys = re.findall(r"Exchange hashpartitioning\((\w+)#", plan(bag))
+    assert keys.count("doc_id") == 1 and set(keys) <= {"doc_id", "form", "word"}
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    a = bucketed(spark.range(1000).withColumn("x", F.col("id") * 2), "id", "a", 4)
+    b = bucketed(spark.range(1000).withColumn("y", F.col("id") * 3), "id", "b", 4)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = a.join(b, "id")
+        assert shuffles(joined) == 0 and joined.count() == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    released(a), released(b)
+
+
+def test_days_are_pushed_to_the_scan(spark, tmp_path):
+    path = str(tmp_path / "news")
+    days = spark.range(2000).select(F.col("id"), F.lit("T").alias("ticker"), F.date_sub(F.lit("2025-02-05").cast("date"), F.col("id").cast("int")).alias("day"), F.concat(F.lit("u"), "id").alias("url"))
+    days.write.parquet(path)
+    got = backfill.backfill(spark.read.parquet(path), dt.date(2025, 2, 5), [F.desc("day")])
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(day,2024-01-30", plan(got))
+    assert got.count() == 50
+
+
+def test_only_wanted_pages_are_read_further(spark):
+    leads, web = view(spark, SF, "leads"), view(spark, SF, "web")
+    text = plan(pages.scrape(leads, web, ["doc_id"], captured=[F.desc("page_id")]))
+    assert "LeftSemi" in text and text.index("extractor_used") < text.index("LeftSemi")
+    named = pages.wanted_pages(web, leads, F.col("url_original"), [F.desc("page_id")])
+    wanted = {r.url for r in named.select("url").collect()}
+    known = {r.url for r in web.select("url").collect()}
+    assert wanted == known & {(r.url_original or "").strip() for r in leads.select("url_original").collect()}
 
 
 def test_scans_read_only_what_is_needed(spark):
