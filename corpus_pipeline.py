@@ -18,32 +18,40 @@ from newsloom.session import stored
 MOST_BITS = 6.0
 
 
+def _aside(docs: DataFrame, *needed: str) -> tuple[DataFrame, list]:
+    """`docs` with all but the needed columns under names that no operator uses, and what brings the old ones back."""
+    names = [c if c in needed else f"kept_{i}_" for i, c in enumerate(docs.columns)]
+    return docs.toDF(*names), [F.col(n).alias(c) for n, c in zip(names, docs.columns)]
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     labels = table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0)
-    told = quality.scored(docs, quality.learn(docs, labels))
-    return told.where("predicted = 1").select(*docs.columns)
+    own, back = _aside(docs, "doc_id", "text")
+    return quality.scored(own, quality.learn(own, labels)).where("predicted = 1").select(*back)
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the labelled ones teach; texts without a letter are in none."""
-    told = language.identify(docs)
-    return told.where((F.col("lang_pred") != language.UND) & (F.col("bits_per_byte") <= MOST_BITS)).select(*docs.columns)
+    own, back = _aside(docs, "doc_id", "text", "lang")
+    told = language.identify(own)
+    return told.where((F.col("lang_pred") != language.UND) & (F.col("bits_per_byte") <= MOST_BITS)).select(*back)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by their shingles the one with the least id; of repeated rows of it one."""
     linked = jaccard_join.linked_documents(docs)
     first = stored(linked.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct(), "first-of-groups")
-    kept = docs.join(first, "doc_id", "left_semi").select(*docs.columns)
+    own, back = _aside(docs, "doc_id", "text")
     rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    return kept.withColumn("rank_", rank).where("rank_ = 1").select(*docs.columns)
+    return own.join(first, "doc_id", "left_semi").withColumn("rank", rank).where("rank = 1").select(*back)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
-    mixed = mixing.mix(docs).where("copies > 0")
-    return mixed.withColumn("copy_", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    own, back = _aside(docs, "doc_id", "text", "source")
+    mixed = mixing.mix(own).where("copies > 0")
+    return mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*back)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -178,7 +178,22 @@ def learn(rows: DataFrame, features: tuple[str, ...] = FEATURES, cuts: int = 16,
             break
         found.append(rule)
         left = left.where(~fits(rule))
-    return [[Condition(f, at_least, edges[f][k]) for f, at_least, k in rule] for rule in found]
+    return _between([[Condition(f, at_least, edges[f][k]) for f, at_least, k in rule] for rule in found], rows)
+
+
+def _between(rules: list[list[Condition]], rows: DataFrame) -> list[list[Condition]]:
+    """The rules with each threshold halfway between the nearest values of `rows` on either side, which decides alike."""
+    conditions = [c for rule in rules for c in rule]
+    if not conditions:
+        return rules
+    sides = [x for c in conditions for x in (F.max(F.when(F.col(c.feature) < c.threshold, F.col(c.feature))), F.min(F.when(F.col(c.feature) >= c.threshold, F.col(c.feature))))]
+    seen = rows.agg(*[s.alias(f"c{i}") for i, s in enumerate(sides)]).first()
+    moved = {}
+    for i, c in enumerate(conditions):
+        below, above = seen[2 * i], seen[2 * i + 1]
+        if below is not None and above is not None and below < (middle := (float(below) + float(above)) / 2) <= above:
+            moved[c] = Condition(c.feature, c.at_least, middle)
+    return [[moved.get(c, c) for c in rule] for rule in rules]
 
 
 def verdict(rules: list[list[Condition]]) -> Column:
