@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from newsloom.llm.common import parallelism
 from newsloom.llm.registry import query, table
-from newsloom.llm.tokens import crc32_of, id_type, tokenized
+from newsloom.llm.tokens import crc32_of, id_type, slices, tokenized
 from newsloom.operators.joins import lookup_join
 from newsloom.session import scratch_dir, stored
 
@@ -66,9 +66,9 @@ def frequencies(tokens: DataFrame, dtype: np.dtype) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(0, np.int64)
-        for batch in batches:
-            for packed in batch.column("ids").to_pylist():
-                n = np.bincount(np.frombuffer(packed, dtype))
+        for big in batches:
+            for batch in slices(big):
+                n = np.bincount(np.frombuffer(b"".join(batch.column("ids").to_pylist()), dtype))
                 if len(n) > len(seen):
                     seen = np.concatenate([seen, np.zeros(len(n) - len(seen), np.int64)])
                 seen[: len(n)] += n
