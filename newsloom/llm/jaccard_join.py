@@ -45,7 +45,7 @@ KEY_BITS = 28
 RANGES = 1024
 MOST_FREQUENT = 1 << 22
 LEAST_FREQUENT = 32
-FLUSH = 1 << 22
+FLUSH = 1 << 21
 CHUNK_SETS = 4096
 CHUNK_SHINGLES = 1 << 20
 LEAST_BITS = 512

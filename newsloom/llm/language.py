@@ -5,7 +5,7 @@ times, followed by d distinct bytes, a byte seen c times there has probability c
 others share the escape probability d / (n + d) and are looked up after the context without its
 first byte, down to a uniform choice of 256 bytes. The statistics are frozen after training,
 so the exact code length of a byte depends on it and the three bytes before alone, and is
-computed once per (longest known context, byte) for all languages. A text's code length under a
+computed once per (longest known context, byte) for all languages, and kept in half precision. A text's code length under a
 language is the sum over its bytes; the shortest wins, and the score is its posterior probability
 among the languages at equal priors, where bits count for at most `TRUSTED_BYTES` bytes.
 
@@ -35,7 +35,7 @@ from newsloom.llm.registry import query, table
 MAX_ROWS = 3000
 ORDER = 3
 TRUSTED_BYTES = 400
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 UND = "und"
 START = 32
 
@@ -111,7 +111,7 @@ class Model:
         contexts = np.unique(np.concatenate([(k[3] * a + k[2]) * a + k[1] for k, _ in coded.values()])) if coded else np.zeros(0, np.int64)
         self.row = np.tile(two, a)
         self.row[contexts] = a * a + np.arange(len(contexts), dtype=np.int32)
-        self.bits = np.zeros((len(self.languages), (a * a + len(contexts)) * a), np.float32)
+        self.bits = np.zeros((len(self.languages), (a * a + len(contexts)) * a), np.float16)
         for at, name in enumerate(self.languages):
             k, n = coded[name]
             level = np.full((1, a), 1.0 / 256)

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 ROWS_AT_ONCE = 256
 #: Characters whose lower case and normal form depend on nothing around them.
 PLAIN = re.compile("[!-~\xa1-\xac\xae-\u012f\u0131-\u024f]*")
@@ -42,7 +42,7 @@ class Memory(dict):
         if len(self) >= REMEMBERED:
             self.older = dict(self)
             self.clear()
-        known = self.older.get(key)
+        known = self.older.get(key) if self.older else None
         if known is None:
             known = self.compute(key)
         self[key] = known
@@ -100,6 +100,10 @@ class Encoder:
             return b"".join(map(self.words.__getitem__, self.pattern.findall(piece.lower())))
         return self._packed(self.whole.encode(piece, add_special_tokens=False).ids)
 
+    def rest(self) -> None:
+        """Let go of what was not met lately, as at the end of a task: the process may live on without one."""
+        self.words.older, self.pieces.older = {}, {}
+
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian integers of `dtype`."""
         if self.pattern is None:
@@ -168,5 +172,6 @@ def tokenized(docs: DataFrame, path: str, end_id: int, by: str | None = None, te
                     ],
                     [*names, *[f.name for f in TOKENIZED]],
                 )
+        own.rest()
 
     return docs.mapInArrow(encode, schema)

@@ -48,6 +48,8 @@ def test_memory_of_the_encoder_is_bounded(monkeypatch):
         text = " ".join("".join(rng.choice("abc") for _ in range(4)) for _ in range(5))
         assert np.frombuffer(own.encode(text), own.dtype).tolist() == ids(text)
     assert all(len(m) <= 5 and len(m.older) <= 5 for m in (own.words, own.pieces))
+    own.rest()
+    assert not own.words.older and not own.pieces.older
 
 
 @settings(max_examples=200, deadline=None)
