@@ -4,8 +4,10 @@ A page is a sequence of words, which score above zero, and tags, which score bel
 region, found by one linear scan, holds the article; the blocks it touches are its text. Scores are
 log-odds of the kind of word or tag inside and outside of articles, counted on labelled pages: pages
 whose own markup names exactly one article (`article` or `main`) label themselves, and a fixed count of hand-labelled
-kinds stands in where there are none. Menus, forms, scripts, notices, adverts, comments and the like
-are left out by element and by class or id; their words take no part in the scan. If most words of the region are
+kinds stands in where there are none. Menus, forms and scripts are left out by element or role, hidden elements by attribute; their words take no part in the scan.
+Any other element whose class or id names boilerplate (adverts, comments ...) is one thing that scores below zero in the scan of
+what is around it, and is left out, unless its own best region, divided by `OVERRULED` (also for names inside of it) and
+less the score of its name, beats that of its surroundings without it: then it is read like any other. `article` and `main` are never left out by their class or id. If most words of the region are
 in one article element, the region is widened or trimmed to that element.
 
 Character references are decoded; white space (and `br`) inside a block becomes one space; blocks are joined by
@@ -57,54 +59,75 @@ NAMES = frozenset(
 HOLDS = frozenset(("article", "main"))
 KINDS = sorted(BLOCKS | VOID | RAW | {"a", "b", "i", "em", "strong", "span", "u", "small", "sup", "sub", "code", "font", "img", "label", "button"})
 # Counts (inside, outside) of hand-labelled kinds, used beside those of the pages.
-PRIOR = {"word": (900, 120), "link word": (20, 160), "p": (40, 4), "b": (6, 2), "i": (6, 2), "em": (6, 1), "strong": (6, 2), "h1": (4, 1), "h2": (4, 2), "br": (6, 3), "a": (8, 60), "li": (6, 60), "ul": (2, 16), "div": (4, 60), "span": (4, 30), "article": (0, 8), "main": (0, 8), "footer": (0, 8), "nav": (0, 8), "header": (0, 8)}
+PRIOR = {"word": (900, 120), "link word": (20, 160), "p": (40, 4), "b": (6, 2), "i": (6, 2), "em": (6, 1), "strong": (6, 2), "h1": (4, 1), "h2": (4, 2), "br": (6, 3), "a": (8, 60), "li": (6, 60), "ul": (2, 16), "div": (4, 60), "span": (4, 30), "article": (0, 8), "main": (0, 8), "footer": (0, 8), "nav": (0, 8), "header": (0, 8), "named": (2, 20)}
 LEAST = 0.05
+#: A name divides what its element scores by so much before it is held against what is best around it.
+OVERRULED = 2.0
 
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]{0,4000}"|'[^']{0,4000}'|[^>])*+)(?:>|\Z)|[^<]+|<""", re.S
 )
-ATTRIBUTE = re.compile(r"""(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+#: One attribute: its whole name and, behind an equals sign, its value.
+ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]++)?+)?+""")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def _unwanted(name: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element is none of the article, by its name or by what it calls itself."""
+def attributes_of(tag: str) -> tuple[dict[str, str], bool]:
+    """Values by lower-case name, the first of repeated names, and whether the tag closes itself."""
+    found, end = {}, 0
+    for m in ATTRIBUTE.finditer(tag):
+        value, end = m[2] or "", m.end()
+        quoted = len(value) > 1 and value[0] in "\"'" and value[-1] == value[0]
+        found.setdefault(m[1].lower(), unescape(value[1:-1] if quoted else value).lower())
+    return found, tag.endswith("/") and end < len(tag)
+
+
+def _unwanted(name: str, attributes: dict[str, str], in_article: bool) -> bool:
+    """Whether an element is none of the article, by its name, by its role or because it is hidden."""
     if name in DROPPED or (name == "header" and not in_article):
         return True
-    if name in ("html", "body") or not attributes.strip():
+    if name in ("html", "body") or not attributes:
+        return False
+    return (
+        "hidden" in attributes
+        or attributes.get("aria-hidden", "").strip() == "true"
+        or not ROLES.isdisjoint(attributes.get("role", "").split())
+        or bool(HIDDEN.search(attributes.get("style", "")))
+    )
+
+
+def _named(name: str, attributes: dict[str, str]) -> bool:
+    """Whether the class or id of an element names what is no article."""
+    if name in HOLDS or name in ("html", "body"):
         return False
-    for key, value in ATTRIBUTE.findall(attributes):
-        key, value = key.lower(), value.strip("\"'").lower()
-        if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "role" and value in ROLES) or (key == "style" and HIDDEN.search(value)):
-            return True
-        if key in ("class", "id") and NAMES.intersection(re.split(r"[^a-z]+", value)):
-            return True
-    return False
+    return any(NAMES.intersection(re.split(r"[^a-z]+", attributes[k])) for k in ("class", "id") if k in attributes)
 
 
 class Page:
-    """The blocks of a page and the sequence of scored things in it."""
+    """The things of a page in page order and, once its named elements are settled, its blocks and scored items."""
 
     def __init__(self, html: str) -> None:
-        self.blocks: list[list[str]] = [[]]
-        #: (kind, how many, block, article element or 0) of words and tags in page order.
-        self.items: list[tuple[str, int, int, int]] = []
+        #: (kind or "", how many, text, whether a block begins, article element or 0, innermost named element or 0).
+        self.things: list[tuple[str, int, str, bool, int, int]] = []
+        #: The named element around each named element, and the place of its own thing; 0 is the page.
+        self.around, self.places = [0], [0]
         self.articles = 0
         self._read(html)
+        self.settle([True] + [False] * (len(self.around) - 1))
 
     def _read(self, html: str) -> None:
-        stack: list[tuple[str, bool, int]] = []
+        stack: list[tuple[str, bool, int, int]] = []
         open_names: Counter[str] = Counter()
-        dropping = article = links = at = 0
+        dropping = article = links = named = at = 0
 
         def close(name: str) -> None:
-            nonlocal dropping, article, links
+            nonlocal dropping, article, links, named
             while stack:
-                top, dropped, before = stack.pop()
+                top, dropped, before, outer = stack.pop()
                 open_names[top] -= 1
                 dropping -= dropped
                 links -= top == "a"
-                article = before
+                article, named = before, outer
                 if top == name:
                     return
 
@@ -116,21 +139,17 @@ class Page:
                 text = m[0]
                 if text[0] == "<" and len(text) > 1 or dropping:
                     continue
-                self.blocks[-1].append(text)
-                if words := len(text.split()):
-                    self.items.append(("link word" if links else "word", words, len(self.blocks) - 1, article))
+                words = len(text.split())
+                self.things.append((("link word" if links else "word") if words else "", words, text, False, article, named))
                 continue
             name, ends = m[2].lower(), bool(m[1])
             if name in RAW and not ends:
                 end = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.I).search(html, at)
                 at = end.end() if end else size
                 continue
-            if name in BLOCKS and not dropping and self.blocks[-1]:
-                self.blocks.append([])
-            if name == "br" and not dropping:
-                self.blocks[-1].append(" ")
             if not dropping:
-                self.items.append((name if name in PRIOR or name in KINDS_SET else "other", 1, len(self.blocks) - 1, 0 if name in HOLDS else article))
+                kind = name if name in PRIOR or name in KINDS_SET else "other"
+                self.things.append((kind, 1, " " if name == "br" else "", name in BLOCKS, 0 if name in HOLDS else article, named))
             if ends:
                 if open_names[name]:
                     close(name)
@@ -139,34 +158,80 @@ class Page:
                 close("p")
             if name in ("li", "td", "th", "tr", "dt", "dd", "option") and stack and stack[-1][0] == name:
                 close(name)
-            if name in VOID or m[3].rstrip().endswith("/") and name not in BLOCKS:
+            attributes, closed = attributes_of(m[3]) if m[3] and not m[3].isspace() else ({}, False)
+            if name in VOID or closed and name not in BLOCKS:
                 continue
-            dropped = _unwanted(name, m[3], bool(article))
-            if dropped and not dropping and self._holds_article(name, html, at):
-                dropped = False
-            stack.append((name, dropped, article))
+            dropped = _unwanted(name, attributes, bool(article))
+            stack.append((name, dropped, article, named))
             open_names[name] += 1
             dropping += dropped
             links += name == "a"
-            if name in HOLDS and not dropping and not article:
+            if not dropping and _named(name, attributes):
+                self.things.append(("named", 1, "", False, article, named))
+                self.around.append(named)
+                self.places.append(len(self.things) - 1)
+                named = len(self.around) - 1
+            if name in HOLDS and not dropping and not article and not named:
                 self.articles += 1
                 article = self.articles
 
-    def _holds_article(self, name: str, html: str, at: int) -> bool:
-        """Whether a container named like boilerplate opens directly around the article."""
-        if name in DROPPED or name == "header":
-            return False
-        near = HOLDER.match(html, at)
-        return bool(near) and not _unwanted(near[1].lower(), near[2], False)
+    def settle(self, read: list[bool]) -> None:
+        """Blocks, and (kind, how many, block, article element or 0) of words and tags, of what `read` tells by named element."""
+        self.blocks: list[list[str]] = [[]]
+        self.items: list[tuple[str, int, int, int]] = []
+        for kind, n, text, begins, article, named in self.things:
+            if not read[named]:
+                continue
+            if begins and self.blocks[-1]:
+                self.blocks.append([])
+            if text:
+                self.blocks[-1].append(text)
+            if kind:
+                self.items.append((kind, n, len(self.blocks) - 1, article))
+
+    def weigh(self, weight: dict[str, float]) -> None:
+        """Settle which named elements are read, from the innermost to the outermost, by sums of scores."""
+        if len(self.around) == 1:
+            return
+        parts: list[list] = [[] for _ in self.around]
+        inner = dict(zip(self.places[1:], range(1, len(self.places))))
+        for at, (kind, n, _, _, _, named) in enumerate(self.things):
+            if kind:
+                parts[named].append((weight[kind] * n, inner.get(at, 0)))
+        # Of each: its sum, its best run, its best beginning and its best end, less for its name and those inside of it.
+        sums: list[tuple[float, float, float, float]] = [NO_SUM] * len(parts)
+        read = [True] * len(parts)
+        for own in range(len(parts) - 1, -1, -1):
+            around = best = 0.0
+            for score, _ in parts[own]:
+                around = max(0.0, around + score)
+                best = max(best, around)
+            whole = NO_SUM
+            for score, child in parts[own]:
+                whole = _joined(whole, (score, max(0.0, score), max(0.0, score), max(0.0, score)))
+                if child:
+                    read[child] = sums[child][1] + score > best
+                    if read[child]:
+                        whole = _joined(whole, sums[child])
+            sums[own] = tuple(x / OVERRULED for x in whole)
+        for child in range(1, len(read)):
+            read[child] = read[child] and read[self.around[child]]
+        self.settle(read)
 
     def text(self, blocks: list[int]) -> str:
         parts = (" ".join(unescape("".join(self.blocks[b])).split()) for b in blocks)
         return "\n".join(p for p in parts if p)
 
 
+NO_SUM = (0.0, 0.0, 0.0, 0.0)
+
+
+def _joined(a: tuple[float, float, float, float], b: tuple[float, float, float, float]) -> tuple[float, float, float, float]:
+    """(sum, best run, best beginning, best end) of two runs behind each other."""
+    return a[0] + b[0], max(a[1], b[1], a[3] + b[2]), max(a[2], a[0] + b[2]), max(b[3], b[0] + a[3])
+
+
 KINDS_SET = frozenset(KINDS)
-#: An article that begins after nothing but other opening tags.
-HOLDER = re.compile(r"(?:\s*<(?:div|section)\b[^>]*>)*\s*<(article|main)\b([^>]*)>", re.I)
 
 
 def weights(counts: dict[str, tuple[int, int]]) -> dict[str, float]:
@@ -191,6 +256,7 @@ def best_region(scores: list[float]) -> tuple[int, int]:
 
 def main_text(html: str | None, weight: dict[str, float]) -> str:
     page = Page(html or "")
+    page.weigh(weight)
     start, end = best_region([weight[k] * n for k, n, _, _ in page.items])
     if start == end:
         return ""

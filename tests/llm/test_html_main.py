@@ -91,3 +91,36 @@ def test_query_on_awkward_rows(spark, tmp_path):
 def test_weights_have_their_signs():
     w = html_main.weights({"p": (100, 0), "word": (5, 500), "table": (0, 3)})
     assert w["word"] > 0 and w["p"] < 0 and w["table"] < 0
+
+
+@pytest.mark.parametrize("attribute", ['href="/the-hidden-cost"', 'title="Hidden"', 'data-toggle="hidden"', 'href="/n?id=comments"', 'data-id="share-3"', "data-role=navigation"])
+def test_attributes_are_read_by_their_whole_names(attribute):
+    html = f"<article><p>{WORDS}</p><p {attribute}>kept too</p><p>And <a {attribute}>a link</a> in it</p><div {attribute}><p>{WORDS}</p></div></article>"
+    assert html_main.main_text(html, STOCK) == f"{WORDS}\nkept too\nAnd a link in it\n{WORDS}"
+
+
+@pytest.mark.parametrize("attribute", ["hidden", 'HIDDEN=""', "aria-hidden='true'", "style='display : none'", "role=search", "x=1 hidden/"])
+def test_hidden_elements_are_left_out(attribute):
+    assert html_main.main_text(f"<article><p>{WORDS}</p><div {attribute}>not this</div><p>{WORDS}</p></article>", STOCK) == f"{WORDS}\n{WORDS}"
+
+
+@pytest.mark.parametrize("start, end", [
+    ("<article class='post no-sidebar'>", "</article>"), ("<main class=with-sidebar>", "</main>"), ("<div class=category-promotion>", "</div>"),
+    ("<div class='layout with-sidebar'><div><p>Start</p><article class=promo>", "</article></div></div>"), ("<div id=share-1><div class=widget-area>", "</div></div>"),
+])
+def test_names_do_not_delete_the_article(start, end):
+    html = f"<body><ul><li><a>One</a><li><a>Two</a></ul>{start}<p>{WORDS}</p><div class=advert>Buy this</div><p>{WORDS}</p><p>{WORDS}</p>{end}<div><p>All rights</p></div></body>"
+    assert html_main.main_text(html, STOCK).endswith(f"{WORDS}\n{WORDS}\n{WORDS}")
+
+
+def test_names_weigh_against_comments():
+    comment = f"<li class=comment><div class=comment-body><p>{WORDS}</p></div></li>"
+    html = f"<body><div><p>{WORDS}</p><p>{WORDS}</p></div><ol class=comment-list>{comment * 5}</ol></body>"
+    assert html_main.main_text(html, STOCK) == f"{WORDS}\n{WORDS}"
+
+
+@pytest.mark.parametrize("html", ["<p class=ad>x" * 60_000, "<div class=ad>x" * 60_000, "<div class=ad>x</div>" * 60_000, "<a b='" * 60_000, "<a b=\"'" * 60_000])
+def test_long_pages_of_names_and_quotes_take_little_time(html):
+    start = time.process_time()
+    html_main.main_text(html, STOCK)
+    assert time.process_time() - start < 10
