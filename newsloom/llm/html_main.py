@@ -13,8 +13,9 @@ in one article element, the region is widened or trimmed to that element.
 Character references are decoded; white space (and `br`) inside a block becomes one space; blocks are joined by
 one line feed in page order. Inline tags join text without a space.
 
-Cases: null or empty html, and pages without words, give an empty text; unclosed elements, quotes and
-comments end with their parent or the page; repeated rows are extracted alike; an empty table gives no rows;
+Cases: null or empty html, and pages without words, give an empty text; unclosed quotes, comments, scripts, styles,
+text areas and titles end with the page, other unclosed elements with their parent or the page; `svg`, `math` and inline
+elements that close themselves are empty; repeated rows are extracted alike; an empty table gives no rows;
 extra columns stay, those of the outputs' names are replaced. At most `MAX_PAGES` pages are learned from, chosen by
 a hash of the page id.
 """
@@ -37,7 +38,8 @@ from newsloom.llm.registry import query, table
 MAX_PAGES = 4000
 
 # Elements of HTML by how they are read.
-RAW = frozenset("script style textarea title template noscript iframe object svg math canvas audio video select noframes xmp".split())
+RAW = frozenset("script style textarea title".split())
+UNREAD = frozenset("template noscript iframe object svg math canvas audio video select noframes xmp".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -57,7 +59,7 @@ NAMES = frozenset(
     "copyright disclaimer".split()
 )
 HOLDS = frozenset(("article", "main"))
-KINDS = sorted(BLOCKS | VOID | RAW | {"a", "b", "i", "em", "strong", "span", "u", "small", "sup", "sub", "code", "font", "img", "label", "button"})
+KINDS = sorted(BLOCKS | VOID | RAW | UNREAD | {"a", "b", "i", "em", "strong", "span", "u", "small", "sup", "sub", "code", "font", "img", "label", "button"})
 # Counts (inside, outside) of hand-labelled kinds, used beside those of the pages.
 PRIOR = {"word": (900, 120), "link word": (20, 160), "p": (40, 4), "b": (6, 2), "i": (6, 2), "em": (6, 1), "strong": (6, 2), "h1": (4, 1), "h2": (4, 2), "br": (6, 3), "a": (8, 60), "li": (6, 60), "ul": (2, 16), "div": (4, 60), "span": (4, 30), "article": (0, 8), "main": (0, 8), "footer": (0, 8), "nav": (0, 8), "header": (0, 8), "named": (2, 20)}
 LEAST = 0.05
@@ -84,7 +86,7 @@ def attributes_of(tag: str) -> tuple[dict[str, str], bool]:
 
 def _unwanted(name: str, attributes: dict[str, str], in_article: bool) -> bool:
     """Whether an element is none of the article, by its name, by its role or because it is hidden."""
-    if name in DROPPED or (name == "header" and not in_article):
+    if name in DROPPED or name in UNREAD or (name == "header" and not in_article):
         return True
     if name in ("html", "body") or not attributes:
         return False
@@ -132,6 +134,15 @@ class Page:
                     return
 
         size = len(html)
+        ahead: dict[str, int] = {}
+
+        def ends_later(name: str) -> bool:
+            """Whether an end tag of an element not read comes yet; every search goes on from the last."""
+            if ahead.get(name, -1) < at:
+                end = re.compile(rf"</{name}\b", re.I).search(html, at)
+                ahead[name] = end.start() if end else size
+            return ahead[name] < size
+
         while at < size:
             m = TOKEN.match(html, at)
             at = m.end()
@@ -147,17 +158,19 @@ class Page:
                 end = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.I).search(html, at)
                 at = end.end() if end else size
                 continue
-            if not dropping:
+            if not ends and name in BLOCKS and open_names["p"]:
+                top = stack[-1][0]
+                if top == "p" or (top in UNREAD and len(stack) > 1 and stack[-2][0] == "p" and not ends_later(top)):
+                    close("p")
+            if not ends and name in ("li", "td", "th", "tr", "dt", "dd", "option") and stack and stack[-1][0] == name:
+                close(name)
+            if not dropping and (ends or name not in UNREAD):
                 kind = name if name in PRIOR or name in KINDS_SET else "other"
                 self.things.append((kind, 1, " " if name == "br" else "", name in BLOCKS, 0 if name in HOLDS else article, named))
             if ends:
                 if open_names[name]:
                     close(name)
                 continue
-            if name in BLOCKS and open_names["p"] and stack[-1][0] == "p":
-                close("p")
-            if name in ("li", "td", "th", "tr", "dt", "dd", "option") and stack and stack[-1][0] == name:
-                close(name)
             attributes, closed = attributes_of(m[3]) if m[3] and not m[3].isspace() else ({}, False)
             if name in VOID or closed and name not in BLOCKS:
                 continue

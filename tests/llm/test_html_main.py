@@ -124,3 +124,17 @@ def test_long_pages_of_names_and_quotes_take_little_time(html):
     start = time.process_time()
     html_main.main_text(html, STOCK)
     assert time.process_time() - start < 10
+
+
+@pytest.mark.parametrize("tag", ["<svg viewBox='0 0 1 1'/>", "<math/>", "<svg><path d=x/><title>t</title></svg>", "<svg a=x/ >icon</svg>", "<select><option>a<option>b</select>"])
+def test_pictures_end_with_themselves(tag):
+    html = f"<article><p>{WORDS}</p>{tag}<p>rest {WORDS}</p>{tag}<p>last {WORDS}</p></article>"
+    assert html_main.main_text(html, STOCK) == f"{WORDS}\nrest {WORDS}\nlast {WORDS}"
+
+
+@pytest.mark.parametrize("name", sorted(html_main.UNREAD))
+def test_unclosed_elements_end_with_their_parent(name):
+    html = f"<article><p>{WORDS}</p><div><{name} x=1>not this</div><p>rest {WORDS}</p><div><{name}>nor this</{name}></div><p>last {WORDS}</p></article>"
+    assert html_main.main_text(html, STOCK) == f"{WORDS}\nrest {WORDS}\nlast {WORDS}"
+    html = f"<article><p>{WORDS}<{name}>not this<p>rest {WORDS}</p></article>"
+    assert html_main.main_text(html, STOCK) == f"{WORDS}\nrest {WORDS}"
