@@ -13,7 +13,7 @@ in one article element, the region is widened or trimmed to that element.
 Character references are decoded; white space (and `br`) inside a block becomes one space; blocks are joined by
 one line feed in page order. Inline tags join text without a space.
 
-Cases: null or empty html, and pages without words, give an empty text; unclosed quotes, comments, scripts, styles,
+Cases: null or empty html, and pages without words, give an empty text; a quote that never ends is no quote; unclosed comments, scripts, styles,
 text areas and titles end with the page, other unclosed elements with their parent or the page; `svg`, `math` and inline
 elements that close themselves are empty; repeated rows are extracted alike; an empty table gives no rows;
 extra columns stay, those of the outputs' names are replaced. At most `MAX_PAGES` pages are learned from, chosen by
@@ -66,11 +66,14 @@ LEAST = 0.05
 #: A name divides what its element scores by so much before it is held against what is best around it.
 OVERRULED = 2.0
 
+#: One attribute: its whole name and, behind an equals sign, its value. A quote that never ends is no quote; it is looked
+#: for once a page, as only the last one of its kind can be so.
+ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]++)?+)?+""")
 TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]{0,4000}"|'[^']{0,4000}'|[^>])*+)(?:>|\Z)|[^<]+|<""", re.S
+    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
+    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]++)?+)?+)*+)(?:>|\Z)|[^<]+|<""",
+    re.S,
 )
-#: One attribute: its whole name and, behind an equals sign, its value.
-ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]++)?+)?+""")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 

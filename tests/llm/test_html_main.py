@@ -138,3 +138,23 @@ def test_unclosed_elements_end_with_their_parent(name):
     assert html_main.main_text(html, STOCK) == f"{WORDS}\nrest {WORDS}\nlast {WORDS}"
     html = f"<article><p>{WORDS}<{name}>not this<p>rest {WORDS}</p></article>"
     assert html_main.main_text(html, STOCK) == f"{WORDS}\nrest {WORDS}"
+
+
+@pytest.mark.parametrize("quote, other", ["\"'", "'\""])
+@pytest.mark.parametrize("size", [100, 4001, 200_000])
+def test_quoted_values_of_any_length(quote, other, size):
+    value = f"a > b </article> <p> {other} word " * (size // 20)
+    html = f"<article><p>{WORDS}</p><div data-x={quote}{value}{quote}><p>rest {WORDS}</p></div></article>"
+    assert html_main.main_text(html, STOCK) == f"{WORDS}\nrest {WORDS}"
+
+
+def test_quotes_inside_of_bare_values_and_without_end():
+    html = f"<article><p title=it's>{WORDS}</p><p title=x\"y>rest {WORDS}</p><p class=\"x>last {WORDS}</p></article>"
+    assert html_main.main_text(html, STOCK) == f"{WORDS}\nrest {WORDS}\nlast {WORDS}"
+
+
+@pytest.mark.parametrize("html", ["<a b=" * 60_000, "<a b=\"" * 60_001, "<a =\"'" * 60_001, "<a b='\"" * 60_001, "<a b" + " " * 500_000, "<a " + "b= " * 200_000, "<a b=\"'>" * 60_001])
+def test_broken_quotes_take_little_time(html):
+    start = time.process_time()
+    html_main.main_text(html, STOCK)
+    assert time.process_time() - start < 10
