@@ -16,6 +16,8 @@ from newsloom.session import stored
 
 #: No learned language explains a text that costs more bits a byte than this.
 MOST_BITS = 6.0
+#: Near copies share this many hundredths of their shingles of so many words (operator 6 by itself takes others).
+NEAR_WORDS, NEAR_SHARE = 5, 80
 
 
 def _aside(docs: DataFrame, *needed: str) -> tuple[DataFrame, list]:
@@ -40,7 +42,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by their shingles the one with the least id; of repeated rows of it one."""
-    linked = jaccard_join.linked_documents(docs)
+    linked = jaccard_join.linked_documents(docs, width=NEAR_WORDS, share=NEAR_SHARE)
     first = stored(linked.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct(), "first-of-groups")
     own, back = _aside(docs, "doc_id", "text")
     rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))

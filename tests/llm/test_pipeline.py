@@ -73,3 +73,23 @@ def test_run_on_the_given_tables(spark):
 
 def test_empty_tables(spark, tmp_path):
     assert rows_of(corpus_pipeline.run(spark, write(tmp_path, documents=[], labels=[]))) == []
+
+
+def jaccard(a, b, width):
+    sets = [{tuple(w[i : i + width]) for i in range(len(w) - width + 1)} for w in (a.split(), b.split())]
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+def test_near_copies_are_those_of_five_words_at_four_fifths(spark):
+    rng, rows, kept = random.Random(31), [], []
+    for k in range(12):
+        words = [f"w{k}x{i}" for i in range(200)]
+        # Some single words replaced, or a new end, for shares around the limit.
+        at = rng.sample(range(10, 190), 1 + k)
+        copy = [f"new{i}" if i in at else w for i, w in enumerate(words)] if k % 2 else words[: 174 + 2 * k] + [f"end{i}" for i in range(26 - 2 * k)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(copy))]
+        kept += [2 * k] + [2 * k + 1] * (jaccard(rows[-1][1], rows[-2][1], 5) < 0.8)
+    pairs = [(rows[i][1], rows[i + 1][1]) for i in range(0, len(rows), 2)]
+    assert any(0.8 <= jaccard(a, b, 5) < 0.85 and jaccard(a, b, 4) < 0.85 for a, b in pairs) and any(jaccard(a, b, 5) < 0.8 for a, b in pairs)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert ids_of(rows_of(corpus_pipeline.keep_one_of_each_group(spark, docs, ""))) == [(True, d) for d in kept]
