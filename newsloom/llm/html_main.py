@@ -4,20 +4,23 @@ A page is a sequence of words, which score above zero, and tags, which score bel
 region, found by one linear scan, holds the article; the blocks it touches are its text. Scores are
 log-odds of the kind of word or tag inside and outside of articles, counted on labelled pages: pages
 whose own markup names exactly one article (`article` or `main`) label themselves, and a fixed count of hand-labelled
-kinds stands in where there are none. Menus, forms and scripts are left out by element or role, hidden elements by attribute; their words take no part in the scan.
-Any other element whose class or id names boilerplate (adverts, comments ...) is one thing that scores below zero in the scan of
-what is around it, and is left out, unless its own best region, divided by `OVERRULED` (also for names inside of it) and
-less the score of its name, beats that of its surroundings without it: then it is read like any other. `article` and `main` are never left out by their class or id. If most words of the region are
-in one article element, the region is widened or trimmed to that element.
+kinds stands in where there are none. Tags inside of an article element weigh `IN_ARTICLE` of what they weigh elsewhere;
+the region alone decides, whatever elements it crosses.
+
+Menus, forms and scripts are left out by element or role, hidden elements by attribute; their words take no part in
+the scan. Any other element whose class or id names boilerplate (adverts, comments ...) is one thing that scores below
+zero in the scan of what is around it, and is left out, unless its own best region, divided by `OVERRULED` (also for
+names inside of it) and less the score of its name, beats that of its surroundings without it: then it is read like any
+other. `article` and `main` are never left out by their class or id.
 
 Character references are decoded; white space (and `br`) inside a block becomes one space; blocks are joined by
 one line feed in page order. Inline tags join text without a space.
 
-Cases: null or empty html, and pages without words, give an empty text; a quote that never ends is no quote; unclosed comments, scripts, styles,
-text areas and titles end with the page, other unclosed elements with their parent or the page; `svg`, `math` and inline
-elements that close themselves are empty; repeated rows are extracted alike; an empty table gives no rows;
-extra columns stay, those of the outputs' names are replaced. At most `MAX_PAGES` pages are learned from, chosen by
-a hash of the page id.
+Cases: null or empty html, and pages without words, give an empty text; a quote that never ends is no quote; unclosed
+comments, scripts, styles, text areas and titles end with the page, other unclosed elements with their parent or the
+page; `svg`, `math` and inline elements that close themselves are empty; repeated rows are extracted alike; an empty
+table gives no rows; extra columns stay, those of the outputs' names are replaced. At most `MAX_PAGES` pages are learned
+from, chosen by a hash of the page id.
 """
 
 from __future__ import annotations
@@ -65,6 +68,8 @@ PRIOR = {"word": (900, 120), "link word": (20, 160), "p": (40, 4), "b": (6, 2),
 LEAST = 0.05
 #: A name divides what its element scores by so much before it is held against what is best around it.
 OVERRULED = 2.0
+#: The share of its score that a tag has inside of an article element.
+IN_ARTICLE = 0.25
 
 #: One attribute: its whole name and, behind an equals sign, its value. A quote that never ends is no quote; it is looked
 #: for once a page, as only the last one of its kind can be so.
@@ -211,9 +216,9 @@ class Page:
             return
         parts: list[list] = [[] for _ in self.around]
         inner = dict(zip(self.places[1:], range(1, len(self.places))))
-        for at, (kind, n, _, _, _, named) in enumerate(self.things):
+        for at, (kind, n, _, _, article, named) in enumerate(self.things):
             if kind:
-                parts[named].append((weight[kind] * n, inner.get(at, 0)))
+                parts[named].append((scored(weight, kind, n, article), inner.get(at, 0)))
         # Of each: its sum, its best run, its best beginning and its best end, less for its name and those inside of it.
         sums: list[tuple[float, float, float, float]] = [NO_SUM] * len(parts)
         read = [True] * len(parts)
@@ -258,6 +263,12 @@ def weights(counts: dict[str, tuple[int, int]]) -> dict[str, float]:
     return {k: max(LEAST, w) if k.endswith("word") else min(-LEAST, w) for k, w in odds.items()}
 
 
+def scored(weight: dict[str, float], kind: str, n: int, article: int) -> float:
+    """The score of a thing; tags inside of an article element weigh less."""
+    light = article and kind != "named" and not kind.endswith("word")
+    return weight[kind] * n * (IN_ARTICLE if light else 1.0)
+
+
 def best_region(scores: list[float]) -> tuple[int, int]:
     """[start, end) of the contiguous run with the largest sum; the longest of equal ones that start first."""
     best, region, total, start = 0.0, (0, 0), 0.0, 0
@@ -273,20 +284,10 @@ def best_region(scores: list[float]) -> tuple[int, int]:
 def main_text(html: str | None, weight: dict[str, float]) -> str:
     page = Page(html or "")
     page.weigh(weight)
-    start, end = best_region([weight[k] * n for k, n, _, _ in page.items])
+    start, end = best_region([scored(weight, k, n, article) for k, n, _, article in page.items])
     if start == end:
         return ""
-    region = page.items[start:end]
-    first, last = region[0][2], region[-1][2]
-    words = Counter()
-    for kind, n, _, article in region:
-        if kind.endswith("word"):
-            words[article] += n
-    owner, most = max(words.items(), key=lambda x: (x[1], -x[0]))
-    if owner and 2 * most >= sum(words.values()):
-        inside = {b for kind, _, b, article in page.items if article == owner and kind.endswith("word")}
-        return page.text(sorted(inside))
-    return page.text(list(range(first, last + 1)))
+    return page.text(list(range(page.items[start][2], page.items[end - 1][2] + 1)))
 
 
 def kind_counts(html: str | None) -> Counter[tuple[str, bool]]:

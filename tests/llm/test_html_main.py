@@ -158,3 +158,16 @@ def test_broken_quotes_take_little_time(html):
     start = time.process_time()
     html_main.main_text(html, STOCK)
     assert time.process_time() - start < 10
+
+
+@pytest.mark.parametrize("first, second", [(6, 4), (4, 6), (5, 5), (9, 2)])
+def test_the_region_covers_sibling_articles(first, second):
+    one, two = ("".join(f"<p>{k} {i} {WORDS}</p>" for i in range(n)) for k, n in (("one", first), ("two", second)))
+    html = f"<body><nav><a>One</a></nav><article><h1>Head</h1>{one}</article><article>{two}</article><footer>All rights</footer></body>"
+    want = [f"one {i} {WORDS}" for i in range(first)] + [f"two {i} {WORDS}" for i in range(second)]
+    assert html_main.main_text(html, STOCK).split("\n")[-len(want) :] == want
+
+
+def test_the_region_covers_text_around_an_article():
+    html = f"<div><article><p>{WORDS}</p><p>{WORDS}</p></article><p>then {WORDS}</p></div>"
+    assert html_main.main_text(html, STOCK) == f"{WORDS}\n{WORDS}\nthen {WORDS}"
