@@ -5,14 +5,15 @@ vectors are added modulo powers of two. Texts of the same paragraphs in any orde
 or deleting a paragraph adds or subtracts its vector (`plus`, `minus`) without reading the rest.
 
 The vector has two parts. `exact`: 8 numbers of 32 bits, hashes of the paragraph under 4 seeds, summed
-modulo 2^32, for equality. `lanes`: for each of 120 hash bits the number of the paragraph's sentences that
-have it, 3 counters of 20 bits in one 64-bit number; every counter is a sum of random signs, so the
-cosine of two texts' counters estimates the share of sentences they have in common.
+modulo 2^32, for equality. `lanes`: for each of 120 hash bits the number of the paragraph's different windows that have it,
+each in a sum of its own. A window is `WINDOW` neighbouring words of a paragraph; of scripts without blanks every letter is a
+word, and longer words count as pieces of `PIECE` letters. Every counter is a sum of random signs, so the
+cosine of two texts' counters estimates the cosine of their counts of windows. `n_sentences` is the number of
+windows. A window that a paragraph repeats counts once there, or one phrase said often would outweigh the text.
 
 Cases: a null text is empty and an empty text is one empty paragraph; repeated paragraphs count as
 often as they occur; repeated ids are told apart by order of text; one document is its own next; an
-empty table gives an empty result. Counters overflow into each other beyond 2^20 sentences: sums stay
-deterministic and incremental, only likeness then suffers. Extra columns are not read.
+empty table gives an empty result; a paragraph of fewer words, or none, is one window. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -25,10 +26,16 @@ from newsloom.llm.registry import query, table
 
 SEEDS = (1, 2, 3, 4)
 LANE_SEEDS = (11, 12)
-LANE_BITS = 20
-LANE_MASK = sum(1 << (LANE_BITS * k) for k in range(3))
+#: Bits used of each seed's hash.
+LANE_BITS = 60
+WINDOW = 3
+PIECE = 16
+#: A letter of a script written without blanks, or up to PIECE other letters.
+WORD = (
+    "[\\p{IsHan}\\p{IsHiragana}\\p{IsKatakana}\\p{IsThai}\\p{IsLao}\\p{IsKhmer}\\p{IsMyanmar}\\p{IsTibetan}]"
+    "|[^\\s\\p{IsHan}\\p{IsHiragana}\\p{IsKatakana}\\p{IsThai}\\p{IsLao}\\p{IsKhmer}\\p{IsMyanmar}\\p{IsTibetan}]{1,%d}" % PIECE
+)
 LOW = (1 << 32) - 1
-SENTENCE_END = "(?<=[.!?|;])[ \\t]+"
 EXACT = [f"e{i}" for i in range(2 * len(SEEDS))]
 LANES = [f"l{i}" for i in range(LANE_BITS * len(LANE_SEEDS))]
 
@@ -36,14 +43,16 @@ LANES = [f"l{i}" for i in range(LANE_BITS * len(LANE_SEEDS))]
 def fingerprints(texts: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """(keys, exact, lanes, n_sentences) per key; rows with the same keys add up."""
     paragraphs = texts.select(*keys, F.explode(F.split(F.coalesce(text, F.lit("")), "\n")).alias("paragraph"))
-    sentences = paragraphs.select(*keys, "paragraph", F.posexplode(F.split("paragraph", SENTENCE_END)).alias("place", "sentence"))
-    hashed = sentences.select(
+    words = paragraphs.select(*keys, "paragraph", F.regexp_extract_all("paragraph", F.lit(WORD), F.lit(0)).alias("words"))
+    starts = F.sequence(F.lit(1), F.greatest(F.size("words") - (WINDOW - 1), F.lit(1)))
+    windows = words.select(*keys, "paragraph", F.posexplode(F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.slice("words", i, WINDOW))))).alias("place", "window"))
+    hashed = windows.select(
         *keys,
         *[F.when(F.col("place") == 0, F.xxhash64(F.lit(s), "paragraph")).otherwise(F.lit(0)).alias(f"p{s}") for s in SEEDS],
-        *[F.xxhash64(F.lit(s), "sentence").alias(f"s{s}") for s in LANE_SEEDS],
+        *[F.xxhash64(F.lit(s), "window").alias(f"s{s}") for s in LANE_SEEDS],
     )
     exact = [c for s in SEEDS for c in (F.col(f"p{s}").bitwiseAND(LOW), F.shiftrightunsigned(f"p{s}", 32))]
-    lanes = [F.shiftrightunsigned(f"s{s}", j).bitwiseAND(LANE_MASK) for s in LANE_SEEDS for j in range(LANE_BITS)]
+    lanes = [F.shiftrightunsigned(f"s{s}", j).bitwiseAND(1) for s in LANE_SEEDS for j in range(LANE_BITS)]
     summed = hashed.groupBy(*keys).agg(
         *[F.sum(c).alias(n) for c, n in zip(exact + lanes, EXACT + LANES)], F.count(F.lit(1)).alias("n_sentences")
     )
@@ -81,11 +90,7 @@ def as_text(exact: Column, lanes: Column, n_sentences: Column) -> Column:
 
 def signed(lanes: Column, n_sentences: Column) -> Column:
     """The counters as sums of signs."""
-    counter = (1 << LANE_BITS) - 1
-    top = F.transform(lanes, lambda x: 2 * F.shiftrightunsigned(x, 2 * LANE_BITS) - n_sentences)
-    mid = F.transform(lanes, lambda x: 2 * F.shiftrightunsigned(x, LANE_BITS).bitwiseAND(counter) - n_sentences)
-    low = F.transform(lanes, lambda x: 2 * x.bitwiseAND(counter) - n_sentences)
-    return F.transform(F.concat(top, mid, low), lambda x: x.cast("double"))
+    return F.transform(lanes, lambda x: (2 * x - n_sentences).cast("double"))
 
 
 def dot(a: Column, b: Column) -> Column:

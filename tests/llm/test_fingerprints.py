@@ -69,3 +69,34 @@ def test_neighbours_need_one_shuffle(spark, tmp_path):
     docs = spark.read.parquet(f"{write(tmp_path, documents=awkward(random.Random(7), 20))}/documents.parquet")
     plan = fingerprints.with_next(docs)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "SinglePartition" not in plan
+
+
+def near(spark, pairs):
+    """Likeness of the two texts of every pair."""
+    rows = [(i, k, t) for i, p in enumerate(pairs) for k, t in enumerate(p)]
+    prints = fingerprints.fingerprints(spark.createDataFrame(rows, "id int, k int, text string"), ["id", "k"])
+    made = prints.withColumn("vector", fingerprints.signed(F.col("lanes"), F.col("n_sentences"))).orderBy("id", "k").collect()
+    dot = lambda a, b: sum(x * y for x, y in zip(a["vector"], b["vector"]))
+    return [max(0, dot(a, b)) / (dot(a, a) * dot(b, b)) ** 0.5 for a, b in zip(made[::2], made[1::2])]
+
+
+def test_half_kept_texts_of_few_sentences_are_told_from_others(spark):
+    rng = random.Random(8)
+    long = lambda: text(rng, 200)
+    signs = lambda: "".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(300))
+    half = lambda a, b: a[: len(a) - len(a) // 2] + b[: len(a) // 2]
+    said = lambda: "one phrase " * 90
+    pairs = [(a, half(a, make())) for make in (long, signs) for a in [make() for _ in range(4)]] + [(a, half(a, said())) for a in (long(), long())]
+    assert min(near(spark, pairs)) > 0.3
+    assert max(near(spark, [(make(), make()) for make in (long, signs) for _ in range(4)])) < 0.3
+
+
+def test_counters_have_sums_of_their_own(spark):
+    made = fingerprints.fingerprints(spark.createDataFrame([(0, "a b c")], "id int, text string"), ["id"])
+    (one,) = made.select(F.struct("exact", "lanes", "n_sentences").alias("p")).collect()
+    many = spark.range(1).select(F.lit(0).alias("id")).join(made, "id")
+    for _ in range(24):
+        p = F.struct("exact", "lanes", "n_sentences")
+        many = spark.createDataFrame(many.select("id", fingerprints.plus(p, p).alias("p")).select("id", "p.*").collect(), made.schema)
+    (big,) = many.collect()
+    assert big["n_sentences"] == 1 << 24 and big["lanes"] == [x << 24 for x in one["p"]["lanes"]] and len(big["lanes"]) == 120 and set(one["p"]["lanes"]) <= {0, 1}
