@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from newsloom.llm import (  # noqa: F401
+    centroids,
     chat,
     decision_list,
     fingerprints,
@@ -13,6 +14,8 @@ from newsloom.llm import (  # noqa: F401
     packing,
     quality,
     token_files,
+    toxicity,
+    whitening,
 )
 from newsloom.llm.registry import ORACLES, QUERIES
 
