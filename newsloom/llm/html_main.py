@@ -7,18 +7,20 @@ whose own markup names exactly one article (`article` or `main`) label themselve
 kinds stands in where there are none. Tags inside of an article element weigh `IN_ARTICLE` of what they weigh elsewhere;
 the region alone decides, whatever elements it crosses.
 
-Menus, forms and scripts are left out by element or role, hidden elements by attribute; their words take no part in
-the scan. Any other element whose class or id names boilerplate (adverts, comments ...) is one thing that scores below
-zero in the scan of what is around it, and is left out, unless its own best region, divided by `OVERRULED` (also for
-names inside of it) and less the score of its name, beats that of its surroundings without it: then it is read like any
-other. `article` and `main` are never left out by their class or id.
+Menus and scripts are left out by element or role, hidden elements by attribute; their words take no part in
+the scan. A form, and any other element whose class or id names boilerplate (adverts, comments ...), is one thing that
+scores below zero in the scan of what is around it, and is left out, unless its own best region, divided by `OVERRULED` (also
+for names inside of it, but not for forms) and less the score of its name, beats that of its surroundings without it: then it
+is read like any other. So a search or login form goes, and a form around the whole page does not. `article` and `main` are
+never left out by their class or id. On pages without an article element the tags of lists weigh as they do inside of one.
 
 Character references are decoded; white space (and `br`) inside a block becomes one space; blocks are joined by
 one line feed in page order. Inline tags join text without a space.
 
 Cases: null or empty html, and pages without words, give an empty text; a quote that never ends is no quote; unclosed
 comments, scripts, styles, text areas and titles end with the page, other unclosed elements with their parent or the
-page; `svg`, `math` and inline elements that close themselves are empty; repeated rows are extracted alike; an empty
+page; `svg`, `math` and inline elements that close themselves are empty; of equally good regions the longest of those that start
+first counts; repeated rows are extracted alike; a page of any length is read whole, in time that grows with its length; an empty
 table gives no rows; extra columns stay, those of the outputs' names are replaced. At most `MAX_PAGES` pages are learned
 from, chosen by a hash of the page id.
 """
@@ -49,8 +51,10 @@ BLOCKS = frozenset(
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td "
     "tfoot th thead tr ul caption".split()
 )
-DROPPED = frozenset("nav footer aside form button head dialog menu fieldset label".split())
-ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
+DROPPED = frozenset("nav footer aside button head dialog menu label".split())
+ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar".split())
+FORMS = frozenset("form fieldset".split())
+LISTS = frozenset("ul ol li dl dt dd".split())
 # Words of classes and ids that name what is no article.
 NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored sponsors promo promos promotion banner "
@@ -68,7 +72,7 @@ PRIOR = {"word": (900, 120), "link word": (20, 160), "p": (40, 4), "b": (6, 2),
 LEAST = 0.05
 #: A name divides what its element scores by so much before it is held against what is best around it.
 OVERRULED = 2.0
-#: The share of its score that a tag has inside of an article element.
+#: The share of its score that a tag has inside of an article element, and one of LISTS on a page without one.
 IN_ARTICLE = 0.25
 
 #: One attribute: its whole name and, behind an equals sign, its value. A quote that never ends is no quote; it is looked
@@ -108,6 +112,8 @@ def _unwanted(name: str, attributes: dict[str, str], in_article: bool) -> bool:
 
 def _named(name: str, attributes: dict[str, str]) -> bool:
     """Whether the class or id of an element names what is no article."""
+    if name in FORMS or "form" in attributes.get("role", "").split():
+        return True
     if name in HOLDS or name in ("html", "body"):
         return False
     return any(NAMES.intersection(re.split(r"[^a-z]+", attributes[k])) for k in ("class", "id") if k in attributes)
@@ -119,8 +125,8 @@ class Page:
     def __init__(self, html: str) -> None:
         #: (kind or "", how many, text, whether a block begins, article element or 0, innermost named element or 0).
         self.things: list[tuple[str, int, str, bool, int, int]] = []
-        #: The named element around each named element, and the place of its own thing; 0 is the page.
-        self.around, self.places = [0], [0]
+        #: The named element around each named element, the place of its own thing, and whether it and all around are forms; 0 is the page.
+        self.around, self.places, self.forms = [0], [0], [True]
         self.articles = 0
         self._read(html)
         self.settle([True] + [False] * (len(self.around) - 1))
@@ -191,8 +197,9 @@ class Page:
                 self.things.append(("named", 1, "", False, article, named))
                 self.around.append(named)
                 self.places.append(len(self.things) - 1)
+                self.forms.append(self.forms[named] and (name in FORMS or "form" in attributes.get("role", "").split()))
                 named = len(self.around) - 1
-            if name in HOLDS and not dropping and not article and not named:
+            if name in HOLDS and not dropping and not article and self.forms[named]:
                 self.articles += 1
                 article = self.articles
 
@@ -218,7 +225,7 @@ class Page:
         inner = dict(zip(self.places[1:], range(1, len(self.places))))
         for at, (kind, n, _, _, article, named) in enumerate(self.things):
             if kind:
-                parts[named].append((scored(weight, kind, n, article), inner.get(at, 0)))
+                parts[named].append((scored(weight, kind, n, article or not self.articles), inner.get(at, 0)))
         # Of each: its sum, its best run, its best beginning and its best end, less for its name and those inside of it.
         sums: list[tuple[float, float, float, float]] = [NO_SUM] * len(parts)
         read = [True] * len(parts)
@@ -234,7 +241,7 @@ class Page:
                     read[child] = sums[child][1] + score > best
                     if read[child]:
                         whole = _joined(whole, sums[child])
-            sums[own] = tuple(x / OVERRULED for x in whole)
+            sums[own] = whole if self.forms[own] else tuple(x / OVERRULED for x in whole)
         for child in range(1, len(read)):
             read[child] = read[child] and read[self.around[child]]
         self.settle(read)
@@ -263,9 +270,9 @@ def weights(counts: dict[str, tuple[int, int]]) -> dict[str, float]:
     return {k: max(LEAST, w) if k.endswith("word") else min(-LEAST, w) for k, w in odds.items()}
 
 
-def scored(weight: dict[str, float], kind: str, n: int, article: int) -> float:
-    """The score of a thing; tags inside of an article element weigh less."""
-    light = article and kind != "named" and not kind.endswith("word")
+def scored(weight: dict[str, float], kind: str, n: int, article: int | bool) -> float:
+    """The score of a thing; tags inside of an article element weigh less, on a page without one (True) those of lists."""
+    light = article and kind != "named" and not kind.endswith("word") if article is not True else kind in LISTS
     return weight[kind] * n * (IN_ARTICLE if light else 1.0)
 
 
@@ -284,7 +291,7 @@ def best_region(scores: list[float]) -> tuple[int, int]:
 def main_text(html: str | None, weight: dict[str, float]) -> str:
     page = Page(html or "")
     page.weigh(weight)
-    start, end = best_region([scored(weight, k, n, article) for k, n, _, article in page.items])
+    start, end = best_region([scored(weight, k, n, article or not page.articles) for k, n, _, article in page.items])
     if start == end:
         return ""
     return page.text(list(range(page.items[start][2], page.items[end - 1][2] + 1)))

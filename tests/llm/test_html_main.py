@@ -171,3 +171,37 @@ def test_the_region_covers_sibling_articles(first, second):
 def test_the_region_covers_text_around_an_article():
     html = f"<div><article><p>{WORDS}</p><p>{WORDS}</p></article><p>then {WORDS}</p></div>"
     assert html_main.main_text(html, STOCK) == f"{WORDS}\n{WORDS}\nthen {WORDS}"
+
+
+LEARNED = {**html_main.weights({}), "li": -5.6, "div": -7.6, "p": -0.6, "word": 0.9, "link word": 0.05}
+
+
+@pytest.mark.parametrize("start, end", [
+    ('<form id="aspnetForm">', "</form>"), ("<div role=form>", "</div>"), ("<form><fieldset><div role='form'>", "</div></fieldset></form>"),
+    ("<form class=with-sidebar>", "</form>"), ("<FORM action=/x><input type=hidden value='a > b'>", ""),
+])
+@pytest.mark.parametrize("inner", ["<article>{}</article>", "<div>{}</div>", "<main class=content><div>{}</div></main>"])
+@pytest.mark.parametrize("weight", [STOCK, LEARNED])
+def test_a_form_around_the_page_is_no_reason_to_drop_it(start, end, inner, weight):
+    paragraphs = "".join(f"<p>{i} {WORDS}, {WORDS}</p>" for i in range(9))
+    search = "<form action=/search><label>Search</label><input name=q><button>Go</button> Search this site</form>"
+    html = f"<body><nav><a>One</a></nav>{start}{search}{inner.format(paragraphs + search)}<div class=comments><p>I disagree</p></div>{end}<footer>All rights</footer></body>"
+    assert html_main.main_text(html, weight) == "\n".join(f"{i} {WORDS}, {WORDS}" for i in range(9))
+
+
+@pytest.mark.parametrize("form", [
+    f"<form><label>Mail</label><input><p>Sign up now and get the best of our stories by mail</p></form>",
+    "<div role='form'><p>User name and password please</p><input></div>",
+])
+def test_small_forms_go(form):
+    html = f"<body><form>Search</form><article><p>{WORDS}</p>{form}<p>{WORDS}</p></article>{form}</body>"
+    assert html_main.main_text(html, STOCK) == f"{WORDS}\n{WORDS}"
+
+
+@pytest.mark.parametrize("weight", [STOCK, LEARNED])
+@pytest.mark.parametrize("list_", ["<ul>{}</ul>", "<div><div><ol>{}</ol></div></div>"])
+def test_a_list_is_kept_whole_without_an_article_element(weight, list_):
+    items = [f"point {i} {WORDS}" for i in range(50)]
+    menu = "<ul class=menu><li><a>Home</a><li><a>News</a></ul>"
+    html = f"<body>{menu}<h1>Fifty points</h1>{list_.format(''.join(f'<li>{i}</li>' for i in items))}<footer>All rights</footer></body>"
+    assert html_main.main_text(html, weight).split("\n")[-50:] == items
