@@ -40,7 +40,7 @@ from newsloom.llm.common import fold, unused
 from newsloom.llm.language import byte_chunks
 from newsloom.llm.registry import query, table
 from newsloom.llm.shingles import BASE, mixed
-from newsloom.operators.joins import skew_join
+from newsloom.operators.joins import lookup_join, skew_join
 from newsloom.session import released, stored
 
 #: Letters of the shorter expressions of a word.
@@ -327,7 +327,9 @@ def _value_of(docs: DataFrame, model: Model, name: str, text: str = "text") -> D
 def learn(docs: DataFrame, labels: DataFrame, max_broadcast: int = MAX_BROADCAST) -> Model:
     """Learn from all texts of `docs` (doc_id, text) that `labels` (doc_id, toxic) names; leave held-out labels out before."""
     known = labels.where(F.col("toxic").isNotNull()).groupBy("doc_id").agg((F.avg("toxic") >= 0.5).cast("int").alias("toxic"))
-    rows = docs.select("doc_id", "text").join(known, "doc_id").select("text", "toxic", (F.pmod(F.xxhash64(F.lit(12), "doc_id"), F.lit(CALIBRATE)) == 0).alias("apart"))
+    # Texts stay where they are unless the labels are too many to send round.
+    joined = lookup_join(docs.select("doc_id", "text"), stored(known, "labels"), ["doc_id"], ["doc_id"], "inner")
+    rows = joined.select("text", "toxic", (F.pmod(F.xxhash64(F.lit(12), "doc_id"), F.lit(CALIBRATE)) == 0).alias("apart"))
     rows = stored(rows, "labelled-texts")
     seen = {(r["apart"], r["toxic"]): r["n"] for r in rows.groupBy("apart", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     good, bad = (seen.get((True, c), 0) + seen.get((False, c), 0) for c in (0, 1))

@@ -11,16 +11,17 @@ import pyarrow.parquet as pq
 DOCUMENT = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("lang", pa.string()), ("source", pa.string()), ("n_chars", pa.int64())])
 LABEL = pa.schema([("doc_id", pa.int64()), ("quality", pa.int32()), ("toxic", pa.int32())])
 PAGE = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("html", pa.string())])
+EMBEDDING = pa.schema([("vec_id", pa.int64()), ("embedding", pa.list_(pa.float32())), ("label", pa.int32())])
 TURN = pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("text", pa.string())])
 SF = "/root/testdata/sf0.001"
 
 #: Names that operators use inside, as columns a caller might have too.
-CLASHES = ["row", "size", "hash", "copies", "score", "n", "x", "ids", "part", "rule", "set_id", "text_", "words_", "bucket", "source_key", "lang_pred", "readable_"]
+CLASHES = ["row", "size", "hash", "copies", "score", "n", "x", "ids", "part", "rule", "set_id", "text_", "words_", "bucket", "source_key", "lang_pred", "readable_", "integers", "cluster", "distance", "packed", "whitened", "deviation", "value_of_text", "digest_1_", "value"]
 
 
 def write(folder: Path, clash: bool = False, **tables: list) -> str:
     """Write tables of rows (tuples in schema order) as the files a query reads."""
-    schemas = {"documents": DOCUMENT, "labels": LABEL, "pages": PAGE, "conversations": TURN}
+    schemas = {"documents": DOCUMENT, "labels": LABEL, "pages": PAGE, "conversations": TURN, "embeddings": EMBEDDING}
     for name, rows in tables.items():
         schema = schemas[name]
         got = pa.Table.from_pydict({f: [r[i] for r in rows] for i, f in enumerate(schema.names)}, schema)
