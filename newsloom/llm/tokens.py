@@ -1,10 +1,11 @@
 """Whole texts to token ids with the tokenizers library, inside Arrow batches.
 
-Spark deals out the rows; a worker process keeps one encoder. Words recur, so an encoder
-remembers the ids of pieces between blanks and of the words within them, up to a bound, and
-asks the library only for new ones. That gives the ids of the whole text because blanks
-separate words in such tokenizers; for other kinds, and pieces with characters outside the
-plainest scripts, the library encodes the whole piece or text.
+Spark deals out the rows; a worker process keeps one encoder. Arrow splits the texts of a slice of rows
+at blanks and numbers their different pieces; only those are looked at in Python, and the ids of
+all are gathered by their numbers. Words recur, so an encoder remembers the ids of pieces and of the words
+within them, up to a bound, and asks the library only for new ones. That gives the ids of the whole
+text because blanks separate words in such tokenizers; for other kinds, and pieces with characters
+outside the plainest scripts, the library encodes the whole piece or text.
 """
 
 from __future__ import annotations
@@ -20,33 +21,43 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-REMEMBERED = 200_000
+REMEMBERED = 300_000
+WORDS_AT_ONCE = 512
 ROWS_AT_ONCE = 256
+BYTES_AT_ONCE = 1 << 22
 #: Characters whose lower case and normal form depend on nothing around them.
 PLAIN = re.compile("[!-~\xa1-\xac\xae-\u012f\u0131-\u024f]*")
-MARKS = frozenset(".,;:!?")
+MARKS = ".,;:!?"
+LETTER = "a-zA-Z\\x{c0}-\\x{d6}\\x{d8}-\\x{f6}\\x{f8}-\\x{12f}\\x{131}-\\x{1ba}"
+WORD_AND_MARK = f"^[{LETTER}]+[{MARKS}]?$"
 
 
 class Memory(dict):
     """What a function gave for its last arguments: at least REMEMBERED of them, at most twice as many."""
 
-    def __init__(self, compute) -> None:
-        self.compute, self.older = compute, {}
-
-    def __missing__(self, key: str) -> bytes:
-        if len(self) >= REMEMBERED:
+    def __init__(self, compute_all) -> None:
+        self.compute_all, self.older = compute_all, {}
+
+    def find_all(self, keys: list[str]) -> list[bytes]:
+        """The values of different keys; unknown ones are computed together."""
+        found = [*map(self.get, keys)]
+        fresh = {}
+        for i in [i for i, v in enumerate(found) if v is None]:
+            found[i] = self.older.get(keys[i])
+            fresh[keys[i]] = found[i]
+        unknown = [k for k, v in fresh.items() if v is None]
+        fresh.update(zip(unknown, self.compute_all(unknown)))
+        if len(self) + len(fresh) > REMEMBERED:
             self.older = dict(self)
             self.clear()
-        known = self.older.get(key) if self.older else None
-        if known is None:
-            known = self.compute(key)
-        self[key] = known
-        return known
+        self.update(fresh)
+        return [fresh[k] if v is None else v for k, v in zip(keys, found)]
 
 
 def _byte_letters() -> dict[int, str]:
@@ -66,7 +77,10 @@ class Encoder:
         self.letters = _byte_letters()
         self.pattern = self._word_pattern(json.loads(self.whole.to_str()))
         self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
-        self.words, self.pieces = Memory(self._word), Memory(self._piece)
+        ends = self.whole.get_vocab_size()
+        self.ends_word = np.zeros(ends, bool)
+        self.ends_word[[i for t, i in self.whole.get_vocab().items() if t.endswith("</w>") and i < ends]] = True
+        self.words, self.pieces = Memory(self._words), Memory(lambda pieces: [*map(self._piece, pieces)])
 
     @staticmethod
     def _word_pattern(config: dict):
@@ -87,29 +101,65 @@ class Encoder:
             packed.byteswap()
         return packed.tobytes()
 
-    def _word(self, word: str) -> bytes:
+    def _spelled(self, word: str) -> bytes:
         spelled = word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode()))
         return self._packed([t.id for t in self.whole.model.tokenize(spelled)])
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """The ids of words of lower-case letters; the library gets many at once, and each word's last id ends it."""
+        out = []
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            some = words[at : at + WORDS_AT_ONCE]
+            ids = np.array(self.whole.encode(" ".join(some), add_special_tokens=False).ids, self.dtype)
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) != len(some):
+                out += map(self._spelled, some)
+                continue
+            packed, size = ids.tobytes(), self.dtype.itemsize
+            bounds = [0, *(ends * size).tolist()]
+            out += [packed[a:b] for a, b in zip(bounds, bounds[1:])]
+        return out
+
     def _piece(self, piece: str) -> bytes:
-        # Most pieces are a word, or a word and a mark.
-        word, mark = (piece[:-1], piece[-1]) if piece[-1:] in MARKS else (piece, "")
-        if word.isalpha() and (word.isascii() or PLAIN.fullmatch(word)):
-            return self.words[word.lower()] + (self.words[mark] if mark else b"")
         if PLAIN.fullmatch(piece) and "<|" not in piece:
-            return b"".join(map(self.words.__getitem__, self.pattern.findall(piece.lower())))
+            return b"".join(map(self._spelled, self.pattern.findall(piece.lower())))
         return self._packed(self.whole.encode(piece, add_special_tokens=False).ids)
 
+    def _known(self, pieces: pa.Array) -> pa.Array:
+        """The ids of different pieces; most are a word, or a word and a mark."""
+        simple = pc.match_substring_regex(pieces, WORD_AND_MARK)
+        own, rest = pieces.filter(simple), pieces.filter(pc.invert(simple)).to_pylist()
+        words = pc.utf8_lower(pc.utf8_rtrim(own, MARKS)).dictionary_encode()
+        ids = pa.array(self.words.find_all(words.dictionary.to_pylist()), pa.large_binary()).take(words.indices)
+        last = pc.utf8_slice_codeunits(own, -1)
+        marks = pa.array([self._spelled(m) for m in MARKS], pa.large_binary())
+        nothing = pa.scalar(b"", pa.large_binary())
+        ids = pc.binary_join_element_wise(ids, pc.fill_null(marks.take(pc.index_in(last, pa.array([*MARKS], own.type))), nothing), nothing)
+        place = np.empty(len(pieces), np.int64)
+        mask = np.asarray(simple)
+        place[mask], place[~mask] = np.arange(len(own)), len(own) + np.arange(len(rest))
+        return pa.concat_arrays([ids, pa.array(self.pieces.find_all(rest), pa.large_binary())]).take(pa.array(place))
+
     def rest(self) -> None:
         """Let go of what was not met lately, as at the end of a task: the process may live on without one."""
         self.words.older, self.pieces.older = {}, {}
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian integers of `dtype`."""
+        return self.encode_all(pa.array([text], pa.large_string()))[0].tobytes()
+
+    def encode_all(self, column: pa.Array) -> list[np.ndarray]:
+        """The ids of each text; nulls are empty."""
+        texts = pc.fill_null(column.cast(pa.large_string()), "")
         if self.pattern is None:
-            return self._packed(self.whole.encode(text, add_special_tokens=False).ids)
-        pieces = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        return b"".join(map(self.pieces.__getitem__, pieces))
+            return [np.frombuffer(self._packed(self.whole.encode(t, add_special_tokens=False).ids), self.dtype) for t in texts.to_pylist()]
+        lists = pc.split_pattern(pc.replace_substring_regex(texts, "[\n\t\r]", " "), " ")
+        pieces = lists.values.slice(lists.offsets[0].as_py(), len(lists.values)).dictionary_encode()
+        gathered = self._known(pieces.dictionary).take(pieces.indices)
+        ends = np.frombuffer(gathered.buffers()[1], np.int64)[gathered.offset :][: len(gathered) + 1]
+        bounds = (ends - ends[0])[np.asarray(lists.offsets) - lists.offsets[0].as_py()] // self.dtype.itemsize
+        ids = np.frombuffer(gathered.buffers()[2] or b"", self.dtype, int(bounds[-1]), int(ends[0]))
+        return np.split(ids, bounds[1:-1])
 
 
 @lru_cache(maxsize=4)
@@ -131,6 +181,16 @@ def slices(batch: pa.RecordBatch, rows: int = ROWS_AT_ONCE) -> Iterator[pa.Recor
         yield batch.slice(at, rows)
 
 
+def text_slices(batch: pa.RecordBatch, text: str, size: int = BYTES_AT_ONCE) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about `size` bytes of text, at least one row."""
+    upto = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(text)), 0), np.int64))
+    at = 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + size, side="right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 TOKENIZED = [
     T.StructField("part", T.IntegerType()),
     T.StructField("n_tokens", T.LongType()),
@@ -152,11 +212,12 @@ def tokenized(docs: DataFrame, path: str, end_id: int, by: str | None = None, te
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, part = encoder(path), TaskContext.get().partitionId()
         end = np.array([end_id], own.dtype).tobytes()
-        size, so_far = own.dtype.itemsize, {}
+        so_far = {}
         for big in batches:
-            for batch in slices(big):
-                packed = [own.encode(t or "") + end for t in batch.column(text).to_pylist()]
-                counts = [len(p) // size for p in packed]
+            for batch in text_slices(big, text):
+                ids = own.encode_all(batch.column(text))
+                counts = [len(i) + 1 for i in ids]
+                packed = [i.tobytes() + end for i in ids]
                 groups = batch.column(by).to_pylist() if by else [None] * len(packed)
                 starts = []
                 for group, n in zip(groups, counts):
