@@ -5,13 +5,16 @@ vectors are added modulo powers of two. Texts of the same paragraphs in any orde
 or deleting a paragraph adds or subtracts its vector (`plus`, `minus`) without reading the rest.
 
 The vector has two parts. `exact`: 8 numbers of 32 bits, hashes of the paragraph under 4 seeds, summed
-modulo 2^32, for equality. `lanes`: for each of 120 hash bits the number of the paragraph's different windows that have it,
-each in a sum of its own. A window is `WINDOW` neighbouring words of a paragraph; of scripts without blanks every letter is a
+modulo 2^32, for equality. `lanes`: for each of 120 hash bits the number of the paragraph's different windows that have it.
+A window is `WINDOW` neighbouring words of a paragraph; of scripts without blanks every letter is a
 word, and longer words count as pieces of `PIECE` letters. Every counter is a sum of random signs, so the
-cosine of two texts' counters estimates the cosine of their counts of windows. `n_sentences` is the number of
+cosine of two texts' counters estimates the cosine of their counts of windows. `n_windows` is the number of
 windows. A window that a paragraph repeats counts once there, or one phrase said often would outweigh the text.
 
-Cases: a null text is empty and an empty text is one empty paragraph; repeated paragraphs count as
+Three counters are added up as fields of one number, over slices of a text that hold fewer windows than a field can count
+(`PARAGRAPHS_IN_SLICE`, `WINDOWS_IN_SLICE`); then they are opened and each is a sum of its own.
+
+Cases: texts are read whole, however long; neighbours of equal ids follow the order of their texts; a null text is empty and an empty text is one empty paragraph; repeated paragraphs count as
 often as they occur; repeated ids are told apart by order of text; one document is its own next; an
 empty table gives an empty result; a paragraph of fewer words, or none, is one window. Extra columns are not read.
 """
@@ -21,13 +24,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from newsloom.functions import let
 from newsloom.llm.common import parallelism
 from newsloom.llm.registry import query, table
 
 SEEDS = (1, 2, 3, 4)
 LANE_SEEDS = (11, 12)
-#: Bits used of each seed's hash.
-LANE_BITS = 60
+#: Bits used of each seed's hash: from each of three fields of 21 bits the lowest 20.
+FIELD, FIELDS, FIELD_BITS = 21, 3, 20
+LANE_BITS = FIELDS * FIELD_BITS
+ONES = sum(1 << FIELD * f for f in range(FIELDS))
+#: Fields hold the sums of at most this many paragraphs, and of as many windows of each: 2^20 in all.
+PARAGRAPHS_IN_SLICE, WINDOWS_IN_SLICE = 1 << 9, 1 << 11
 WINDOW = 3
 PIECE = 16
 #: A letter of a script written without blanks, or up to PIECE other letters.
@@ -35,32 +43,56 @@ WORD = (
     "[\\p{IsHan}\\p{IsHiragana}\\p{IsKatakana}\\p{IsThai}\\p{IsLao}\\p{IsKhmer}\\p{IsMyanmar}\\p{IsTibetan}]"
     "|[^\\s\\p{IsHan}\\p{IsHiragana}\\p{IsKatakana}\\p{IsThai}\\p{IsLao}\\p{IsKhmer}\\p{IsMyanmar}\\p{IsTibetan}]{1,%d}" % PIECE
 )
+#: Scripts without blanks have no letter before this code point.
+BLANKS_UPTO = "[^\\x00-\\u0dff]"
 LOW = (1 << 32) - 1
 EXACT = [f"e{i}" for i in range(2 * len(SEEDS))]
 LANES = [f"l{i}" for i in range(LANE_BITS * len(LANE_SEEDS))]
 
 
+def words_of(text: Column) -> Column:
+    plain = F.regexp_extract_all(text, F.lit("\\S{1,%d}" % PIECE), F.lit(0))
+    return F.when(F.regexp_like(text, F.lit(BLANKS_UPTO)), F.regexp_extract_all(text, F.lit(WORD), F.lit(0))).otherwise(plain)
+
+
+def windows_of(text: Column) -> Column:
+    """The different hashes of the windows of a paragraph."""
+
+    def windows(h: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.size(h) - WINDOW, F.lit(0)))
+        return F.array_distinct(F.transform(starts, lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(WINDOW)])))
+
+    return let(words_of(text), lambda words: let(F.transform(words, lambda w: F.xxhash64(w)), windows))
+
+
 def fingerprints(texts: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-    """(keys, exact, lanes, n_sentences) per key; rows with the same keys add up."""
-    paragraphs = texts.select(*keys, F.explode(F.split(F.coalesce(text, F.lit("")), "\n")).alias("paragraph"))
-    words = paragraphs.select(*keys, "paragraph", F.regexp_extract_all("paragraph", F.lit(WORD), F.lit(0)).alias("words"))
-    starts = F.sequence(F.lit(1), F.greatest(F.size("words") - (WINDOW - 1), F.lit(1)))
-    windows = words.select(*keys, "paragraph", F.posexplode(F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.slice("words", i, WINDOW))))).alias("place", "window"))
+    """(keys, exact, lanes, n_windows) per key; rows with the same keys add up."""
+    paragraphs = texts.select(*keys, F.posexplode(F.split(F.coalesce(text, F.lit("")), "\n")).alias("at", "paragraph"))
+    windows = paragraphs.select(
+        *keys, F.floor(F.col("at") / PARAGRAPHS_IN_SLICE).alias("slice"),
+        *[F.xxhash64(F.lit(s), "paragraph").alias(f"p{s}") for s in SEEDS],
+        F.posexplode(windows_of(F.col("paragraph"))).alias("place", "window"),
+    )
+    first = lambda s: F.when(F.col("place") == 0, F.col(f"p{s}")).otherwise(F.lit(0))
     hashed = windows.select(
-        *keys,
-        *[F.when(F.col("place") == 0, F.xxhash64(F.lit(s), "paragraph")).otherwise(F.lit(0)).alias(f"p{s}") for s in SEEDS],
-        *[F.xxhash64(F.lit(s), "window").alias(f"s{s}") for s in LANE_SEEDS],
-    )
+        *keys, "slice", F.floor(F.col("place") / WINDOWS_IN_SLICE).alias("part"),
+        *[first(s).alias(f"p{s}") for s in SEEDS], *[F.xxhash64(F.lit(s), "window").alias(f"s{s}") for s in LANE_SEEDS],
+    )
     exact = [c for s in SEEDS for c in (F.col(f"p{s}").bitwiseAND(LOW), F.shiftrightunsigned(f"p{s}", 32))]
-    lanes = [F.shiftrightunsigned(f"s{s}", j).bitwiseAND(1) for s in LANE_SEEDS for j in range(LANE_BITS)]
-    summed = hashed.groupBy(*keys).agg(
-        *[F.sum(c).alias(n) for c, n in zip(exact + lanes, EXACT + LANES)], F.count(F.lit(1)).alias("n_sentences")
+    packed = {f"f{s}_{j}": F.shiftrightunsigned(f"s{s}", j).bitwiseAND(ONES) for s in LANE_SEEDS for j in range(FIELD_BITS)}
+    sliced = hashed.groupBy(*keys, "slice", "part").agg(
+        *[F.sum(c).alias(n) for c, n in zip(exact, EXACT)], *[F.sum(c).alias(n) for n, c in packed.items()], F.count(F.lit(1)).alias("n")
+    )
+    field = lambda n, f: F.shiftrightunsigned(n, FIELD * f).bitwiseAND((1 << FIELD) - 1)
+    opened = [field(f"f{s}_{j}", f) for s in LANE_SEEDS for f in range(FIELDS) for j in range(FIELD_BITS)]
+    summed = sliced.groupBy(*keys).agg(
+        *[F.sum(n).alias(n) for n in EXACT], *[F.sum(c).alias(n) for c, n in zip(opened, LANES)], F.sum("n").alias("n_windows")
     )
-    return summed.select(*keys, F.array(*[F.col(n).bitwiseAND(LOW) for n in EXACT]).alias("exact"), F.array(*LANES).alias("lanes"), "n_sentences")
+    return summed.select(*keys, F.array(*[F.col(n).bitwiseAND(LOW) for n in EXACT]).alias("exact"), F.array(*LANES).alias("lanes"), "n_windows")
 
 
 def plus(a: Column, b: Column) -> Column:
-    """The fingerprint (struct of exact, lanes, n_sentences) of two texts' paragraphs together."""
+    """The fingerprint (struct of exact, lanes, n_windows) of two texts' paragraphs together."""
     return _combined(a, b, 1)
 
 
@@ -74,23 +106,23 @@ def _combined(a: Column, b: Column, sign: int) -> Column:
     return F.struct(
         F.zip_with(a["exact"], b["exact"], lambda x, y: both(x, y).bitwiseAND(LOW)).alias("exact"),
         F.zip_with(a["lanes"], b["lanes"], both).alias("lanes"),
-        both(a["n_sentences"], b["n_sentences"]).alias("n_sentences"),
+        both(a["n_windows"], b["n_windows"]).alias("n_windows"),
     )
 
 
-def as_text(exact: Column, lanes: Column, n_sentences: Column) -> Column:
+def as_text(exact: Column, lanes: Column, n_windows: Column) -> Column:
     """The fingerprint as one string: the exact part in fixed width, then the counters."""
     return F.concat_ws(
         ".",
         F.array_join(F.transform(exact, lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")), ""),
-        F.lower(F.hex(n_sentences)),
+        F.lower(F.hex(n_windows)),
         F.array_join(F.transform(lanes, lambda x: F.lower(F.hex(x))), "."),
     )
 
 
-def signed(lanes: Column, n_sentences: Column) -> Column:
+def signed(lanes: Column, n_windows: Column) -> Column:
     """The counters as sums of signs."""
-    return F.transform(lanes, lambda x: (2 * x - n_sentences).cast("double"))
+    return F.transform(lanes, lambda x: (2 * x - n_windows).cast("double"))
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -149,9 +181,9 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.posexplode(F.filter(F.array("text", "edited"), lambda t: t.isNotNull())).alias("which", "text"),
     )
     prints = fingerprints(both, ["bucket", "seq", "which", "own", "doc_id", "n_chars", "edited_sha256"])
-    made = prints.withColumn("vector", signed(F.col("lanes"), F.col("n_sentences"))).select(
+    made = prints.withColumn("vector", signed(F.col("lanes"), F.col("n_windows"))).select(
         "bucket", "seq", "which", "own", "doc_id", "n_chars", "edited_sha256", "vector",
-        as_text(F.col("exact"), F.col("lanes"), F.col("n_sentences")).alias("fingerprint"),
+        as_text(F.col("exact"), F.col("lanes"), F.col("n_windows")).alias("fingerprint"),
         dot(F.col("vector"), F.col("vector")).alias("norm"),
     )
     # Behind a document's print come that of its edited text and that of the next document.

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -57,7 +58,7 @@ def test_order_and_increments(spark):
     a, b = [text(rng, 20) for _ in range(6)], [text(rng, 20) for _ in range(3)]
     rows = [(0, "\n".join(a)), (1, "\n".join(reversed(a))), (2, "\n".join(a + b)), (3, "\n".join(b))]
     prints = fingerprints.fingerprints(spark.createDataFrame(rows, "id int, text string"), ["id"])
-    whole = prints.select("id", F.struct("exact", "lanes", "n_sentences").alias("p"))
+    whole = prints.select("id", F.struct("exact", "lanes", "n_windows").alias("p"))
     p = {r["id"]: r["p"] for r in whole.collect()}
     assert p[0] == p[1] and p[0] != p[2]
     both = whole.where("id = 0").select(F.col("p").alias("x")).crossJoin(whole.where("id = 3").select(F.col("p").alias("y")))
@@ -75,7 +76,7 @@ def near(spark, pairs):
     """Likeness of the two texts of every pair."""
     rows = [(i, k, t) for i, p in enumerate(pairs) for k, t in enumerate(p)]
     prints = fingerprints.fingerprints(spark.createDataFrame(rows, "id int, k int, text string"), ["id", "k"])
-    made = prints.withColumn("vector", fingerprints.signed(F.col("lanes"), F.col("n_sentences"))).orderBy("id", "k").collect()
+    made = prints.withColumn("vector", fingerprints.signed(F.col("lanes"), F.col("n_windows"))).orderBy("id", "k").collect()
     dot = lambda a, b: sum(x * y for x, y in zip(a["vector"], b["vector"]))
     return [max(0, dot(a, b)) / (dot(a, a) * dot(b, b)) ** 0.5 for a, b in zip(made[::2], made[1::2])]
 
@@ -93,10 +94,43 @@ def test_half_kept_texts_of_few_sentences_are_told_from_others(spark):
 
 def test_counters_have_sums_of_their_own(spark):
     made = fingerprints.fingerprints(spark.createDataFrame([(0, "a b c")], "id int, text string"), ["id"])
-    (one,) = made.select(F.struct("exact", "lanes", "n_sentences").alias("p")).collect()
+    (one,) = made.select(F.struct("exact", "lanes", "n_windows").alias("p")).collect()
     many = spark.range(1).select(F.lit(0).alias("id")).join(made, "id")
     for _ in range(24):
-        p = F.struct("exact", "lanes", "n_sentences")
+        p = F.struct("exact", "lanes", "n_windows")
         many = spark.createDataFrame(many.select("id", fingerprints.plus(p, p).alias("p")).select("id", "p.*").collect(), made.schema)
     (big,) = many.collect()
-    assert big["n_sentences"] == 1 << 24 and big["lanes"] == [x << 24 for x in one["p"]["lanes"]] and len(big["lanes"]) == 120 and set(one["p"]["lanes"]) <= {0, 1}
+    assert big["n_windows"] == 1 << 24 and big["lanes"] == [x << 24 for x in one["p"]["lanes"]] and len(big["lanes"]) == 120 and set(one["p"]["lanes"]) <= {0, 1}
+
+
+def brute_lanes(spark, t):
+    """The number of different windows and, of each hash bit, how many have it, by plain loops over Spark's own hash."""
+    counts, total = [0] * len(fingerprints.LANES), 0
+    for paragraph in t.split("\n"):
+        words = [p for w in re.split(r"[ \t\n\x0b\f\r]+", paragraph) for p in (w[i : i + fingerprints.PIECE] for i in range(0, len(w), fingerprints.PIECE))]
+        starts = range(max(1, len(words) - fingerprints.WINDOW + 1))
+        windows = {tuple(words[i : i + fingerprints.WINDOW]) + (None,) * (fingerprints.WINDOW - len(words)) for i in starts}
+        rows = spark.createDataFrame([w for w in windows], "a string, b string, c string")
+        hashed = rows.select(F.xxhash64(*[F.when(F.col(x).isNotNull(), F.xxhash64(x)) for x in "abc"]).alias("h"))
+        for r in hashed.select(*[F.xxhash64(F.lit(s), "h") for s in fingerprints.LANE_SEEDS]).collect():
+            total += 1
+            bits = [(h >> fingerprints.FIELD * f + j) & 1 for h in r for f in range(3) for j in range(fingerprints.FIELD_BITS)]
+            counts = [c + b for c, b in zip(counts, bits)]
+    return counts, total
+
+
+def test_counters_equal_brute_force_across_slices(spark, monkeypatch):
+    rng = random.Random(9)
+    texts = ["", "one", "two words", "a b c d e f g", "\n\n x", "\n".join(text(rng, rng.randint(0, 25)) for _ in range(20)), text(rng, 90) + " " + "long" * 30, "same same same same same"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    whole = {r["id"]: (r["lanes"], r["n_windows"], r["exact"]) for r in fingerprints.fingerprints(frame, ["id"]).collect()}
+    for i, t in enumerate(texts):
+        assert whole[i][:2] == brute_lanes(spark, t)
+    monkeypatch.setattr(fingerprints, "PARAGRAPHS_IN_SLICE", 3)
+    monkeypatch.setattr(fingerprints, "WINDOWS_IN_SLICE", 5)
+    assert {r["id"]: (r["lanes"], r["n_windows"], r["exact"]) for r in fingerprints.fingerprints(frame, ["id"]).collect()} == whole
+
+
+def test_fields_cannot_overflow():
+    assert fingerprints.PARAGRAPHS_IN_SLICE * fingerprints.WINDOWS_IN_SLICE < 1 << fingerprints.FIELD
+    assert fingerprints.FIELD * fingerprints.FIELDS <= 63 and fingerprints.FIELD_BITS < fingerprints.FIELD
