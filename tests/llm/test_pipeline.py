@@ -93,3 +93,14 @@ def test_near_copies_are_those_of_five_words_at_four_fifths(spark):
     assert any(0.8 <= jaccard(a, b, 5) < 0.85 and jaccard(a, b, 4) < 0.85 for a, b in pairs) and any(jaccard(a, b, 5) < 0.8 for a, b in pairs)
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert ids_of(rows_of(corpus_pipeline.keep_one_of_each_group(spark, docs, ""))) == [(True, d) for d in kept]
+
+
+def test_survivors_are_told_apart_by_row_not_by_id(spark):
+    rng = random.Random(32)
+    a, b, c, d, e = (text(rng, 60) for _ in range(5))
+    rows = [(None, a, "null id, unlinked"), (7, b, "shared id"), (7, c, "shared id, other text"), (1, d, "least of three"), (None, d, "copy"), (5, d, "copy"), (9, e, "twice"), (9, e, "twice")]
+    rows += [(None, None, "null"), (None, None, "null"), (3, "", "empty"), (3, " ", "blank"), (None, b + " tail", "near copy of the first 7")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, note string")
+    got = sorted(r["note"] for r in corpus_pipeline.keep_one_of_each_group(spark, docs, "").collect())
+    assert got == sorted(["null id, unlinked", "shared id", "shared id, other text", "least of three", "twice", "null", "null", "empty", "blank"])
+    assert corpus_pipeline.keep_one_of_each_group(spark, docs, "").columns == docs.columns
