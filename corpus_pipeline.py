@@ -6,7 +6,7 @@ the columns of documents. Between stages the rows are written and read again.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.llm import jaccard_join, language, mixing, packing, quality
@@ -41,12 +41,20 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by their shingles the one with the least id; of repeated rows of it one."""
-    linked = jaccard_join.linked_documents(docs, width=NEAR_WORDS, share=NEAR_SHARE)
-    first = stored(linked.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct(), "first-of-groups")
+    """Of rows linked by their shingles the one with the least (id, text); every row that links with nothing.
+
+    A group is named by its component; rows without a component (no shingle) stand for themselves, and so does a row without
+    an id whose text no other row is linked to. Of rows equal in id and text one of a group stays.
+    """
     own, back = _aside(docs, "doc_id", "text")
-    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    return own.join(first, "doc_id", "left_semi").withColumn("rank", rank).where("rank = 1").select(*back)
+    numbered = stored(own.withColumn("row_", F.monotonically_increasing_id()), "rows-of-groups")
+    # Rows are told apart by their number, whatever their ids are; ids and texts decide who stays.
+    linked = jaccard_join.linked_documents(numbered.select(F.col("row_").alias("doc_id"), "text"), width=NEAR_WORDS, share=NEAR_SHARE)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.xxhash64("text").alias("hash"), F.col("row_"))
+    grouped = linked.select(F.col("doc_id").alias("row_"), F.col("component_id").alias("group_"))
+    placed = numbered.select("row_", order.alias("order")).join(grouped, "row_")
+    first = stored(placed.groupBy("group_").agg(F.min("order").alias("least")).select(F.col("least.row_").alias("row_")), "first-of-groups")
+    return numbered.join(first, "row_", "left_semi").select(*back)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
