@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from newsloom.operators import reports
+from newsloom.operators import nmf, reports
 from newsloom.operators import tfidf as tf
 from newsloom.operators import tokens as tk
 from newsloom.operators import topics as tp
@@ -338,8 +338,45 @@ def _five_topic_share(spark, sf):
 @checked("fitted_topic_share")
 def _fitted_topic_share(spark, sf):
     """Five topics fitted until they settle; too many rounds to write out in SQL."""
-    bag = _bag(spark, sf)
-    model = tp.fit_nmf(bag, "doc_id", 5, seed=SEED)
+    model = nmf.factor_nmf(_bag(spark, sf), "doc_id", 5, seed=SEED)
     news = view(spark, sf, "news").select("doc_id", "article_text")
-    labelled = tp.label_topics(news, "article_text", model, tp.transform_nmf(model, bag))
-    return reports.share(labelled, "topic")
+    return reports.share(tp.label_topics(news, "article_text", model, nmf.document_topics(model)), "topic")
+
+
+# One topic has one optimum: the leading pair of singular vectors, to which powers of X'X lead.
+POWERS = 240
+ONE_TOPIC_SQL = f"""{_nmf_sql(1, 0).split("""  scale AS""")[0]}
+  powers AS (SELECT 0 AS r, term, 1.0::DOUBLE AS h FROM (SELECT DISTINCT term FROM x) t UNION ALL
+    SELECT r + 1, term, h / sqrt(sum(h * h) OVER ()) FROM (SELECT u.r, x.term, sum(x.cnt * u.w) AS h FROM x JOIN (
+      SELECT p.r, x.doc_id, sum(x.cnt * p.h) AS w FROM x JOIN powers p ON p.term = x.term WHERE p.r < {POWERS} GROUP BY p.r, x.doc_id) u ON u.doc_id = x.doc_id GROUP BY u.r, x.term) n),
+  settled AS MATERIALIZED (SELECT term, h FROM powers WHERE r = {POWERS}),
+  last AS MATERIALIZED (SELECT x.doc_id, sum(x.cnt * v.h) AS w FROM x JOIN settled v ON v.term = x.term GROUP BY x.doc_id)"""
+
+
+@checked("one_topic_terms", f"{ONE_TOPIC_SQL} SELECT term, round(h, 5) AS share FROM settled", NMF_VIEWS)
+def _one_topic_terms(spark, sf):
+    model = nmf.factor_nmf(_bag(spark, sf), "doc_id", 1, seed=SEED, tol=1e-8)
+    norm = model.topics.agg(F.sqrt(F.sum(F.col("h0") * F.col("h0")))).first()[0]
+    return model.topics.select("term", F.round(F.col("h0") / norm, 5).alias("share"))
+
+
+@checked(
+    "fitted_topic_optimum",
+    f"""{ONE_TOPIC_SQL} SELECT count(*) AS n_cells, count(DISTINCT doc_id) AS n_docs, count(DISTINCT term) AS n_terms, sum(cnt * cnt) AS squares,
+      round(sum(cnt * cnt) - (SELECT sum(w * w) FROM last), 2) AS one_topic_loss,
+      true AS five_are_better, true AS never_rises, true AS topics_settled, true AS weights_optimal, true AS non_negative FROM x""",
+    NMF_VIEWS,
+)
+def _fitted_topic_optimum(spark, sf):
+    """The fit of five topics against the conditions of an optimum, recomputed from its tables by joins and sums."""
+    bag = _bag(spark, sf)
+    one, five = (nmf.factor_nmf(bag, "doc_id", k, seed=SEED) for k in (1, 5))
+    falls = all(b <= a * (1 + 1e-12) for a, b in zip(five.losses, five.losses[1:]))
+    held = nmf.optimality(bag, five)
+    sizes = bag.agg(F.count(F.lit(1)).alias("n_cells"), F.count_distinct("doc_id").alias("n_docs"), F.count_distinct("term").alias("n_terms"))
+    return sizes.join(F.broadcast(held)).select(
+        "n_cells", "n_docs", "n_terms", F.col("squares").cast("double").alias("squares"), F.lit(round(one.losses[-1], 2)).alias("one_topic_loss"),
+        (F.col("loss") < one.losses[-1]).alias("five_are_better"), F.lit(falls).alias("never_rises"),
+        (F.col("steepest_topics") < 1e-3).alias("topics_settled"), (F.col("steepest_weights") < 1e-8).alias("weights_optimal"),
+        (F.col("least") >= 0).alias("non_negative"),
+    )
