@@ -2,186 +2,42 @@
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from newsloom.functions import let
+from newsloom.functions.reading import read_page
 from newsloom.functions.text import tidy_lines
 from newsloom.functions.urls import absolutize
 
-# Elements whose boundaries end a line of text.
-BLOCKS = (
-    "address|article|aside|blockquote|body|br|dd|div|dl|dt|figcaption|figure|footer|form|"
-    "h[1-6]|head|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul"
-)
-
-# The rest of a tag behind its name; a quoted value may hold ">".
-REST = r"""(?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+>"""
-TAG = rf"(?s)<(?=[A-Za-z/!?]){REST}"
-
-# Character references by name (HTML 4); a no-break space is read as a blank.
-NAMED = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'", "nbsp": " "}
-REFERENCE = r"^(#[xX][0-9A-Fa-f]{1,6}|#[0-9]{1,7}|[A-Za-z][A-Za-z0-9]{1,31});"
-# What the bytes 128 to 159 meant in the character set that pages with such references were written in.
-C1 = "".join(chr(c) for c in range(0x80, 0xA0))
-C1_MEANT = "".join(bytes([c]).decode("cp1252", "ignore") or chr(c) for c in range(0x80, 0xA0))
-
-
-def _character(ref: Column) -> Column:
-    """The character a reference (without "&" and ";") stands for; null if none."""
-    digits = F.when(F.lower(F.substring(ref, 1, 2)) == "#x", F.conv(F.substring(ref, 3, 6), 16, 10)).otherwise(F.substring(ref, 2, 7))
-    code = F.when(ref.startswith("#"), digits).cast("int")
-    valid = ((code > 0) & (code < 0xD800)) | ((code > 0xDFFF) & (code <= 0x10FFFF))
-    by_code = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
-    table = F.create_map(*[F.lit(x) for pair in sorted(NAMED.items()) for x in pair])
-    return F.when(ref.startswith("#"), F.replace(F.translate(by_code, C1, C1_MEANT), F.lit("\xa0"), F.lit(" "))).when(
-        ref != "", F.try_element_at(table, ref)
-    )
-
-
-def decode_entities(c: Column) -> Column:
-    """Character references by name and number as their characters, each once; others stay."""
-
-    def piece(part: Column, i: Column) -> Column:
-        ref = F.regexp_extract(part, REFERENCE, 1)
-        decoded = F.concat(_character(ref), F.substr(part, F.length(ref) + 2))
-        return F.when(i == 0, part).otherwise(F.coalesce(decoded, F.concat(F.lit("&"), part)))
-
-    return F.array_join(F.transform(F.split(c, "&"), piece), "")
-
-
-def without_comments(html: Column) -> Column:
-    return F.regexp_replace(html, r"(?s)<!--.*?-->", "")
-
-
-def _at_tags(html: Column, name: str) -> Column:
-    """The markup cut before every start and end tag of one or more elements."""
-    return F.split(html, rf"(?i)(?=</?(?:{name})[\s/>])")
-
-
-def _depth_change(piece: Column, name: str) -> Column:
-    return F.when(piece.rlike(rf"(?i)^<(?:{name})[\s/>]"), 1).when(piece.rlike(rf"(?i)^</(?:{name})[\s/>]"), -1).otherwise(0)
-
-
-def _without_nested(html: Column, name: str) -> Column:
-    """Struct (depth, kept): how many elements of the name stay open, and what lies outside of all."""
-
-    def step(state: Column, piece: Column) -> Column:
-        change = _depth_change(piece, name)
-        depth = F.greatest(state["depth"] + change, F.lit(0))
-        # Behind the end tag that closes the outermost one, text goes on.
-        rest = F.regexp_replace(piece, rf"(?is)^</{name}{REST}", "")
-        closes = (depth == 0) & (change == -1) & (state["depth"] > 0)
-        kept = F.when(closes, rest).when(depth == 0, piece).otherwise("")
-        return F.struct(depth.alias("depth"), F.concat(state["kept"], kept).alias("kept"))
-
-    return F.aggregate(_at_tags(html, name), F.struct(F.lit(0).alias("depth"), F.lit("").alias("kept")), step)
-
-
-def _without_element(html: Column, name: str) -> Column:
-    plain = lambda c: F.regexp_replace(c, rf"(?is)<{name}\b{REST}.*?</{name}\s*>", "")
-    if name in ("script", "style"):  # their content is no markup
-        return plain(html)
-
-    def by_depth(markup: Column) -> Column:
-        return let(_without_nested(markup, name), lambda r: F.when(r["depth"] == 0, r["kept"]).otherwise(plain(markup)))
-
-    # Only markup in which the element opens twice can nest.
-    opens = lambda c: F.regexp_count(c, F.lit(rf"(?i)<{name}[\s/>]"))
-    return let(html, lambda markup: F.when(opens(markup) > 1, by_depth(markup)).otherwise(plain(markup)))
-
-
-def without_elements(html: Column, *names: str) -> Column:
-    """`html` without the elements; one may hold others of its name. Unclosed ones stay."""
-    for name in names:
-        html = _without_element(html, name)
-    return html
-
-
-def first_element(html: Column, name: str) -> Column:
-    """The markup inside the first element of a name, to the end tag that closes it; '' if none."""
-
-    def step(state: Column, piece: Column) -> Column:
-        change = _depth_change(piece, name)
-        opening = ~state["open"] & (change == 1) & ~state["done"]
-        depth = state["depth"] + F.when(opening | state["open"], change).otherwise(0)
-        closes = state["open"] & (depth == 0)
-        text = F.when(opening, F.regexp_replace(piece, rf"(?is)^<{name}\b{REST}", "")).when(state["open"] & ~closes, piece).otherwise("")
-        return F.struct(
-            depth.alias("depth"),
-            ((state["open"] | opening) & ~closes).alias("open"),
-            (state["done"] | closes).alias("done"),
-            F.concat(state["text"], text).alias("text"),
-        )
-
-    start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("open"), F.lit(False).alias("done"), F.lit("").alias("text"))
-    by_depth = lambda markup: let(F.aggregate(_at_tags(markup, name), start, step), lambda r: F.when(r["done"], r["text"]).otherwise(F.lit("")))
-    to_first_end = F.regexp_extract(html, rf"(?is)<{name}\b{REST}(.*?)</{name}\s*>", 1)
-    several = F.regexp_count(html, F.lit(rf"(?i)<{name}[\s/>]")) > 1
-    return F.when(several, by_depth(html)).otherwise(to_first_end)
-
-
-def tags(html: Column, name: str) -> Column:
-    """All start tags of one element, as text."""
-    return F.regexp_extract_all(html, F.lit(rf"(?is)<{name}\b{REST}"), F.lit(0))
-
-
-def attribute(tag: Column, name: str) -> Column:
-    """Decoded value of one attribute of a start tag; '' where it is absent."""
-    pattern = rf"""(?is)[\s"'/]{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    return decode_entities(
-        F.concat(*[F.regexp_extract(tag, pattern, group) for group in (1, 2, 3)])
-    )
-
 
 def extract_canonical(html: Column, base: Column) -> Column:
     """Address of the first canonical link, else of the `og:url` property; null without one.
 
     A canonical link without an address does not hand over to a later one.
     """
-    def address(markup: Column) -> Column:
-        links = F.filter(
-            tags(markup, "link"),
-            lambda t: F.contains(F.lower(attribute(t, "rel")), F.lit("canonical")),
-        )
-        metas = F.filter(tags(markup, "meta"), lambda t: attribute(t, "property") == "og:url")
-        first = F.coalesce(attribute(F.get(links, F.lit(0)), "href"), F.lit(""))
-        og = F.coalesce(attribute(F.get(metas, F.lit(0)), "content"), F.lit(""))
-        return F.when(first != "", first).otherwise(og)
-
-    markup = without_elements(without_comments(html), "script", "style")
-    return let(let(markup, address), lambda href: absolutize(href, base))
+    return let(read_page(html, "address")["address"], lambda href: absolutize(href, base))
 
 
-def plain_text(html: Column) -> Column:
-    """Visible text, one line per block element, entities decoded."""
-    broken = F.regexp_replace(html, rf"(?is)</?(?:{BLOCKS})(?=[\s/>]){REST}", "\n")
-    bare = decode_entities(F.regexp_replace(broken, TAG, ""))
-    even = F.regexp_replace(bare, r"[ \t]+", " ")
-    return F.array_join(tidy_lines(even), "\n")
+def lines(text: Column) -> Column:
+    """Text in clean lines; null if none is left."""
+    even = F.regexp_replace(text, r"[ \t]+", " ")
+    return F.nullif(F.array_join(tidy_lines(even), "\n"), F.lit(""))
 
 
 def main_text(html: Column) -> Column:
     """Text of the first article (or main) element, tables and navigation left out; null if none."""
-    markup = without_comments(html)
-    block = let(first_element(markup, "article"), lambda b: F.when(b != "", b).otherwise(first_element(markup, "main")))
-    inner = without_elements(block, "script", "style", "table", "aside", "nav")
-    return F.nullif(plain_text(inner), F.lit(""))
+    return lines(read_page(html, "main")["main"])
 
 
 def readable_text(html: Column) -> Column:
-    """Text of the body without scripts, styles, asides and navigation; null if none."""
-    body = F.regexp_extract(without_comments(html), rf"(?is)<body\b{REST}(.*)$", 1)
-    inner = without_elements(body, "script", "style", "aside", "nav")
-    return F.nullif(plain_text(inner), F.lit(""))
+    """Text around the paragraphs that count most; of the body without asides and navigation where there are none; null if none."""
+    return lines(read_page(html, "readable")["readable"])
 
 
 def whole_text(html: Column) -> Column:
     """Text of the whole page, head title included; null if none."""
-    inner = without_elements(without_comments(html), "script", "style")
-    return F.nullif(plain_text(inner), F.lit(""))
+    return lines(read_page(html, "whole")["whole"])
 
 
 def extract_best(status: Column, html: Column, retry_html: Column | None = None) -> Column:
@@ -190,27 +46,20 @@ def extract_best(status: Column, html: Column, retry_html: Column | None = None)
     A page with a status other than 200 is only tried through its second capture, if the
     snapshot has one; its tier is named even where no text comes out.
     """
+    failed = (status != 0) & (status != 200)
+    # A page is parsed once for all widths, and not at all where its status rules it out.
+    page = read_page(F.when(~F.coalesce(failed, F.lit(False)), html), "main", "readable", "whole")
     again = main_text(retry_html) if retry_html is not None else F.lit(None).cast("string")
 
+    texts = F.struct(*[lines(page[w]).alias(w) for w in ("main", "readable", "whole")], again.alias("second_capture"))
+
     def result(text: Column, tier: str | None) -> Column:
         return F.struct(text.alias("text"), F.lit(tier).cast("string").alias("tier"))
 
-    def try_each(tiers: list[tuple[str, Column]]) -> Column:
-        if not tiers:
-            return result(F.lit(None).cast("string"), None)
-        (name, text), rest = tiers[0], tiers[1:]
-        return let(
-            text,
-            lambda t: F.when(F.length(t) > 200, result(t, name)).otherwise(try_each(rest)),
-        )
-
-    cascade = try_each(
-        [
-            ("main", main_text(html)),
-            ("readable", readable_text(html)),
-            ("whole", whole_text(html)),
-            ("second_capture", again),
-        ]
-    )
-    failed = (status != 0) & (status != 200)
-    return F.when(failed, result(again, "retry")).otherwise(cascade)
+    def narrowest(t: Column) -> Column:
+        found = result(F.lit(None).cast("string"), None)
+        for tier in ("second_capture", "whole", "readable", "main"):
+            found = F.when(F.length(t[tier]) > 200, result(t[tier], tier)).otherwise(found)
+        return F.when(failed, result(t["second_capture"], "retry")).otherwise(found)
+
+    return let(texts, narrowest)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from newsloom.functions.dates import epoch_day, iso_from_epoch, to_unix
-from newsloom.functions.html import extract_canonical
 from newsloom.functions.quality import derive_http_code, fetch_error, looks_like_consent
 from newsloom.functions.urls import (
     absolutize,
@@ -151,11 +150,6 @@ for _route, _rules in (("", 20_000), ("_by_join", 0)):
         return with_registered_domain(web, "url", view(spark, sf, "suffixes_repeats"), spread_by=["page_id"], inline_rules=rules)
 
 
-@checked("markup_canonical", "SELECT k, canonical FROM markup", ("markup",))
-def _markup_canonical(spark, sf):
-    return view(spark, sf, "markup").select("k", extract_canonical(F.col("html"), F.lit("https://site.test/dir//page")).alias("canonical"))
-
-
 @checked(
     "pick_url_column",
     """SELECT 'where_found' AS url_column, count(*) AS n_rows,

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from newsloom.plans.written_pages import values_sql
+
 TABLES = ("documents", "pages")
 
 # ---- name -> (views it reads, SQL) ----
@@ -55,10 +57,12 @@ SELECT n.doc_id, n.headline, n.source, n.summary, n.url AS url_original,
   CASE WHEN n.doc_id % 3 = 0 THEN NULL ELSE n.article_text END AS full_text,
   n.summary AS content_truncated
 FROM news n"""),
-    "web": (("pages",), """
+    # Pages written by hand; `web` holds one in place of about half of its pages.
+    "written": ((), values_sql()),
+    "web": (("pages", "written"), """
 SELECT p.page_id, replace(p.url, '.example.', '.wire.') AS url,
   CASE p.page_id % 9 WHEN 7 THEN 404 WHEN 8 THEN 0 ELSE 200 END AS status,
-  CASE WHEN p.page_id % 9 = 8 THEN NULL ELSE replace(p.html, '<head>', '<head>' || CASE p.page_id % 8
+  CASE WHEN p.page_id % 9 = 8 THEN NULL WHEN w.html IS NOT NULL THEN w.html ELSE replace(p.html, '<head>', '<head>' || CASE p.page_id % 8
    WHEN 0 THEN '<link rel="canonical" href="https://pub.wire.test/story/1">'
    WHEN 1 THEN '<link rel="Canonical" href="/rel/path">'
    WHEN 2 THEN '<meta property="og:url" content="https://pub.wire.test/og/2">'
@@ -67,7 +71,7 @@ SELECT p.page_id, replace(p.url, '.example.', '.wire.') AS url,
    WHEN 5 THEN '<p>Please enable JavaScript and cookies</p>'
    WHEN 6 THEN '<link rel="canonical" href="https://news.google.test/a">'
    ELSE '' END) END AS html
-FROM pages p"""),
+FROM pages p LEFT JOIN written w ON w.k = p.page_id % 25"""),
     # The snapshot holds one row per address: the last capture.
     "snapshot": (("web",), """
 SELECT page_id, url, status, html FROM (
@@ -109,16 +113,6 @@ SELECT suffix FROM suffixes UNION ALL SELECT suffix FROM suffixes UNION ALL SELE
 SELECT from_url, to_url, http_code, CASE WHEN to_url IS NULL AND from_url LIKE '%6' THEN 'timeout' WHEN to_url IS NULL AND from_url LIKE '%4' THEN 'request_error:ConnectionError' WHEN to_url IS NULL AND from_url LIKE '%2' THEN 'error:ValueError' END AS error, 2 AS capture FROM edges
 UNION ALL SELECT from_url, 'https://old.test/' || substr(from_url, 9), 302, NULL, 1 FROM edges
 UNION ALL SELECT from_url, to_url, http_code, CASE WHEN to_url IS NULL AND from_url LIKE '%6' THEN 'timeout' WHEN to_url IS NULL AND from_url LIKE '%4' THEN 'request_error:ConnectionError' WHEN to_url IS NULL AND from_url LIKE '%2' THEN 'error:ValueError' END, 2 FROM edges"""),
-    # Mark-up written by hand, with what a reader of the page would say is in it.
-    "markup": ((), """
-SELECT * FROM (VALUES
- (0, '<html><body><article><div><article>inner</article> tail of outer</div></article></body></html>', 'inner~tail of outer', CAST(NULL AS STRING)),
- (1, '<head><link data-x="a>b" rel="canonical" href="/q"></head><main>m <nav>x<nav>y</nav>z</nav> tail</main>', 'm tail', 'https://site.test/q'),
- (2, '<meta property="og:url" content="//cdn.test//a"><article title="x > y">Caf&eacute; &#8217;s &#x20AC;5 &amp;lt; &unknown; &copy;</article>', 'Café ’s €5 &lt; &unknown; ©', 'https://cdn.test//a'),
- (3, '<link rel=canonical href="sub//page?a=1&amp;b=2"><article>one<aside>q<aside>r</aside>s</aside> two<br>three</article><article>other</article>', 'one two~three', 'https://site.test/dir/sub/page?a=1&b=2'),
- (4, '<!-- <article>no</article> --><article><script>if (a > b) x = "</p>";</script><p>Text<table><tr><td>c<table><tr><td>d</td></tr></table></td></tr></table></p>end</article>', 'Text~end', NULL),
- (5, '<p>no article</p>', NULL, NULL)
-) AS t(k, html, main, canonical)"""),
     "finance_news": (("news",), """
 SELECT doc_id, headline, summary, lang, published_epoch, 'https://' || CASE doc_id % 9 WHEN 0 THEN 'www.reuters.com' WHEN 1 THEN 'sports.yahoo.com' WHEN 2 THEN 'finance.yahoo.com' WHEN 3 THEN 'notreuters.com' WHEN 4 THEN 'markets.ft.com' WHEN 5 THEN 'blog.test' ELSE 'www.cnbc.com' END || '/a/' || CAST(doc_id % 301 AS STRING) AS url
 FROM news"""),

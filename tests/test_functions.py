@@ -159,7 +159,7 @@ def test_extract_canonical(spark):
 def test_page_texts(spark):
     page = PAGE.format(head="<title>T</title>")
     assert values(spark, [page, "<p>x</p>", None], html.main_text) == ["Head & shoulders\nBody\ntext", None, None]
-    assert values(spark, [page], html.readable_text) == ["Head & shoulders\nBody\ntext\ncell\nEnd"]
+    assert values(spark, [page], html.readable_text) == ["Head & shoulders\nBody\ntext\ncell"]
     assert values(spark, [page], html.whole_text) == ["T\nMenu\nHead & shoulders\nBody\ntext\ncell\nSide\nEnd"]
 
 
