@@ -77,6 +77,38 @@ def _documents(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return np.repeat(np.arange(batch.num_rows), lengths), np.asarray(batch.column("term_ids").flatten()), np.asarray(batch.column("counts").flatten(), np.float64)
 
 
+def add_up(table: DataFrame, n_terms: int, weigh: Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]], width: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(X'W, sums of measures) over documents X in packed rows; `weigh`(batch) gives weights W and `size` measured numbers."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, out = np.zeros(size), None
+        for batch in batches:
+            doc, term, count = _documents(batch)
+            w, measured = weigh(batch)
+            total += measured
+            sums = np.stack([np.bincount(term, count * w[doc, j], n_terms) for j in range(width)], 1)
+            out = sums if out is None else out + sums
+        if out is not None:
+            met = np.flatnonzero(out.any(1))
+            yield pa.RecordBatch.from_arrays([pa.array(met), _lists(out[met])], ["term_id", "v"])
+            # What was measured travels as numbers of terms that do not exist.
+            yield pa.RecordBatch.from_arrays([pa.array(-1 - np.arange(size)), _lists(np.repeat(total[:, None], width, 1))], ["term_id", "v"])
+
+    parts = table.mapInArrow(add, SUMS)
+    got = parts.groupBy("term_id").agg(F.array(*[F.sum(F.get("v", F.lit(j))) for j in range(width)]).alias("v")).toArrow()
+    ids, values = np.asarray(got.column("term_id"), np.int64), _rows(got.column("v").combine_chunks(), width)
+    out, measured = np.zeros((n_terms, width)), np.zeros(size)
+    out[ids[ids >= 0]] = values[ids >= 0]
+    measured[-1 - ids[ids < 0]] = values[ids < 0, 0]
+    return out, measured
+
+
+def times_topics(batch: pa.RecordBatch, columns: np.ndarray) -> np.ndarray:
+    """X values for the documents of a batch; `columns` holds the values of the terms, a row a column."""
+    doc, term, count = _documents(batch)
+    return np.stack([np.bincount(doc, count * c[term], batch.num_rows) for c in columns], 1)
+
+
 class Held:
     """A row of numbers for every term, in memory."""
 
@@ -93,32 +125,16 @@ class Held:
     def product(self, solve: Solve, measure: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> tuple[Held, np.ndarray]:
         """(X'W, sums of measure(X values, W)) for weights W = solve(X values) of the documents X."""
         n, q = self.values.shape
-        size = len(measure(np.zeros((0, q)), solve(np.zeros((0, q)))))
+        nothing = solve(np.zeros((0, q)))
         shared = self.packed.sparkSession.sparkContext.broadcast(np.ascontiguousarray(self.values.T))
 
-        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            columns, total, out = shared.value, np.zeros(size), None
-            for batch in batches:
-                doc, term, count = _documents(batch)
-                x = np.stack([np.bincount(doc, count * c[term], batch.num_rows) for c in columns], 1)
-                w = solve(x)
-                total += measure(x, w)
-                sums = np.stack([np.bincount(term, count * w[doc, j], n) for j in range(w.shape[1])], 1)
-                out = sums if out is None else out + sums
-            if out is not None:
-                met = np.flatnonzero(out.any(1))
-                yield pa.RecordBatch.from_arrays([pa.array(met), _lists(out[met])], ["term_id", "v"])
-                # What was measured travels as numbers of terms that do not exist.
-                yield pa.RecordBatch.from_arrays([pa.array(-1 - np.arange(size)), _lists(np.repeat(total[:, None], out.shape[1], 1))], ["term_id", "v"])
-
-        width = solve(np.zeros((0, q))).shape[1]
-        parts = self.packed.select("term_ids", "counts").mapInArrow(add, SUMS)
-        got = parts.groupBy("term_id").agg(F.array(*[F.sum(F.get("v", F.lit(j))) for j in range(width)]).alias("v")).toArrow()
+        def weigh(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+            x = times_topics(batch, shared.value)
+            w = solve(x)
+            return w, measure(x, w)
+
+        out, measured = add_up(self.packed.select("term_ids", "counts"), n, weigh, nothing.shape[1], len(measure(np.zeros((0, q)), nothing)))
         shared.unpersist()
-        ids, values = np.asarray(got.column("term_id"), np.int64), _rows(got.column("v").combine_chunks(), width)
-        out, measured = np.zeros((n, width)), np.zeros(size)
-        out[ids[ids >= 0]] = values[ids >= 0]
-        measured[-1 - ids[ids < 0]] = values[ids < 0, 0]
         return Held(self.packed, out), measured
 
     def weights(self, solve: Solve, row_id: str) -> DataFrame:
@@ -127,9 +143,7 @@ class Held:
 
         def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                doc, term, count = _documents(batch)
-                x = np.stack([np.bincount(doc, count * c[term], batch.num_rows) for c in shared.value], 1)
-                yield pa.RecordBatch.from_arrays([batch.column(row_id), _lists(solve(x))], [row_id, "v"])
+                yield pa.RecordBatch.from_arrays([batch.column(row_id), _lists(solve(times_topics(batch, shared.value)))], [row_id, "v"])
 
         kind = dict(self.packed.dtypes)[row_id]
         return self.packed.select(row_id, "term_ids", "counts").mapInArrow(weigh, f"{row_id} {kind}, v array<double>")

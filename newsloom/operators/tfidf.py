@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions.text import counted, ngrams, words
@@ -122,37 +126,60 @@ def top_terms(weights: DataFrame, row_id: str, n: int = 10) -> DataFrame:
     return top_n_per_group(weights, [row_id], [F.desc("weight"), "term"], n)
 
 
+def packed_vectors(weights: DataFrame, row_id: str) -> DataFrame:
+    """(row_id, term_ids, weights): a document's cells as two arrays, sorted by term."""
+    cell = F.struct(F.col("term_id").cast("bigint").alias("term_id"), F.col("weight").cast("double").alias("weight"))
+    cells = weights.groupBy(row_id).agg(F.array_sort(F.collect_list(cell)).alias("cells"))
+    return cells.select(row_id, F.col("cells.term_id").alias("term_ids"), F.col("cells.weight").alias("weights"))
+
+
+def dot_products(batch: pa.RecordBatch) -> np.ndarray:
+    """The sum of products over shared terms of the vectors a and b of each row; a missing vector is empty."""
+
+    def cells(side: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        terms = batch.column(f"term_ids_{side}")
+        lengths = np.asarray(pc.fill_null(pc.list_value_length(terms), 0))
+        return np.repeat(np.arange(batch.num_rows), lengths), np.asarray(terms.flatten(), np.int64), np.asarray(batch.column(f"weights_{side}").flatten(), np.float64)
+
+    (row_a, term_a, weight_a), (row_b, term_b, weight_b) = cells("a"), cells("b")
+    if not len(term_a) or not len(term_b):
+        return np.zeros(batch.num_rows)
+    # Both sides are in order of (row, term), so one merge finds the shared cells of all pairs.
+    span = max(int(term_a.max()), int(term_b.max())) + 1
+    key_a, key_b = row_a * span + term_a, row_b * span + term_b
+    at = np.minimum(np.searchsorted(key_b, key_a), len(key_b) - 1)
+    met = key_b[at] == key_a
+    return np.bincount(row_a[met], weight_a[met] * weight_b[at[met]], batch.num_rows)
+
+
 def cosine_pairs(weights: DataFrame, pairs: DataFrame, row_id: str) -> DataFrame:
     """(a, b, cosine) of the given pairs of documents; rows have length 1, so a dot product.
 
-    A document is one row of its weights by term. The pairs look their two documents up, and the
-    product is taken inside the row, so nothing is exploded per pair. A document of many pairs is
+    A document is one row of two sorted arrays. The pairs look their two documents up, and one merge of the
+    arrays multiplies a batch of pairs, so nothing is exploded per pair. A document of many pairs is
     spread: its pairs are dealt to as many parts as there are thousands of them, each of which gets a copy of the row.
     """
-    cell = F.struct(F.col("term_id").cast("bigint").alias("term_id"), F.col("weight").cast("double").alias("weight"))
-    vectors = stored(weights.groupBy(row_id).agg(F.collect_list(cell).alias("cells")), "vectors")
+    vectors = stored(packed_vectors(weights, row_id), "vectors")
     named = stored(pairs.select("a", "b").distinct(), "pairs")
 
     def looked_up(left: DataFrame, key: str) -> DataFrame:
-        parts = named.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / PAIRS_A_PART).cast("int").alias("parts"))
-        copies = parts.join(vectors.withColumnRenamed(row_id, key), key).select(
-            key, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "parts", F.col("cells").alias(f"cells_{key}")
-        )
+        own = vectors.select(F.col(row_id).alias(key), F.col("term_ids").alias(f"term_ids_{key}"), F.col("weights").alias(f"weights_{key}"))
+        sizes = named.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+        if (sizes.agg(F.max("n")).first()[0] or 0) <= PAIRS_A_PART:
+            return left.join(own, key, "left")
+        parts = sizes.select(key, F.ceil(F.col("n") / PAIRS_A_PART).cast("int").alias("parts"))
+        copies = parts.join(own, key).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
         other = "b" if key == "a" else "a"
         numbered = left.join(parts, key).withColumn("part", F.pmod(F.xxhash64(other), F.col("parts")).cast("int")).drop("parts")
-        return numbered.join(copies.drop("parts"), [key, "part"], "left").drop("part")
+        return numbered.join(copies, [key, "part"], "left").drop("part")
 
-    both = looked_up(looked_up(named, "a"), "b")
-    # Sorted by term, the two weights of a shared term are neighbours.
-    none = F.array().cast("array<struct<term_id:bigint,weight:double>>")
-    cells = F.sort_array(F.concat(F.coalesce("cells_a", none), F.coalesce("cells_b", none)))
-    zero = F.struct(F.lit(-1).cast("bigint").alias("term_id"), F.lit(0.0).alias("weight"), F.lit(0.0).alias("total"))
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(dot_products(batch))], ["a", "b", "cosine"])
 
-    def add(state: Column, cell: Column) -> Column:
-        product = F.when(state["term_id"] == cell["term_id"], state["weight"] * cell["weight"]).otherwise(0.0)
-        return F.struct(cell["term_id"].alias("term_id"), cell["weight"].alias("weight"), (state["total"] + product).alias("total"))
-
-    return both.select("a", "b", F.aggregate(cells, zero, add, lambda state: state["total"]).alias("cosine"))
+    both = looked_up(looked_up(named, "a"), "b")
+    kinds = dict(named.dtypes)
+    return both.mapInArrow(multiply, f"a {kinds['a']}, b {kinds['b']}, cosine double")
 
 
 def _listed(terms: DataFrame, order: list[str]) -> DataFrame:

@@ -11,11 +11,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.operators.joins import is_small, lookup_join, skew_join
-from newsloom.operators.ranking import top_n_per_group, with_sequential_id
+from newsloom.operators.joins import BROADCAST_ROWS, is_small, lookup_join, skew_join
+from newsloom.operators.ranking import top_n_per_group
 from newsloom.session import bucketed, released, stored
 
 EPS = 1e-12
@@ -82,14 +83,18 @@ def fit_nmf(
     Rounds go on until the error (the root of the loss) falls by less than `tol` times the first
     round's error, or `max_rounds` are done. `bow` is read twice, so a stored table suits best.
     Documents are kept as one row each, with numbered terms, in buckets by document, and so are their
-    weights: a round moves weights and partial sums but no document. The term table is broadcast only
-    if it was measured to be small. Each round's tables go when the next are written.
+    weights: a round moves weights and partial sums but no document. While the terms are few (measured), their
+    weights are sent to the tasks, which add up batch by batch; else they stay a table and are joined. Each round's tables go
+    when the next are written.
     """
     w, h = _names("w", k), _names("h", k)
-    numbered = stored(
-        with_sequential_id(bow.select("term").distinct(), ["term"], "term_id").select("term_id", "term"),
-        "terms",
-    )
+    from newsloom.operators import nmf
+
+    dense, numbered = nmf.pack_documents(bow, row_id)
+    n_terms = numbered.count()
+    if n_terms <= BROADCAST_ROWS:
+        return _fit_held(dense, numbered, n_terms, row_id, k, max_rounds, seed, tol)
+    released(dense)
     coded = lookup_join(bow, numbered, ["term"], [row_id], "inner")
     # A group is the terms of one text.
     packed = bucketed(
@@ -97,7 +102,7 @@ def fit_nmf(
     )
     cells = _cells(packed, row_id)
     total, squares = cells.agg(F.sum("cnt"), F.sum(F.col("cnt") * F.col("cnt"))).first()
-    n_docs, n_terms = packed.count(), numbered.count()
+    n_docs = packed.count()
     if not n_docs:
         raise ValueError("no document has a term")
     scale = float((total / (n_docs * n_terms) / k) ** 0.5)
@@ -144,6 +149,53 @@ def fit_nmf(
     return NmfModel(named, weights, k, row_id, tuple(losses))
 
 
+def _fit_held(packed: DataFrame, terms: DataFrame, n_terms: int, row_id: str, k: int, max_rounds: int, seed: int, tol: float) -> NmfModel:
+    """`fit_nmf` with the weights of the terms in memory; a document's weights lie beside its cells."""
+    from newsloom.operators.nmf import _lists, _rows, add_up, times_topics
+
+    total, squares, n_docs = packed.agg(
+        F.sum(F.aggregate("counts", F.lit(0.0), lambda s, c: s + c)), F.sum(F.aggregate("counts", F.lit(0.0), lambda s, c: s + c * c)), F.count(F.lit(1))
+    ).first()
+    if not n_docs:
+        raise ValueError("no document has a term")
+    scale = float((total / (n_docs * n_terms) / k) ** 0.5)
+    start = lambda key: F.array(*[unit_hash(F.col(key), j, seed) * scale for j in range(k)])
+    h = _rows(terms.select("term_id", start("term").alias("v")).orderBy("term_id").toArrow().column("v").combine_chunks(), k)
+    docs = packed.withColumn("w", start(row_id))
+    schema = ", ".join(f"{n} {kind}" for n, kind in docs.dtypes)
+    context, before, losses = packed.sparkSession.sparkContext, None, []
+    for _ in range(max_rounds):
+        hht, columns = h.T @ h, context.broadcast(h.T.copy())
+
+        def update(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                w = _rows(batch.column("w"), k)
+                w = w * times_topics(batch, columns.value) / (w @ hht + EPS)  # noqa: B023
+                yield batch.set_column(batch.schema.get_field_index("w"), "w", _lists(w))
+
+        def weigh(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+            w = _rows(batch.column("w"), k)
+            return w, (w.T @ w).ravel()
+
+        docs = stored(docs.mapInArrow(update, schema), "documents-with-weights")
+        num, wtw = add_up(docs.select("term_ids", "counts", "w"), n_terms, weigh, k, k * k)
+        wtw = wtw.reshape(k, k)
+        h = h * num / (h @ wtw + EPS)
+        columns.unpersist()
+        if before is not None:
+            released(before)
+        before = docs
+        # |X - WH|^2 = |X|^2 - 2 <W'X, H> + <W'W, HH'>
+        losses.append(float(squares) - 2 * float((num * h).sum()) + float((wtw * (h.T @ h)).sum()))
+        if len(losses) > 1 and _error(losses[-2]) - _error(losses[-1]) < tol * _error(losses[0]):
+            break
+    weights = stored(docs.select(row_id, *[F.get("w", F.lit(j)).alias(f"w{j}") for j in range(k)]), "weights")
+    released(docs), released(packed)
+    values = pa.table({"term_id": pa.array(np.arange(n_terms)), **{f"h{j}": pa.array(h[:, j]) for j in range(k)}})
+    named = terms.join(packed.sparkSession.createDataFrame(values), "term_id").select("term", *_names("h", k))
+    return NmfModel(named, weights, k, row_id, tuple(losses))
+
+
 def transform_nmf(model: NmfModel, bow: DataFrame, max_rounds: int = 1000, tol: float = 1e-6) -> DataFrame:
     """(row_id, topic, loading) of documents under fixed topics.
 
