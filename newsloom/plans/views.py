@@ -6,11 +6,15 @@ The text is in the common part of Spark SQL and DuckDB SQL: Spark reads it throu
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 from newsloom.plans.written_pages import values_sql
+from newsloom.session import spread
 
-TABLES = ("documents", "pages")
+#: The given tables that views read, and what tells their rows apart.
+TABLES = {"documents": "doc_id", "pages": "page_id"}
 
 # ---- name -> (views it reads, SQL) ----
 VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
@@ -145,8 +149,14 @@ def with_views(sql: str, *names: str) -> str:
     return f"WITH RECURSIVE {head},\n{sql}"
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One view as a DataFrame over the tables in `sf_dir`."""
-    ctes = [f"{t} AS (SELECT * FROM parquet.`{sf_dir}/{t}.parquet`)" for t in TABLES]
+def view(spark: SparkSession, sf_dir: str, name: str, dealt: bool = True) -> DataFrame:
+    """One view as a DataFrame over the tables in `sf_dir`, small ones dealt out by row unless not `dealt`."""
+    ctes = []
+    for table, key in TABLES.items():
+        rows = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+        rows = spread(rows, key) if dealt else rows
+        held = f"newsloom_{table}_{zlib.crc32(sf_dir.encode())}{'' if dealt else '_as_is'}"
+        rows.createOrReplaceTempView(held)
+        ctes.append(f"{table} AS (SELECT * FROM {held})")
     ctes += [f"{n} AS ({VIEWS[n][1]})" for n in _closure((name,))]
     return spark.sql(f"WITH {', '.join(ctes)} SELECT * FROM {name}")

@@ -53,6 +53,22 @@ def checkpoint_root(spark: SparkSession) -> str:
 _LOCAL: list[tempfile.TemporaryDirectory] = []
 
 
+#: A table under this size for each core is dealt out by row before rows are worked on.
+SMALL_SHARE = 32 << 20
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """`df`, dealt to the session's shuffle partitions by `key` if it is too small for its files to keep all cores busy.
+
+    A file of one row group is one task, however many cores wait. Larger tables, which have enough splits, are not moved.
+    """
+    spark = df.sparkSession
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= SMALL_SHARE * spark.sparkContext.defaultParallelism:
+        return df
+    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new path beside the checkpoints, reachable from every executor."""
     return os.path.join(checkpoint_root(spark), f"{label}-{uuid.uuid4().hex}")

@@ -21,7 +21,7 @@ def shuffles(df):
 
 
 def test_groups_are_cut_before_the_shuffle(spark):
-    news = view(spark, SF, "news").select("doc_id", "url", "ticker")
+    news = view(spark, SF, "news", dealt=False).select("doc_id", "url", "ticker")
     text = plan(ranking.dedupe(news, ["url"], ["doc_id"]))
     assert re.search(r"WindowGroupLimit \[.*url#.*Final.*Exchange.*WindowGroupLimit \[.*url#.*Partial", text, re.S)
     assert shuffles(ranking.dedupe(news, ["url"], ["doc_id"])) == 1
@@ -29,7 +29,7 @@ def test_groups_are_cut_before_the_shuffle(spark):
 
 
 def test_tfidf_moves_texts_once(spark):
-    news = view(spark, SF, "news").select("doc_id", "article_text")
+    news = view(spark, SF, "news", dealt=False).select("doc_id", "article_text")
     terms = tfidf.document_terms(news, "doc_id", "article_text", tfidf.TfidfConfig())
     assert shuffles(terms) == 0 and shuffles(tfidf.term_stats(terms)) == 1
     # Weights and their length per document need no shuffle beyond that.
@@ -41,10 +41,10 @@ def test_tfidf_moves_texts_once(spark):
 
 
 def test_bag_of_words_moves_nothing_with_short_tables(spark):
-    tables = view(spark, SF, "lexicon"), view(spark, SF, "stopwords")
-    assert shuffles(tokens.bag_of_words(view(spark, SF, "news"), "doc_id", "article_text", *tables)) == 0
+    tables = view(spark, SF, "lexicon", dealt=False), view(spark, SF, "stopwords", dealt=False)
+    assert shuffles(tokens.bag_of_words(view(spark, SF, "news", dealt=False), "doc_id", "article_text", *tables)) == 0
     # With long ones the texts move once; the other shuffles reduce the tables to one entry each.
-    bag = tokens.bag_of_words(view(spark, SF, "news"), "doc_id", "article_text", *tables, inline_rows=0)
+    bag = tokens.bag_of_words(view(spark, SF, "news", dealt=False), "doc_id", "article_text", *tables, inline_rows=0)
     keys = re.findall(r"Exchange hashpartitioning\((\w+)#", plan(bag))
     assert keys.count("doc_id") == 1 and set(keys) <= {"doc_id", "form", "word"}
 
@@ -72,7 +72,7 @@ def test_days_are_pushed_to_the_scan(spark, tmp_path):
 
 
 def test_only_wanted_pages_are_read_further(spark):
-    leads, web = view(spark, SF, "leads"), view(spark, SF, "web")
+    leads, web = view(spark, SF, "leads", dealt=False), view(spark, SF, "web", dealt=False)
     text = plan(pages.scrape(leads, web, ["doc_id"], captured=[F.desc("page_id")]))
     assert "LeftSemi" in text and text.index("extractor_used") < text.index("LeftSemi")
     named = pages.wanted_pages(web, leads, F.col("url_original"), [F.desc("page_id")])
@@ -88,3 +88,16 @@ def test_scans_read_only_what_is_needed(spark):
     assert "ReadSchema: struct<doc_id:bigint,text:string,lang:string>" in text
     assert "EqualTo(lang,en)" in text
     assert "Exchange" not in text
+
+
+def test_only_small_tables_are_dealt_out(spark, tmp_path):
+    from newsloom import session
+
+    one = spark.range(1000).coalesce(1)
+    one.write.parquet(str(tmp_path / "one"))
+    table = spark.read.parquet(str(tmp_path / "one"))
+    dealt = session.spread(table, "id")
+    rows = [r["n"] for r in dealt.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(rows) > 4 and sum(rows) == 1000 and max(rows) < 400
+    assert session.spread(spark.range(1 << 40), "id").rdd.getNumPartitions() == spark.range(1 << 40).rdd.getNumPartitions()
+    assert "Exchange" not in session.spread(spark.range(1 << 40), "id")._jdf.queryExecution().executedPlan().toString()
