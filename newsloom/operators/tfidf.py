@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions.text import counted, ngrams, words
@@ -36,21 +37,109 @@ class TfidfConfig:
     dtype: str = "float32"
 
 
+class Sieve:
+    """A count sketch of terms by documents: it may let rare terms through, but never holds back one of `least` or more documents.
+
+    Two rows of counters, indexed by two parts of a term's hash, count the documents of all terms that fall on them, up to `least`. A
+    task fills its own; those of all tasks are added up. `passes` tells the places that reached `least`, a bit each.
+    """
+
+    def __init__(self, least: int, bits: int) -> None:
+        self.least, self.bits, self.passes = least, bits, np.zeros((2, 0), np.uint8)
+
+    def places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        unsigned = hashes.astype(np.int64).view(np.uint64)
+        mask = np.uint64((1 << self.bits) - 1)
+        return unsigned & mask, (unsigned >> np.uint64(64 - self.bits)) & mask
+
+    def fill(self, terms: DataFrame) -> Sieve:
+        """Count `terms` (hashes: the different terms of a document as 64-bit numbers)."""
+        size, block, least = 1 << self.bits, min(1 << 16, 1 << self.bits), self.least
+        kind = np.uint8 if 2 * least < 256 else np.int64
+        places = self.places
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            counters = np.zeros((2, size), kind)
+            for batch in batches:
+                for own, at in zip(counters, places(np.asarray(batch.column("hashes").flatten()))):
+                    met, n = np.unique(at, return_counts=True)
+                    own[met] = np.minimum(own[met].astype(np.int64) + n, least)
+            for row, own in enumerate(counters):
+                filled = np.flatnonzero(own.reshape(-1, block).any(1))
+                if len(filled):
+                    packed = [own[b * block : (b + 1) * block].tobytes() for b in filled.tolist()]
+                    yield pa.RecordBatch.from_arrays([pa.array([row] * len(filled), pa.int32()), pa.array(filled, pa.int32()), pa.array(packed, pa.binary())], ["row", "block", "counters"])
+
+        def merge(key: tuple[pa.Scalar, ...], groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(block, np.int64)
+            for batch in groups:
+                for packed in batch.column("counters"):
+                    total = np.minimum(total + np.frombuffer(packed.as_buffer(), kind), least)
+            flags = np.packbits(total >= least, bitorder="little").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([key[1].as_py()], pa.int32()), pa.array([flags], pa.binary())], ["row", "block", "flags"])
+
+        sums = terms.select("hashes").mapInArrow(count, "row int, block int, counters binary").groupBy("row", "block").applyInArrow(merge, "row int, block int, flags binary")
+        self.passes = np.zeros((2, size // 8), np.uint8)
+        for r in sums.collect():
+            flags = np.frombuffer(r["flags"], np.uint8)
+            self.passes[r["row"], r["block"] * len(flags) : (r["block"] + 1) * len(flags)] = flags
+        return self
+
+    def lets_through(self, hashes: np.ndarray) -> np.ndarray:
+        one, two = [(self.passes[row][at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 for row, at in enumerate(self.places(hashes))]
+        return (one & two).astype(bool)
+
+    def mask(self, spark: SparkSession, hashes: Column) -> Column:
+        """For arrays of hashes, which of them may be frequent."""
+        shared = spark.sparkContext.broadcast(self)
+
+        @F.arrow_udf("array<boolean>")
+        def told(column: pa.Array) -> pa.Array:
+            flat = pc.fill_null(column.flatten(), 0)
+            ends = np.concatenate([[0], np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(column), 0)))])
+            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(shared.value.lets_through(np.asarray(flat))))
+
+        return told(hashes)
+
+
+#: Counters in a row of the sieve, as a power of two; a task holds two rows of bytes.
+SIEVE_BITS = 23
+
+
 @dataclass(frozen=True)
 class TfidfModel:
-    """`vocabulary` has one row per term: term_id, term, df, cf, idf."""
+    """`vocabulary` has one row per term: term_id, term, df, cf, idf. `sieve` holds back most other terms."""
 
     vocabulary: DataFrame
     n_docs: int
     config: TfidfConfig
     row_id: str
     col: str
+    sieve: Sieve | None = None
+
 
+def _hashes(terms: Column) -> Column:
+    return F.transform(terms, lambda t: F.xxhash64(t["term"]))
 
-def document_terms(df: DataFrame, row_id: str, col: str, config: TfidfConfig) -> DataFrame:
-    """(row_id, term, tf) of the rows with text, which `row_id` tells apart; counted inside the row."""
-    grams = ngrams(words(F.col(col)), *config.ngram_range)
-    return drop_blank(df, col).select(row_id, F.inline(counted(grams)))
+
+def document_terms(df: DataFrame, row_id: str, col: str, config: TfidfConfig, sieve: Sieve | None = None) -> DataFrame:
+    """(row_id, term, tf) of the rows with text, which `row_id` tells apart; counted inside the row.
+
+    Terms that `sieve` holds back are gone before they leave the row.
+    """
+    terms = counted(ngrams(words(F.col(col)), *config.ngram_range))
+    if sieve is None:
+        return drop_blank(df, col).select(row_id, F.inline(terms))
+    held = drop_blank(df, col).select(row_id, terms.alias("terms_"))
+    told = held.select(row_id, "terms_", sieve.mask(df.sparkSession, _hashes(F.col("terms_"))).alias("frequent_"))
+    kept = F.filter("terms_", lambda t, i: F.get(F.col("frequent_"), i))
+    return told.select(row_id, F.inline(kept))
+
+
+def sieve_of(df: DataFrame, col: str, config: TfidfConfig, least: int, bits: int = SIEVE_BITS) -> Sieve:
+    """A sieve for the terms of at least `least` of the texts."""
+    terms = counted(ngrams(words(F.col(col)), *config.ngram_range))
+    return Sieve(least, bits).fill(drop_blank(df, col).select(_hashes(terms).alias("hashes")))
 
 
 def term_stats(terms: DataFrame) -> DataFrame:
@@ -63,10 +152,16 @@ def _bound(value: int | float, n_docs: int) -> float:
 
 
 def fit_tfidf(df: DataFrame, row_id: str, col: str, config: TfidfConfig | None = None) -> TfidfModel:
-    """Vocabulary and idf of a corpus; terms are numbered in alphabetical order."""
+    """Vocabulary and idf of a corpus; terms are numbered in alphabetical order.
+
+    Where a term needs several documents, a sketch of all terms comes first, so that only terms which may have as many are
+    shuffled and counted; most n-grams occur once.
+    """
     config = config or TfidfConfig()
     n_docs = drop_blank(df, col).count()
-    stats = term_stats(document_terms(df, row_id, col, config)).where(
+    least = math.ceil(_bound(config.min_df, n_docs))
+    sieve = sieve_of(df, col, config, least) if least > 1 else None
+    stats = term_stats(document_terms(df, row_id, col, config, sieve)).where(
         (F.col("df") >= _bound(config.min_df, n_docs)) & (F.col("df") <= _bound(config.max_df, n_docs))
     )
     if config.max_features is not None:
@@ -76,14 +171,14 @@ def fit_tfidf(df: DataFrame, row_id: str, col: str, config: TfidfConfig | None =
     vocabulary = with_sequential_id(
         stats.withColumn("idf", idf if config.use_idf else F.lit(1.0)), ["term"], "term_id", start=0
     )
-    return TfidfModel(vocabulary.select("term_id", "term", "df", "cf", "idf"), n_docs, config, row_id, col)
+    return TfidfModel(vocabulary.select("term_id", "term", "df", "cf", "idf"), n_docs, config, row_id, col, sieve)
 
 
 def transform_tfidf(model: TfidfModel, df: DataFrame) -> DataFrame:
     """(row_id, term_id, term, weight): the non-zero cells of the matrix."""
     config, row_id = model.config, model.row_id
     # Texts move once, whole: every later step per document then finds its rows in place.
-    terms = document_terms(df.select(row_id, model.col).repartition(row_id), row_id, model.col, config)
+    terms = document_terms(df.select(row_id, model.col).repartition(row_id), row_id, model.col, config, model.sieve)
     known = model.vocabulary.select("term", "term_id", "idf")
     cells = lookup_join(terms, known, ["term"], [row_id], "inner")
     tf = F.col("tf").cast("double")
