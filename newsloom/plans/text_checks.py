@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from newsloom.functions import text as tx
+from newsloom.operators import lemmas as lm
 from newsloom.operators import tokens as tk
 from newsloom.operators.tfidf import document_terms, TfidfConfig
 from newsloom.plans.catalog import checked
 from newsloom.plans.views import view
+from newsloom.session import stored
 
 NEWS = ("news",)
 
@@ -173,3 +175,33 @@ WORDS_SQL = """words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w
 @checked("ngram_counts", f"{WORDS_SQL} SELECT doc_id, term, tf FROM tf", NEWS)
 def _ngram_counts(spark, sf):
     return document_terms(view(spark, sf, "news"), "doc_id", "article_text", TfidfConfig())
+
+
+# ---------------------------------------------------------------- lemmas by rule
+
+# Words of the texts stand for nouns; planted forms of each need every rule, two turns of them, an exception, or come to nothing.
+PLANTED_FORMS = ("{n} || 's'", "{n} || 'es'", "{n} || 'ses'", "{n} || 'sss'", "{n} || 'men'", "{n} || 'en'", "regexp_replace({n}, 'y$', 'ies')", "regexp_replace({n}, 'f$', 'ves')", "'zq' || {n} || 'shes'")
+NOUN_SQL = "SELECT DISTINCT token AS lemma FROM {tokens} WHERE length(token) BETWEEN 3 AND 9 AND token NOT LIKE '%s' UNION SELECT DISTINCT token || 'man' FROM {tokens} WHERE length(token) = 6 AND token NOT LIKE '%s'"
+FORM_SQL = "SELECT DISTINCT token AS form FROM {tokens} UNION " + " UNION ".join(f"SELECT {f.format(n='lemma')} FROM nouns" for f in PLANTED_FORMS)
+EXCEPTION_SQL = "SELECT lemma || 'en' AS form, lemma FROM nouns WHERE length(lemma) = 4 UNION SELECT lemma || 's', 'nowhere' FROM nouns WHERE length(lemma) = 5"
+RULES_SQL = ", ".join(f"('{old}', '{new}')" for old, new in lm.RULES)
+
+
+@checked(
+    "noun_lemmas",
+    f"""{LEMMA_SQL}, nouns AS ({NOUN_SQL.format(tokens='toks')}), forms AS ({FORM_SQL.format(tokens='toks')}), exceptions AS ({EXCEPTION_SQL}),
+  rules AS (SELECT * FROM (VALUES {RULES_SQL}) AS t(old, new)),
+  made AS (SELECT f.form, left(f.form, length(f.form) - length(r.old)) || r.new AS candidate, 1 AS turn FROM forms f JOIN rules r ON ends_with(f.form, r.old)
+      WHERE f.form NOT IN (SELECT form FROM exceptions)
+    UNION SELECT m.form, left(m.candidate, length(m.candidate) - length(r.old)) || r.new, m.turn + 1 FROM made m JOIN rules r ON ends_with(m.candidate, r.old)),
+  tried AS (SELECT * FROM made UNION SELECT form, form, 1 FROM forms UNION SELECT form, lemma, 1 FROM exceptions),
+  found AS (SELECT *, row_number() OVER (PARTITION BY form ORDER BY turn, length(candidate), candidate) AS r FROM tried WHERE candidate IN (SELECT lemma FROM nouns) AND form IN (SELECT form FROM forms))
+  SELECT form, candidate AS lemma FROM found WHERE r = 1 AND candidate <> form""",
+    ("news", "lexicon"),
+)
+def _noun_lemmas(spark, sf):
+    tokens = stored(tk.tokenize_lemmatize(view(spark, sf, "news"), "doc_id", "article_text", view(spark, sf, "lexicon")).select("token").distinct(), "tokens")
+    tokens.createOrReplaceTempView("newsloom_tokens")
+    nouns = NOUN_SQL.format(tokens="newsloom_tokens")
+    forms, exceptions = (spark.sql(f"WITH nouns AS ({nouns}) {q}") for q in (FORM_SQL.format(tokens="newsloom_tokens"), EXCEPTION_SQL))
+    return lm.noun_lexicon(forms, spark.sql(nouns), exceptions)
