@@ -10,7 +10,7 @@ Template: `<turn>role\\n` text `</turn>\\n`. In roles and texts a backslash is w
 `\\l`, in roles a line feed `\\n`; so no text can contain a mark, and `unescape` gives the text back.
 The loss mask lists spans (turn, start, n_chars) of code points that hold assistants' texts.
 
-Cases: a null text or role is empty; an unknown kind of event counts as `delta`; events with equal
+Cases: messages of any length are kept whole; a null text or role is empty; an unknown kind of event counts as `delta`; events with equal
 sequence numbers go by kind, then text; a null conversation id is a conversation of its own; a
 message without events does not exist; an empty log gives no rows; further columns are ignored.
 A conversation's rendered text is one value of one row, so it does meet in one task.

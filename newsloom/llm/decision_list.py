@@ -7,7 +7,8 @@ it is precise on those; the rows it covers leave, and the next rule is learned.
 reads one small table, the counts of labels by (statistic, threshold interval), which Spark
 sums over all labelled rows. The list becomes one ordered `CASE WHEN` over the statistics.
 
-Cases: null text has no words; a text without words has all ratios 0; labels that are null are
+Cases: a text of any length is measured whole, inside its row; documents of equal statistics get one verdict; a value on a threshold counts
+as above it; at most 12 rules of 3 conditions are learned (arguments of `learn`); null text has no words; a text without words has all ratios 0; labels that are null are
 left out, and repeated labels of a document count by their mean (at least a half: good); documents
 that occur twice are learned from twice; without labelled rows of both kinds the list is empty and
 everything is kept; an empty table gives an empty result. Extra columns are not read.

@@ -18,7 +18,7 @@ set are one class. Classes are compared, in steps that each look at all of them:
 Sets are compared by 64-bit hashes of shingles and classes by a 64-bit digest. Nothing is dropped, capped or
 sampled: frequent shingles only come later in the order, long lists are compared within families.
 
-Cases: a null or blank text has an empty set and links with nothing; fewer words than a shingle make one
+Cases: a text of any length is one set, read whole in one task; documents exactly on the limit link, and of equal sets one stands for all; a null or blank text has an empty set and links with nothing; fewer words than a shingle make one
 shingle; repeated rows and ids are kept, each row with its class; a null id never names a component unless all
 of its ids are null; an empty table gives no rows; extra columns are not read.
 """

@@ -13,7 +13,7 @@ Training reads at most `MAX_ROWS` labelled rows per language, chosen by a hash o
 (language, four bytes). Bytes training never saw have all the same code length, so they share a code. Upper
 case ASCII letters are read as lower case.
 
-Cases: null, blank or letterless text is `und` with score 0; ties between languages go to the first by
+Cases: a text of any length is read whole, by a task that holds the bytes of one batch; null, blank or letterless text is `und` with score 0; ties between languages go to the first by
 name; rows with null language are not learned from; without any labelled row everything is `und`; repeated
 rows are predicted alike; an empty table gives no rows; extra columns stay, those of the outputs' names
 are replaced.

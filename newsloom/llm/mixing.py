@@ -7,7 +7,7 @@ finer buckets, and only it, until the hash has no more bits. Nothing is sorted b
 a source's size does not matter: its rows are summed on the map side. Thresholds nest: a
 larger budget takes all documents of a smaller one.
 
-Cases: a null or blank text has no words and is taken 0 words of; a null source is a source of its
+Cases: a text of any length counts whole; rows on the last hash of a budget are taken together if that is nearer to the target; a null or blank text has no words and is taken 0 words of; a null source is a source of its
 own, last in order; rows that agree in id and text share a hash and are taken alike; an empty table
 gives an empty result; extra columns stay and may have any name, but `copies` is replaced. One row
 per source meets in one task (ordering and resharing), never one per document.

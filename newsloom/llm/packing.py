@@ -11,7 +11,7 @@ padded. A source that earns less than one id a window shares a queue with others
 are served one after the other (and joins the first queue if together they still earn less); so there are at
 most as many queues as ids in a window. Documents are queued in order of task and place.
 
-Cases: a null or empty text is its end id alone; a null source is a source of its own; repeated rows
+Cases: a text of any length is cut into as many windows as it needs, none left out; equal documents are queued in order of task and place; a null or empty text is its end id alone; a null source is a source of its own; repeated rows
 are packed as often as they occur; an empty table gives no rows; extra columns are ignored.
 """
 

@@ -1,7 +1,6 @@
 """Quality classifier: ridge regression on random Fourier features, calibrated (operator 5).
 
-Statistics of a whole text (shares of kinds of characters, lengths of words and lines, repetition,
-function words of no language in particular) are standardised and sent through cos(w x + b) with fixed
+Statistics of a whole text (shares of kinds of characters, lengths of words and lines, repetition) are standardised and sent through cos(w x + b) with fixed
 random w and b, so that inner products approximate a Gaussian kernel. Tasks add up their part of
 the normal equations; one small system is solved. Isotonic regression on rows the solution was not fitted to
 turns its values into probabilities.
@@ -9,7 +8,7 @@ turns its values into probabilities.
 At most `MAX_ROWS` labelled rows are learned from, chosen by a hash of the id; what is gathered has the
 size of the feature matrix, whatever the input.
 
-Cases: null or empty text has all statistics 0 and is scored like any other; null labels are left out and
+Cases: a text of any length is measured whole; documents of equal statistics score alike; null or empty text has all statistics 0 and is scored like any other; null labels are left out and
 repeated labels count by their mean (at least a half: 1); without labelled rows of both kinds every score is
 the share of good labels (or 0.5); repeated rows score alike; an empty table gives no rows; extra columns
 stay, those of the outputs' names are replaced.
