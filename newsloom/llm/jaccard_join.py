@@ -403,7 +403,10 @@ def classes_of(rows: DataFrame) -> DataFrame:
 
 
 def linked_documents(docs: DataFrame, width: int = WIDTH, share: int = SHARE) -> DataFrame:
-    """(doc_id, n, set_id, component_id) per row of `docs` (doc_id, text)."""
+    """(doc_id, n, set_id, text_hash, root, component_id) per row of `docs` (doc_id, text).
+
+    `root` names the component also where ids are null or shared; it is null, like the sets of rows without a shingle are empty.
+    """
     docs = docs.select("doc_id", "text")
     described = stored(describe_sets(docs, width), "sets")
     rows = described.where(F.col("range").isNull())
@@ -418,8 +421,8 @@ def linked_documents(docs: DataFrame, width: int = WIDTH, share: int = SHARE) ->
     groups = components(verified_links(docs, stored(members, "members"), width, share))
     rooted = classes.select("set_id", "first_id").join(groups.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_class = rooted.join(named, "root").select("set_id", "component_id")
-    joined = skew_join(rows.select("doc_id", "n", "set_id"), by_class, ["set_id"], ["doc_id"])
+    by_class = rooted.join(named, "root").select("set_id", "root", "component_id")
+    joined = skew_join(rows.select("doc_id", "n", "set_id", "text_hash"), by_class, ["set_id"], ["doc_id"])
     return joined.withColumn("component_id", F.coalesce("component_id", "doc_id"))
 
 
