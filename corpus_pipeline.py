@@ -6,12 +6,13 @@ the columns of documents. Between stages the rows are written and read again.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsloom.llm import jaccard_join, language, mixing, packing, quality
 from newsloom.llm.common import fold
 from newsloom.llm.registry import table
+from newsloom.operators.joins import lookup_join
 from newsloom.session import stored
 
 #: No learned language explains a text that costs more bits a byte than this.
@@ -41,20 +42,27 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of rows linked by their shingles the one with the least (id, text); every row that links with nothing.
+    """Of rows linked by their shingles the one with the least (id, hash of the text), null ids last; every row that links with nothing.
 
-    A group is named by its component; rows without a component (no shingle) stand for themselves, and so does a row without
-    an id whose text no other row is linked to. Of rows equal in id and text one of a group stays.
+    Rows without a shingle all stay. Of rows equal in id and text one of a group stays. What goes is looked up by id and hash of
+    the text, so texts are not sorted, and not moved either while the list of what goes is short enough to send round.
     """
     own, back = _aside(docs, "doc_id", "text")
-    numbered = stored(own.withColumn("row_", F.monotonically_increasing_id()), "rows-of-groups")
-    # Rows are told apart by their number, whatever their ids are; ids and texts decide who stays.
-    linked = jaccard_join.linked_documents(numbered.select(F.col("row_").alias("doc_id"), "text"), width=NEAR_WORDS, share=NEAR_SHARE)
-    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.xxhash64("text").alias("hash"), F.col("row_"))
-    grouped = linked.select(F.col("doc_id").alias("row_"), F.col("component_id").alias("group_"))
-    placed = numbered.select("row_", order.alias("order")).join(grouped, "row_")
-    first = stored(placed.groupBy("group_").agg(F.min("order").alias("least")).select(F.col("least.row_").alias("row_")), "first-of-groups")
-    return numbered.join(first, "row_", "left_semi").select(*back)
+    key = {"none_": F.col("doc_id").isNull(), "id_": F.coalesce("doc_id", F.lit(0)), "hash_": F.xxhash64("text")}
+    linked = jaccard_join.linked_documents(own, width=NEAR_WORDS, share=NEAR_SHARE).where("n > 0")
+    told = linked.select("root", F.struct(key["none_"].alias("none_"), key["id_"].alias("id_"), F.col("text_hash").alias("hash_")).alias("key"))
+    told = stored(told.groupBy("root", "key").agg(F.count(F.lit(1)).alias("rows")), "rows-of-groups")
+    first = told.groupBy("root").agg(F.min("key").alias("first"))
+    marked = stored(told.join(first, "root").select("key.*", (F.col("key") == F.col("first")).alias("first"), "rows"), "first-of-groups")
+    gone, repeated = (stored(marked.where(which).select(*key), name) for which, name in (("not first", "gone"), ("first and rows > 1", "repeated")))
+    mark = lambda table, name: table.distinct().withColumn(name, F.lit(True))
+    rows = own.withColumns(key)
+    for table, name in ((gone, "gone_"), (repeated, "repeated_")):
+        rows = lookup_join(rows, mark(table, name), list(key), ["doc_id", "hash_"])
+    kept = rows.where(F.col("gone_").isNull())
+    place = F.row_number().over(Window.partitionBy(*key).orderBy("id_"))
+    once = kept.where("repeated_").withColumn("place_", place).where("place_ = 1").drop("place_")
+    return kept.where(F.col("repeated_").isNull()).unionByName(once).select(*back)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
