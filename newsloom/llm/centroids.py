@@ -135,7 +135,7 @@ def starting_order(id_column: str) -> Column:
 def fit(ints: DataFrame, name: str, id_column: str, k: int = CENTROIDS, rounds: int = ROUNDS) -> np.ndarray:
     """The centroids after `rounds` rounds, as integers; `ints` is read once a round."""
     first = ints.select(starting_order(id_column).alias("order"), name).orderBy("order", name).limit(k).collect()
-    centroids = np.array([r[name] for r in first], np.int64).reshape(len(first), -1)
+    centroids = np.array([r[name] for r in first], np.int64).reshape(len(first), len(first[0][name]) if first else 0)
     for _ in range(rounds if len(centroids) else 0):
         n, sums = cluster_sums(ints, name, Bisectors(centroids))
         met = n > 0
