@@ -27,10 +27,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 WORDS_AT_ONCE = 512
 ROWS_AT_ONCE = 256
-BYTES_AT_ONCE = 1 << 22
+BYTES_AT_ONCE = 1 << 20
 #: Characters whose lower case and normal form depend on nothing around them.
 PLAIN = re.compile("[!-~\xa1-\xac\xae-\u012f\u0131-\u024f]*")
 MARKS = ".,;:!?"
