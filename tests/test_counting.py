@@ -71,7 +71,15 @@ def test_a_large_table_of_few_files_is_dealt_out(spark, tmp_path, monkeypatch):
 
     spark.range(20_000).coalesce(1).write.parquet(str(tmp_path / "one"))
     spark.range(20_000).repartition(9).write.parquet(str(tmp_path / "nine"))
-    monkeypatch.setattr(session, "SMALL_SHARE", 1000)
+    monkeypatch.setattr(session, "SMALL_SHARE", 2000)
     one, nine = (spark.read.parquet(str(tmp_path / name)) for name in ("one", "nine"))
     assert session.spread(one, "id").rdd.getNumPartitions() > 8
-    assert "Exchange" not in session.spread(nine, "id")._jdf.queryExecution().executedPlan().toString()
+    # So is one whose splits are large, but not one of small splits.
+    assert session.spread(nine, "id").rdd.getNumPartitions() > nine.rdd.getNumPartitions()
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        fine = spark.read.parquet(str(tmp_path / "nine"))
+        assert "Exchange" not in session.spread(fine, "id")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

@@ -102,3 +102,15 @@ def test_more_topics_than_documents(spark):
     assert fit.losses[-1] < 1e-12 and fit.topics.columns == ["term", "h0", "h1", "h2", "h3"] and fit.docs.count() == 2
     with pytest.raises(ValueError):
         nmf.factor_nmf(bow.where("cnt > 9"), "doc_id", 2)
+
+
+@pytest.mark.parametrize("most", [1, 50, 1 << 21])
+def test_blocks_hold_every_cell_once_and_look_a_term_up_once(spark, counts, bow, monkeypatch, most):
+    monkeypatch.setattr(nmf, "CELLS_A_BLOCK", most)
+    packed, _ = nmf.pack_documents(bow, "doc_id")
+    blocks = nmf.blocked(packed)
+    told = [(d, t, c) for r in blocks.collect() for d, t, c in zip(np.repeat(r["ids"], r["lengths"]), np.array(r["terms"])[r["codes"]], r["counts"])]
+    want = [(r["doc_id"], t, c) for r in packed.collect() for t, c in zip(r["term_ids"], r["counts"])]
+    assert sorted(told) == sorted(want)
+    assert all(len(set(r["terms"])) == len(r["terms"]) for r in blocks.collect())
+    assert nmf.blocked(packed) is blocks
