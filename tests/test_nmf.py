@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from newsloom.operators import nmf
+from newsloom.operators import nmf, topics
 
 N_DOCS, N_TERMS = 60, 40
 
@@ -114,3 +114,24 @@ def test_blocks_hold_every_cell_once_and_look_a_term_up_once(spark, counts, bow,
     assert sorted(told) == sorted(want)
     assert all(len(set(r["terms"])) == len(r["terms"]) for r in blocks.collect())
     assert nmf.blocked(packed) is blocks
+
+
+def test_topics_of_many_terms_look_a_term_up_once_a_block(spark, bow, monkeypatch):
+    """`fit_nmf` and `transform_nmf` with the terms in tables against the same with the terms held, and what meets the terms."""
+    texts = bow.unionAll(spark.createDataFrame([(900, "only here", 3)], bow.schema))
+    held = topics.fit_nmf(texts, "doc_id", 3, 4, tol=-1.0)
+    new = texts.where("doc_id <> 3").unionAll(spark.createDataFrame([(901, "known to none", 3)], bow.schema))
+    key = lambda rows: sorted(map(tuple, rows), key=str)
+    want = key(topics.transform_nmf(held, new, 5, tol=-1.0).collect())
+    monkeypatch.setattr(topics, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(topics, "is_small", lambda table: False)
+    monkeypatch.setattr(nmf, "CELLS_A_BLOCK", 200)
+    kept = topics.fit_nmf(texts, "doc_id", 3, 4, tol=-1.0)
+    assert np.allclose(kept.losses, held.losses)
+    for a, b in ((kept.topics, held.topics), (kept.docs, held.docs)):
+        a, b = key(a.collect()), key(b.collect())
+        assert a and a[0] and [r[0] for r in a] == [r[0] for r in b] and np.allclose([r[1:] for r in a], [r[1:] for r in b])
+    got = key(topics.transform_nmf(kept, new, 5, tol=-1.0).collect())
+    assert len(got) == 3 * 59 and [r[:2] for r in got] == [r[:2] for r in want] and np.allclose([r[2] for r in got], [r[2] for r in want])
+    blocks = nmf.blocked(texts.documents["doc_id"]).count()
+    assert 4 < blocks < 30 and nmf.wanted_terms(texts.documents["doc_id"]).count() <= blocks * (N_TERMS + 1) < texts.count()
