@@ -1,12 +1,13 @@
 """N-grams counted as numbers, and weights by chunks, against the same inside the row and by a sent vocabulary."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from newsloom.functions.text import counted, ngrams, words
-from newsloom.operators import tfidf
+from newsloom.operators import tfidf, tokens
 
 
 @pytest.fixture(scope="module")
@@ -83,3 +84,22 @@ def test_a_large_table_of_few_files_is_dealt_out(spark, tmp_path, monkeypatch):
         assert "Exchange" not in session.spread(fine, "id")._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("sent", [True, False])
+def test_bags_by_join_are_dealt_by_the_size_of_the_texts(spark, texts, monkeypatch, sent):
+    """More text makes more parts, not larger ones, and the counts stay those of each id."""
+    lexicon = spark.createDataFrame([("all", "every"), ("all", "zz"), (None, "x"), ("wa", None)], "form string, lemma string")
+    stops = spark.createDataFrame([("straße",), ("stop",), (None,)], "word string")
+    rows = texts.withColumn("text", F.translate("text", "0123456789", "abcdefghij")).withColumn("text", F.concat("text", F.lit(" all stop")))
+    want = {}
+    for r in tokens.bag_of_words(rows, "id", "text", lexicon, stops).collect():
+        want[r["id"], r["term"]] = want.get((r["id"], r["term"]), 0) + r["cnt"]
+    monkeypatch.setattr(tokens, "PART_BYTES", 500)
+    if not sent:
+        monkeypatch.setattr(tokens, "is_small", lambda table: False)
+    bag = tokens.bag_of_words(rows, "id", "text", lexicon, stops, inline_rows=0)
+    size = sum(len((r["text"] or "").encode()) for r in rows.collect())
+    assert re.search(rf"hashpartitioning\(id#\d+L?, {-(-size // 500)}\)", bag._jdf.queryExecution().executedPlan().toString())
+    got = bag.collect()
+    assert len(got) == len(want) > 300 and {(r["id"], r["term"]): r["cnt"] for r in got} == want
