@@ -3,6 +3,8 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,6 +69,60 @@ def tfidf_tables(weights):
             yield table
 
 
+def test_texts_are_read_to_be_measured_and_numbered_alone(spark, texts, monkeypatch):
+    """Fit and weights by chunks take the texts' words from numbers that were stored once."""
+    read, rows = spark.sparkContext.accumulator(0), texts.count()
+
+    def told(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = texts.mapInArrow(told, "id int, text string")
+    model = tfidf.fit_tfidf(df, "id", "text")
+    monkeypatch.setattr(tfidf, "is_small", lambda table: False)
+    got = tfidf.transform_tfidf(model, df)
+    assert got.count() > 1000 and read.value == 2 * rows
+    # The chunks that meet their terms hold numbers of words, not cells; and each id is in one of them.
+    numbered = tfidf.numbered_texts(df, "id", "text")
+    assert sorted(numbered.select(F.explode("ids").alias("id")).distinct().collect(), key=str) == sorted(
+        numbered.select(F.explode(F.array_distinct("ids")).alias("id")).collect(), key=str
+    )
+    assert numbered.agg(F.sum(F.size("codes"))).first()[0] == df.select(F.size(words(F.col("text"))).alias("n")).where("n > 0").agg(F.sum("n")).first()[0]
+
+
+def test_more_text_makes_more_parts_of_numbers(spark, texts, monkeypatch):
+    monkeypatch.setattr(tfidf, "TEXT_A_PART", 500)
+    monkeypatch.setattr(tfidf, "WORDS_A_CHUNK", 100)
+    df = texts.select("*")
+    size = sum(len((r["text"] or "").encode()) for r in df.collect() if (r["text"] or "").strip())
+    chunks = [r["chunk"] for r in tfidf.numbered_texts(df, "id", "text").select("chunk").collect()]
+    assert len({c >> tfidf.CHUNK_BITS for c in chunks}) > 16 and max(c >> tfidf.CHUNK_BITS for c in chunks) < -(-size // 500)
+    assert len(set(chunks)) == len(chunks)
+
+
+@pytest.mark.parametrize("high", [2, 3])
+def test_runs_too_many_to_tell_beside_a_document_are_numbered(monkeypatch, high):
+    """The same counts whether or not a key of run and document fits in one number."""
+    rng = np.random.default_rng(3)
+    lengths, names = np.array([5, 0, 9, 1, 30]), pa.array([f"w{i}" for i in range(6)])
+    word = np.concatenate([np.arange(6), rng.integers(0, 6, lengths.sum() - 6)])
+
+    def counts():
+        cells = tfidf._cells(names, word, lengths, tfidf.TfidfConfig(ngram_range=(1, high)))
+        return sorted(zip(cells.doc.tolist(), cells.terms.take(pa.array(cells.term)).to_pylist(), cells.count.tolist()))
+
+    plain = counts()
+    monkeypatch.setattr(tfidf, "MOST_KEYS", 1)
+    want = {}
+    for doc, (start, n) in enumerate(zip(np.cumsum(lengths) - lengths, lengths)):
+        own = [f"w{i}" for i in word[start : start + n]]
+        for k in range(1, high + 1):
+            for i in range(n - k + 1):
+                want[doc, " ".join(own[i : i + k])] = want.get((doc, " ".join(own[i : i + k])), 0) + 1
+    assert counts() == plain == sorted((*k, n) for k, n in want.items())
+
+
 def test_a_large_table_of_few_files_is_dealt_out(spark, tmp_path, monkeypatch):
     from newsloom import session
 

@@ -26,6 +26,15 @@ def test_no_term_of_enough_documents_is_held_back(spark, bits, least):
     assert told[0]["m"] == sieve.lets_through(np.array([frequent[0], rare[0]])).tolist() and told[1]["m"] == []
 
 
+def test_rare_terms_do_not_fill_it(spark):
+    """Many more rare terms than there are places: the sieve of a large corpus."""
+    rng = np.random.default_rng(1)
+    rare = rng.integers(1, 1 << 62, 60_000)
+    docs = [[*part.tolist(), *range(-40, 0)] for part in np.array_split(rare, 30)]
+    sieve = tfidf.Sieve(3, 12).fill(spark.createDataFrame([(d,) for d in docs], "hashes array<long>").repartition(5))
+    assert sieve.lets_through(np.arange(-40, 0)).all() and sieve.lets_through(rare).mean() < 0.05
+
+
 @pytest.mark.parametrize("config", [tfidf.TfidfConfig(), tfidf.TfidfConfig(ngram_range=(1, 3), min_df=2), tfidf.TfidfConfig(min_df=0.1), tfidf.TfidfConfig(min_df=1)])
 def test_the_same_model_with_and_without(spark, monkeypatch, config):
     rng = random.Random(5)
