@@ -135,3 +135,35 @@ def test_topics_of_many_terms_look_a_term_up_once_a_block(spark, bow, monkeypatc
     assert len(got) == 3 * 59 and [r[:2] for r in got] == [r[:2] for r in want] and np.allclose([r[2] for r in got], [r[2] for r in want])
     blocks = nmf.blocked(texts.documents["doc_id"]).count()
     assert 4 < blocks < 30 and nmf.wanted_terms(texts.documents["doc_id"]).count() <= blocks * (N_TERMS + 1) < texts.count()
+
+
+def test_cells_of_one_document_meet_wherever_they_lie(spark, monkeypatch):
+    """Runs of an id in many batches, ids that repeat and none at all: one document in one block, of all its cells."""
+    monkeypatch.setattr(nmf, "CELLS_AT_A_TIME", 7)
+    monkeypatch.setattr(nmf, "CELLS_A_BLOCK", 40)
+    rng = np.random.default_rng(4)
+    rows = [(None if i % 11 == 0 else int(i), f"t{t}", int(c)) for i, t, c in zip(rng.integers(0, 30, 400), rng.integers(0, 25, 400), rng.integers(1, 9, 400))]
+    bow = spark.createDataFrame([*rows, (3, None, 5)], "doc int, term string, cnt long").repartition(6)
+    blocks = nmf.blocked(nmf.documents_of(bow, "doc", nmf.numbered_terms(bow))).collect()
+    told = [(d, r["terms"][t], c) for r in blocks for d, t, c in zip([i for i, n in zip(r["ids"], r["lengths"]) for _ in range(n)], r["codes"], r["counts"])]
+    assert sorted(told, key=str) == sorted(((d, t, float(c)) for d, t, c in rows), key=str)
+    ids = [i for r in blocks for i in r["ids"]]
+    assert len(blocks) > 4 and len(ids) == len(set(ids)) == len({r[0] for r in rows})
+    assert all(len(set(r["terms"])) == len(r["terms"]) for r in blocks)
+
+
+def test_a_round_moves_only_what_blocks_look_up_and_add_up(spark, bow):
+    """Values of terms lie in the buckets of those that look them up: tables of terms meet without a shuffle, and documents stay where they are."""
+    packed, _ = nmf.pack_documents(bow, "doc_id")
+    kept = nmf.Kept(packed, nmf.Held(packed, np.ones((packed.select(F.max(F.array_max("term_ids"))).first()[0] + 1, 2))).table(), 2)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sums = kept.product(lambda x: x, lambda x, w: np.zeros(1))[0]
+        values = sums.map(lambda v, s: v + s, sums)
+        plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+        assert "Join" in plan(values._beside((sums,))) and "Exchange" not in plan(values._beside((sums,)))
+        text = plan(values.by_block(lambda block: None, nmf.SUMS))
+        assert text.count("Exchange hash") == 1 and "Exchange hashpartitioning(of_block" in text
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
