@@ -167,3 +167,36 @@ def test_a_round_moves_only_what_blocks_look_up_and_add_up(spark, bow):
         assert text.count("Exchange hash") == 1 and "Exchange hashpartitioning(of_block" in text
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_block_and_a_part_of_the_terms_meet_in_one_row(spark, bow, monkeypatch):
+    """Rows that move in a pass are as many as blocks times parts of terms, not terms, and two fits share the blocks."""
+    monkeypatch.setattr(nmf, "CELLS_A_BLOCK", 200)
+    monkeypatch.setattr(nmf, "PARTS_A_BUCKET", 1)
+    texts, parts = bow.select("*"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    fits = [nmf.factor_nmf(texts, "doc_id", k, max_rounds=2, held_terms=0) for k in (1, 2)]
+    packed = texts.documents["doc_id"]
+    blocks, wanted = nmf.blocked(packed).collect(), nmf.wanted_terms(packed).collect()
+    assert len(blocks) > 4 and len(wanted) <= len(blocks) * parts < sum(len(r["terms"]) for r in blocks)
+    assert sum(len(r["ids"]) // 8 for r in wanted) == sum(len(r["terms"]) for r in blocks)
+    values = nmf.Kept(packed, packed.named.select("term_id", F.array(F.lit(1.0)).alias("v")), 1)
+    assert values.rows.count() <= parts and values.product(lambda x: x, lambda x, w: np.zeros(1))[0].rows.count() <= parts
+    assert fits[1].losses[-1] < fits[0].losses[-1]
+
+
+def test_optimality_is_that_of_the_cells_whose_term_and_document_have_weights(spark, counts, bow):
+    fit = nmf.factor_nmf(bow, "doc_id", 3, max_rounds=2)
+    model = nmf.FittedNmf(fit.topics.where("term <> 't05'"), fit.docs.where("doc_id % 5 <> 0"), 3, "doc_id", ())
+    told = nmf.optimality(bow, model).first()
+    h, w = ({r[0]: np.array(r[1:]) for r in table.collect()} for table in (model.topics, model.docs))
+    docs, terms = sorted(w), sorted(h)
+    x = counts[np.ix_(docs, [int(t[1:]) for t in terms])].astype(float)
+    wm, hm = np.array([w[d] for d in docs]), np.array([h[t] for t in terms])
+
+    def steepest(own, other, x):
+        slope = own @ (other.T @ other) - x @ other
+        return np.abs(np.where(own > 0, slope, np.minimum(slope, 0)))[x.any(1)].max() / (x @ other).max()
+
+    want = ((x**2).sum(), ((x - wm @ hm.T) ** 2).sum(), steepest(hm, wm, x.T), steepest(wm, hm, x))
+    assert np.allclose([told[n] for n in ("squares", "loss", "steepest_topics", "steepest_weights")], want)
+    assert told["least"] == min(wm[x.any(1)].min(), hm[x.any(0)].min())
