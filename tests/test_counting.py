@@ -159,3 +159,34 @@ def test_bags_by_join_are_dealt_by_the_size_of_the_texts(spark, texts, monkeypat
     assert re.search(rf"hashpartitioning\(id#\d+L?, {-(-size // 500)}\)", bag._jdf.queryExecution().executedPlan().toString())
     got = bag.collect()
     assert len(got) == len(want) > 300 and {(r["id"], r["term"]): r["cnt"] for r in got} == want
+
+
+def test_counting_takes_few_bytes_a_word():
+    """Places and counts are 32-bit numbers, and what is sorted is sorted where it lies."""
+    import tracemalloc
+
+    n = 1 << 18
+    names, word = pa.array([f"w{i}" for i in range(1000)]), np.random.default_rng(1).integers(0, 1000, n)
+    tracemalloc.start()
+    try:
+        cells = tfidf._cells(names, word, np.full(n // 256, 256), tfidf.TfidfConfig())
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert cells.count.sum() == 2 * n - n // 256 and most < 150 * n
+
+
+def test_a_chunk_and_a_part_of_the_vocabulary_meet_in_one_row(spark, texts, monkeypatch):
+    """Terms travel packed, a row for a chunk and a part; cells leave a chunk in slices; and the weights stay what they were."""
+    model = tfidf.fit_tfidf(texts.select("*"), "id", "text")
+    want = sorted(tfidf.transform_tfidf(model, texts.select("*")).collect(), key=lambda r: (str(r["id"]), r["term_id"], r["weight"]))
+    for name, value in {"is_small": lambda table: False, "WORDS_A_CHUNK": 300, "CELLS_OUT": 7, "LEAST_PARTS": 3}.items():
+        monkeypatch.setattr(tfidf, name, value)
+    df = texts.select("*")
+    numbered = tfidf.numbered_texts(df, "id", "text")
+    found = tfidf._looked_up(model, numbered, model.vocabulary, tfidf._counted(numbered, None, model.config, model.sieve)).collect()
+    parts = max(2 * spark.sparkContext.defaultParallelism, 3)
+    n_terms = sum(len(r["at"]) // 8 for r in found)
+    assert len({r["of_chunk"] for r in found}) == numbered.count() > 4 and len(found) <= numbered.count() * parts < n_terms
+    got = sorted(tfidf.transform_tfidf(model, df).collect(), key=lambda r: (str(r["id"]), r["term_id"], r["weight"]))
+    assert [r[:3] for r in got] == [r[:3] for r in want] and max(abs(a["weight"] - b["weight"]) for a, b in zip(got, want)) < 1e-12
